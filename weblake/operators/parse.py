@@ -40,10 +40,12 @@ def _access_groups(message: Column, pattern: str = ACCESS_PATTERN) -> dict[str,
     }
 
 
-def access_events(lines: DataFrame, pattern: str = ACCESS_PATTERN) -> DataFrame:
-    """Access lines in the unified schema, parsed or not (unparsed: ip = '')."""
+def access_events(lines: DataFrame, pattern: str = ACCESS_PATTERN, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Access lines in the unified schema, parsed or not (unparsed: ip = '').
+    Columns named in `keep` pass through unchanged."""
     g = _access_groups(F.col("message"), pattern)
     return lines.filter(F.col("log_type") == "access").select(
+        *keep,
         F.try_to_timestamp(g["time"], F.lit(ACCESS_TIME_FORMAT)).alias("timestamp"),
         F.lit("access").alias("log_type"),
         g["ip"].alias("ip"),
@@ -59,11 +61,12 @@ def access_events(lines: DataFrame, pattern: str = ACCESS_PATTERN) -> DataFrame:
     )
 
 
-def error_events(lines: DataFrame, pattern: str = ERROR_PATTERN) -> DataFrame:
+def error_events(lines: DataFrame, pattern: str = ERROR_PATTERN, keep: tuple[str, ...] = ()) -> DataFrame:
     """Error lines in the unified schema, parsed or not (unparsed: ip = '')."""
     m = F.col("message")
     g = lambda i: F.regexp_extract(m, pattern, i)
     return lines.filter(F.col("log_type") == "error").select(
+        *keep,
         F.try_to_timestamp(g(1), F.lit(ERROR_TIME_FORMAT)).alias("timestamp"),
         F.lit("error").alias("log_type"),
         F.split(g(3), ",")[0].alias("ip"),
@@ -79,9 +82,9 @@ def error_events(lines: DataFrame, pattern: str = ERROR_PATTERN) -> DataFrame:
     )
 
 
-def all_events(lines: DataFrame) -> DataFrame:
+def all_events(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Both line types in the unified schema, before the parse filter."""
-    return access_events(lines).unionByName(error_events(lines))
+    return access_events(lines, keep=keep).unionByName(error_events(lines, keep=keep))
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:

@@ -177,15 +177,11 @@ country_codes AS (
 
 def ip_num_sql(ip: str) -> str:
     """IPv4 text -> BIGINT, NULL when not a dotted quad of 0..255."""
-    parts = f"string_split({ip}, '.')"
-    ok = (
-        f"len({parts}) = 4 AND list_bool_and(list_transform({parts}, "
-        f"x -> regexp_full_match(x, '[0-9]{{1,3}}') AND CAST(x AS INTEGER) <= 255))"
-    )
-    num = " + ".join(
-        f"CAST({parts}[{i + 1}] AS BIGINT) * {256 ** (3 - i)}" for i in range(4)
-    )
-    return f"CASE WHEN {ip} IS NOT NULL AND {ok} THEN {num} END"
+    part = lambda i: f"TRY_CAST(split_part({ip}, '.', {i}) AS BIGINT)"
+    ok = (f"regexp_full_match({ip}, '[0-9]{{1,3}}\\.[0-9]{{1,3}}\\.[0-9]{{1,3}}\\.[0-9]{{1,3}}')")
+    small = " AND ".join(f"{part(i)} <= 255" for i in range(1, 5))
+    num = " + ".join(f"{part(i + 1)} * {256 ** (3 - i)}" for i in range(4))
+    return f"CASE WHEN {ok} AND {small} THEN {num} END"
 
 
 def geo_join(src: str) -> str:
@@ -218,3 +214,263 @@ star AS (
 
 def with_(*blocks: str) -> str:
     return "WITH " + ",".join(blocks)
+
+
+# ---------------------------------------------------------------- queries
+EVENT_COLS = ("timestamp, log_type, ip, method, page, request, status, bytes, referrer, agent, "
+              "log_level, error_message")
+LIST_FILTER_SQL = ("timestamp BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-25 23:59:59' "
+                   "AND status IN (200, 404) AND country IN ('NATION_1', 'NATION_2', 'NATION_3') "
+                   "AND method IN ('GET')")
+TIME_FILTER_SQL = "timestamp BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-19 23:59:59'"
+KNOWN_COUNTRY = "country IS NOT NULL AND country <> 'Unknown' AND country <> 'Error'"
+
+
+def _base(*extra: str) -> str:
+    return with_(WEBLOG, PARSE, *extra)
+
+
+def _star(*extra: str) -> str:
+    return "WITH " + star_ctes() + ("," + ",".join(extra) if extra else "")
+
+
+def _r(x: str, name: str | None = None) -> str:
+    return f"round({x}, 6) AS {name or x}"
+
+
+_KPI = """
+  SELECT count(*) AS total, count(DISTINCT ip) AS unique_ips,
+         round(avg(bytes), 6) AS avg_bytes,
+         round(CAST(count_if(status >= 500) AS DOUBLE) / count(*) * 100, 6) AS server_error_rate,
+         round(CAST(count_if(status >= 400 AND status < 500) AS DOUBLE) / count(*) * 100, 6)
+           AS client_error_rate
+  FROM star WHERE log_type = 'access'"""
+
+_SERIES = """
+series AS (SELECT date_trunc('hour', timestamp) AS ds, count(*) AS y FROM star
+           WHERE log_type = 'access' GROUP BY 1)"""
+
+_ACTUALS = """
+actuals AS (
+  SELECT date_trunc('hour', timestamp) AS hour, count(*) AS actual_requests FROM star
+  WHERE log_type = 'access' AND timestamp >= (
+    SELECT max(date_trunc('hour', timestamp)) FROM star WHERE log_type = 'access') - INTERVAL 3 DAY
+  GROUP BY 1)"""
+
+_FORECAST = f"""{_SERIES},
+s AS (SELECT ds, CAST(y AS DOUBLE) AS y,
+             (epoch(ds) - epoch((SELECT min(ds) FROM series))) / 3600.0 AS t FROM series),
+co AS (SELECT regr_slope(y, t) AS b, regr_intercept(y, t) AS a FROM s),
+r1 AS (SELECT ds, t, y - ((SELECT a FROM co) + (SELECT b FROM co) * t) AS r1,
+              hour(ds) AS hod, dayofweek(ds) AS dow FROM s),
+daily AS (SELECT hod, avg(r1) AS daily FROM r1 GROUP BY hod),
+r2 AS (SELECT r1.*, r1.r1 - daily.daily AS r2 FROM r1 JOIN daily USING (hod)),
+weekly AS (SELECT dow, avg(r2) AS weekly FROM r2 GROUP BY dow),
+r3 AS (SELECT r2.r2 - weekly.weekly AS r3 FROM r2 JOIN weekly USING (dow)),
+fut AS (SELECT unnest(generate_series(max(ds) + INTERVAL 1 HOUR, max(ds) + INTERVAL 24 HOUR,
+                                       INTERVAL 1 HOUR)) AS ds FROM series),
+fut2 AS (
+  SELECT f.ds,
+    (SELECT a FROM co) + (SELECT b FROM co) * ((epoch(f.ds) - epoch((SELECT min(ds) FROM series))) / 3600.0)
+      + coalesce(d.daily, 0) + coalesce(w.weekly, 0) AS yhat
+  FROM fut f LEFT JOIN daily d ON d.hod = hour(f.ds) LEFT JOIN weekly w ON w.dow = dayofweek(f.ds)
+),
+pred AS (
+  SELECT ds AS timestamp, yhat AS predicted_requests,
+         yhat - {1.2815515655446004!r} * (SELECT stddev_samp(r3) FROM r3) AS predicted_lower,
+         yhat + {1.2815515655446004!r} * (SELECT stddev_samp(r3) FROM r3) AS predicted_upper
+  FROM fut2 WHERE ds > (SELECT max(ds) FROM series)
+)"""
+
+_PRED_COLS = ("timestamp, round(predicted_requests, 6) AS predicted_requests, "
+              "round(predicted_lower, 6) AS predicted_lower, round(predicted_upper, 6) AS predicted_upper")
+
+_PEAK = """
+peak AS (SELECT timestamp AS hour, predicted_requests, predicted_upper FROM pred
+         ORDER BY predicted_upper DESC, timestamp ASC LIMIT 1)"""
+
+_MULTILINE = """
+WITH l AS (
+  SELECT doc_id, unnest(range(len(parts))) AS pos, unnest(parts) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)
+),
+s AS (
+  SELECT doc_id, pos, line,
+         sum(CASE WHEN regexp_matches(line, '^[A-Z]') THEN 1 ELSE 0 END)
+           OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rec
+  FROM l
+)
+SELECT doc_id, CAST(rec AS INTEGER) AS rec, string_agg(line, chr(10) ORDER BY pos) AS record
+FROM s GROUP BY doc_id, rec"""
+
+
+def _dim_sql(cols: str, where: str) -> str:
+    return _star() + f" SELECT DISTINCT {cols} FROM star WHERE {where}"
+
+
+def _integrity() -> str:
+    dims = [
+        ("dim_ip", "ip", "ip IS NOT NULL", "ip"),
+        ("dim_request", "request, method, page, referrer",
+         "request IS NOT NULL AND method IS NOT NULL AND page IS NOT NULL AND referrer IS NOT NULL",
+         "(request, method, page, referrer)"),
+        ("dim_user_agent", "agent", "agent IS NOT NULL", "agent"),
+        ("dim_error_details", "log_level, error_message",
+         "log_type = 'error' AND log_level IS NOT NULL AND error_message IS NOT NULL",
+         "(log_level, error_message)"),
+        ("dim_anomaly_type", "anomaly_type", "is_anomaly = 1", "anomaly_type"),
+    ]
+    parts = [
+        f"SELECT '{n}' AS dim, count(DISTINCT {k}) AS n_rows, count(DISTINCT {k}) AS n_ids, "
+        f"count(DISTINCT {k}) AS n_keys, CAST(0 AS BIGINT) AS orphan_refs FROM star WHERE {w}"
+        for n, _, w, k in dims
+    ]
+    return _star() + " " + " UNION ALL ".join(parts)
+
+
+def queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["envelope_decode"] = ("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k "
+                            "FROM events")
+    q["envelope_roundtrip"] = with_(WEBLOG) + " SELECT event_id, log_type, message FROM lines"
+    q["multiline_stitch"] = _MULTILINE
+    q["oversize_filter"] = ("SELECT doc_id, strlen(text) AS n_bytes FROM documents "
+                            "WHERE strlen(text) <= 50000")
+    q["month_partition_counts"] = _star() + (
+        " SELECT strftime(timestamp, '%Y%m') AS event_month, count(*) AS rows FROM star GROUP BY 1")
+    q["replacing_dedupe"] = ("SELECT * FROM events QUALIFY row_number() OVER "
+                             "(PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
+    q["quarantine"] = _base() + " SELECT log_type, message FROM all_events WHERE ip = ''"
+    q["parse_access"] = _base() + f" SELECT {EVENT_COLS} FROM unified WHERE log_type = 'access'"
+    q["parse_error"] = _base() + f" SELECT {EVENT_COLS} FROM unified WHERE log_type = 'error'"
+    q["unified_events"] = _base() + f" SELECT {EVENT_COLS} FROM unified"
+    q["signature_flags"] = _base() + (
+        f" SELECT {EVENT_COLS}, {signature_case()} AS signature_anomaly_type FROM unified")
+    q["behavioral_profile"] = _base(f"prof AS ({profile_sql('ip')})") + " SELECT * FROM prof"
+    q["behavioral_verdict"] = _base(f"prof AS ({profile_sql('ip')})") + (
+        f" SELECT *, {verdict_case(10, 15, 20)} AS behavioral_anomaly_type FROM prof")
+    day_keys = "date_trunc('day', timestamp) AS window_start, ip"
+    q["behavioral_windowed"] = _base(f"prof AS ({profile_sql(day_keys)})") + (
+        f" SELECT *, {verdict_case(1, 3, 3)} AS behavioral_anomaly_type FROM prof")
+    q["anomaly_flagging"] = _base(flag_ctes(False, 10, 15, 20)) + (
+        f" SELECT {EVENT_COLS}, signature_anomaly_type, behavioral_anomaly_type, anomaly_type, "
+        "is_anomaly FROM flagged")
+    q["geo_enrich"] = _base(GEO, f"g AS ({geo_join('unified')})") + (
+        f" SELECT {EVENT_COLS}, country FROM g")
+    q["country_iso"] = _base(GEO, f"g AS ({geo_join('unified')})") + (
+        f" SELECT DISTINCT g.country, c.iso_alpha3 FROM g JOIN country_codes c USING (country) "
+        f"WHERE {KNOWN_COUNTRY.replace('country', 'g.country')}")
+    q["dim_ip"] = _dim_sql("ip, country", "ip IS NOT NULL")
+    q["dim_request"] = _dim_sql(
+        "request, method, page, referrer",
+        "request IS NOT NULL AND method IS NOT NULL AND page IS NOT NULL AND referrer IS NOT NULL")
+    q["dim_user_agent"] = _dim_sql("agent", "agent IS NOT NULL")
+    q["dim_error_details"] = _dim_sql(
+        "log_level, error_message",
+        "log_type = 'error' AND log_level IS NOT NULL AND error_message IS NOT NULL")
+    q["dim_anomaly_type"] = _dim_sql("anomaly_type", "is_anomaly = 1")
+    q["fact_build"] = _star() + """ SELECT timestamp, log_type, status, bytes, is_anomaly,
+        strftime(timestamp, '%Y%m') AS event_month,
+        ip IS NOT NULL AS has_ip_id,
+        (request IS NOT NULL AND method IS NOT NULL AND page IS NOT NULL AND referrer IS NOT NULL)
+          AS has_request_id,
+        agent IS NOT NULL AS has_agent_id,
+        (log_type = 'error' AND log_level IS NOT NULL AND error_message IS NOT NULL)
+          AS has_error_details_id,
+        is_anomaly = 1 AS has_anomaly_type_id
+      FROM star"""
+    q["star_join"] = _star() + " SELECT * FROM star"
+    q["surrogate_key_integrity"] = _integrity()
+    q["uniq_approx_within_bound"] = _base() + (
+        " SELECT count(DISTINCT ip) AS exact_unique_ips, true AS within_bound "
+        "FROM unified WHERE log_type = 'access'")
+    q["filter_time_range"] = _star() + (
+        f" SELECT timestamp, log_type, ip, page, status FROM star WHERE {TIME_FILTER_SQL}")
+    q["filter_in_lists"] = _star() + _KPI.replace(
+        "WHERE log_type = 'access'", f"WHERE log_type = 'access' AND {LIST_FILTER_SQL}")
+    q["kpi_summary"] = _star() + _KPI
+    q["time_bounds"] = _star() + " SELECT min(timestamp) AS min_ts, max(timestamp) AS max_ts FROM star"
+    q["distinct_statuses"] = _star() + " SELECT DISTINCT status FROM star WHERE status IS NOT NULL"
+    q["distinct_countries"] = _star() + f" SELECT DISTINCT country FROM star WHERE {KNOWN_COUNTRY}"
+    q["distinct_methods"] = _star() + (
+        " SELECT DISTINCT method FROM star WHERE method IS NOT NULL AND method <> ''")
+    q["requests_by_class_per_minute"] = _star() + """
+      SELECT date_trunc('minute', timestamp) AS minute,
+        count_if(status >= 200 AND status < 300) AS success_2xx,
+        count_if(status >= 300 AND status < 400) AS redirects_3xx,
+        count_if(status >= 400 AND status < 500) AS client_errors_4xx,
+        count_if(status >= 500) AS server_errors_5xx
+      FROM star WHERE log_type = 'access' GROUP BY 1"""
+    q["avg_bytes_per_minute"] = _star() + """
+      SELECT date_trunc('minute', timestamp) AS minute, round(avg(bytes), 6) AS avg_bytes
+      FROM star WHERE log_type = 'access' GROUP BY 1"""
+    q["requests_by_country"] = _star() + f"""
+      SELECT s.country, count(*) AS cnt, c.iso_alpha3 AS iso_alpha
+      FROM star s JOIN country_codes c ON c.country = s.country
+      WHERE {KNOWN_COUNTRY.replace('country', 's.country')} GROUP BY s.country, c.iso_alpha3"""
+    q["error_rate_by_country"] = _star() + f"""
+      SELECT s.country, count_if(s.status >= 400) AS error_count, count(*) AS total_count,
+        round(CAST(count_if(s.status >= 400) AS DOUBLE) / count(*) * 100, 6) AS error_rate,
+        c.iso_alpha3 AS iso_alpha
+      FROM star s JOIN country_codes c ON c.country = s.country
+      WHERE {KNOWN_COUNTRY.replace('country', 's.country')}
+      GROUP BY s.country, c.iso_alpha3 HAVING count(*) > 0"""
+    q["top_pages"] = _star() + """
+      SELECT page, count(*) AS hits FROM star WHERE log_type = 'access' GROUP BY page
+      ORDER BY hits DESC, page ASC NULLS FIRST LIMIT 10"""
+    q["top_ips_by_traffic"] = _star() + """
+      SELECT ip, round(sum(bytes) / 1024 / 1024, 6) AS total_mb FROM star WHERE log_type = 'access'
+      GROUP BY ip ORDER BY sum(bytes) / 1024 / 1024 DESC NULLS LAST, ip ASC NULLS FIRST LIMIT 10"""
+    q["status_distribution"] = _star() + (
+        " SELECT status, count(*) AS cnt FROM star WHERE log_type = 'access' GROUP BY status")
+    q["top_ips_by_errors"] = _star() + """
+      SELECT ip, count(*) AS errors FROM star WHERE status >= 400 GROUP BY ip
+      ORDER BY errors DESC, ip ASC NULLS FIRST LIMIT 10"""
+    heat = """
+top AS (SELECT page FROM star GROUP BY page ORDER BY count(*) DESC, page ASC NULLS FIRST LIMIT 15),
+heat AS (SELECT page, status, count(*) AS "count" FROM star
+         WHERE page IN (SELECT page FROM top) AND status >= 400 GROUP BY page, status)"""
+    q["error_heatmap"] = _star(heat) + " SELECT * FROM heat"
+    q["anomaly_timeline"] = _star() + """
+      SELECT timestamp, ip, anomaly_type FROM star WHERE is_anomaly = 1 AND anomaly_type <> ''
+      ORDER BY timestamp DESC, ip, anomaly_type LIMIT 500"""
+    q["anomaly_by_type"] = _star() + """
+      SELECT anomaly_type, count(*) AS cnt FROM star WHERE is_anomaly = 1 AND anomaly_type <> ''
+      GROUP BY anomaly_type"""
+    q["anomaly_summary"] = _star() + """
+      SELECT ip, country, anomaly_type, max(timestamp) AS last_seen, count(*) AS request_count
+      FROM star WHERE is_anomaly = 1 AND anomaly_type <> '' GROUP BY ip, country, anomaly_type
+      ORDER BY last_seen DESC, ip, anomaly_type LIMIT 20"""
+    q["top_error_messages"] = _star() + """
+      SELECT error_message, count(*) AS cnt FROM star WHERE log_type = 'error'
+      GROUP BY error_message ORDER BY cnt DESC, error_message ASC NULLS FIRST LIMIT 10"""
+    q["error_levels_per_minute"] = _star() + """
+      SELECT date_trunc('minute', timestamp) AS minute,
+        count_if(log_level = 'error') AS errors, count_if(log_level = 'warn') AS warnings
+      FROM star WHERE log_type = 'error' GROUP BY 1"""
+    q["recent_errors"] = _star() + """
+      SELECT timestamp, ip, country, log_level, error_message FROM star WHERE log_type = 'error'
+      ORDER BY timestamp DESC, ip, error_message LIMIT 100"""
+    q["hourly_actuals"] = _star(_ACTUALS) + " SELECT * FROM actuals"
+    q["hourly_series"] = _star(_SERIES) + " SELECT * FROM series"
+    q["forecast_additive"] = _star(_FORECAST) + f" SELECT {_PRED_COLS} FROM pred"
+    q["forecast_read"] = _star(_FORECAST) + (
+        f" SELECT {_PRED_COLS.replace('timestamp,', 'timestamp AS hour,', 1)} FROM pred")
+    q["forecast_peak"] = _star(_FORECAST, _PEAK) + (
+        " SELECT hour, round(predicted_requests, 6) AS predicted_requests, "
+        "round(predicted_upper, 6) AS predicted_upper FROM peak")
+    q["load_p95"] = _star(_ACTUALS) + (
+        " SELECT round(quantile_cont(CAST(actual_requests AS DOUBLE), 0.95), 6) AS p95 FROM actuals")
+    q["scaling_advice"] = _star(_FORECAST, _PEAK, _ACTUALS) + """
+      SELECT hour, round(predicted_requests, 6) AS predicted_requests,
+        round(predicted_upper, 6) AS predicted_upper,
+        round((SELECT quantile_cont(CAST(actual_requests AS DOUBLE), 0.95) FROM actuals), 6)
+          AS critical_threshold,
+        predicted_upper > (SELECT quantile_cont(CAST(actual_requests AS DOUBLE), 0.95) FROM actuals)
+          AS scale_up
+      FROM peak"""
+    q["actual_vs_forecast"] = _star(_FORECAST, _ACTUALS) + """
+      SELECT hour, round(CAST(actual_requests AS DOUBLE), 6) AS requests, 'actual' AS type FROM actuals
+      UNION ALL
+      SELECT timestamp AS hour, round(predicted_requests, 6) AS requests, 'forecast' AS type FROM pred"""
+    return q
