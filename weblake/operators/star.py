@@ -17,6 +17,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from weblake.operators.geo import (
     DEFAULT_BUCKET_PREFIX,
@@ -51,6 +59,22 @@ DIMS: dict[str, Dim] = {
     )
 }
 
+# stored fact, layout columns included (declared so partition values keep their type)
+FACT_SCHEMA = StructType([
+    StructField("timestamp", TimestampType()),
+    StructField("log_type", StringType()),
+    StructField("ip_id", LongType()),
+    StructField("request_id", LongType()),
+    StructField("agent_id", LongType()),
+    StructField("error_details_id", LongType()),
+    StructField("anomaly_type_id", LongType()),
+    StructField("status", IntegerType()),
+    StructField("bytes", LongType()),
+    StructField("is_anomaly", IntegerType()),
+    StructField("event_month", StringType()),
+    StructField("batch_id", LongType()),
+])
+
 FACT_COLUMNS = (
     "timestamp", "log_type", "ip_id", "request_id", "agent_id", "error_details_id",
     "anomaly_type_id", "status", "bytes", "is_anomaly",

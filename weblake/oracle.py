@@ -431,6 +431,13 @@ top AS (SELECT page FROM star GROUP BY page ORDER BY count(*) DESC, page ASC NUL
 heat AS (SELECT page, status, count(*) AS "count" FROM star
          WHERE page IN (SELECT page FROM top) AND status >= 400 GROUP BY page, status)"""
     q["error_heatmap"] = _star(heat) + " SELECT * FROM heat"
+    grid = """
+grid AS (
+  SELECT p.page, s.status, coalesce(h."count", 0) AS "count"
+  FROM (SELECT DISTINCT page FROM heat) p CROSS JOIN (SELECT DISTINCT status FROM heat) s
+  LEFT JOIN heat h ON h.page = p.page AND h.status = s.status)"""
+    q["error_heatmap_pivot"] = _star(heat, grid) + (
+        ' PIVOT grid ON status USING first("count") GROUP BY page')
     q["anomaly_timeline"] = _star() + """
       SELECT timestamp, ip, anomaly_type FROM star WHERE is_anomaly = 1 AND anomaly_type <> ''
       ORDER BY timestamp DESC, ip, anomaly_type LIMIT 500"""

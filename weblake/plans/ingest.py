@@ -54,3 +54,42 @@ def process_batch(batch: DataFrame, batch_id: int, root: str, ranges: DataFrame,
     finally:
         events.unpersist()
     return BatchResult(batch_id)
+
+
+def _fingerprint(spark, inputs: list[str], extra: str) -> str:
+    """Digest of input paths, sizes and modification times plus settings."""
+    import hashlib
+
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    h = hashlib.sha256(extra.encode())
+    for path in inputs:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        st = p.getFileSystem(conf).getFileStatus(p)
+        h.update(f"{path}|{st.getLen()}|{st.getModificationTime()}".encode())
+    return h.hexdigest()[:16]
+
+
+LAKE_VERSION = "1"
+
+
+def ensure_lake(spark, lines: DataFrame, inputs: list[str], ranges: DataFrame,
+                cfg: DetectConfig, base: str | None = None, **geo) -> str:
+    """Build the star for `lines` once (batch 0) and return its folder.
+
+    The folder lives under the shared checkpoint folder and is named after a
+    fingerprint of the inputs and settings; a marker file is written last, so
+    an interrupted build is simply redone -- the writes are replay-safe.
+    """
+    import os
+
+    from weblake.session import checkpoint_dir
+
+    base = base or os.path.join(checkpoint_dir(spark), "weblake-lake")
+    root = os.path.join(base, _fingerprint(spark, inputs, f"{LAKE_VERSION}|{cfg!r}|{geo!r}"))
+    marker = os.path.join(root, "_BUILT")
+    if lake._exists(spark, marker):
+        return root
+    process_batch(lines, 0, root, ranges, cfg, **geo)
+    spark.createDataFrame([(1,)], "ok int").coalesce(1).write.mode("overwrite").json(marker)
+    return root

@@ -20,7 +20,8 @@ from weblake.plans import forecast as fc
 from weblake.plans import reports as R
 from weblake.plans.filters import Filters
 from weblake.session import prepare
-from weblake.sources import envelope, text
+from weblake.plans.ingest import ensure_lake
+from weblake.sources import envelope, lake, text
 from weblake.sources.weblog import read_table, read_weblog
 
 # the star the reports read is flagged with daily windows (see DAILY_TEST)
@@ -61,10 +62,19 @@ def codes(spark, d):
     return geo.country_codes_from_nation(read_table(spark, d, "nation"))
 
 
-def star(spark, d) -> star_mod.Star:
+def star_in_memory(spark, d) -> star_mod.Star:
+    """The star as one lazy plan from raw lines (no storage)."""
     return star_mod.Star.build(detect.flag(events(spark, d), STAR_CONFIG), ranges(spark, d))
 
 
+def star(spark, d) -> star_mod.Star:
+    """The star as the reports see it: written once by the batch ingest job
+    (parse, quarantine, flag, dims, fact) and read back from the lake."""
+    inputs = [f"{d.rstrip('/')}/{t}.parquet" for t in ("events", "nation")]
+    root = ensure_lake(spark, lines(spark, d), inputs, ranges(spark, d), STAR_CONFIG)
+    return lake.read_star(spark, root)
+
+
 def series(spark, d):
     return fc.materialise(fc.hourly_series(star(spark, d)))
 

@@ -23,7 +23,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weblake.operators.star import DIMS, Star, keep_last
+from weblake.operators.star import DIMS, FACT_SCHEMA, Star, keep_last
 
 
 def _p(root: str, name: str) -> str:
@@ -74,7 +74,7 @@ def write_predictions(pred: DataFrame, root: str) -> None:
 
 
 def read_star(spark: SparkSession, root: str) -> Star:
-    fact = spark.read.parquet(_p(root, "fact"))
+    fact = spark.read.schema(FACT_SCHEMA).parquet(_p(root, "fact"))
     dims = {}
     for name, d in DIMS.items():
         path = _p(root, name)
