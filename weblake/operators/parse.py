@@ -32,30 +32,57 @@ def _null(t: str) -> Column:
     return F.lit(None).cast(t)
 
 
-def _access_groups(message: Column, pattern: str = ACCESS_PATTERN) -> dict[str, Column]:
-    g = lambda i: F.regexp_extract(message, pattern, i)
-    return {
-        "ip": g(1), "time": g(2), "method": g(3), "page": g(4),
-        "status": g(6), "bytes": g(7), "referrer": g(8), "agent": g(9),
-    }
+# Single-pass extraction: one regex match per line rewrites the line to
+# SEP g1 SEP g2 ... (Java replacement syntax), and a split on SEP gives every
+# group. `\A(?s:.*?)(?:P)(?s:.*)` matches where find() would: the lazy prefix
+# tries each start position in order. The rewrite is its own projection so it
+# runs once per line (Catalyst does not inline a costly expression that is
+# used several times). The rewrite is guarded by `spark_partition_id()`
+# (always >= 0, but non-deterministic), so Catalyst does not push the later
+# `ip != ''` filter below it: otherwise the filter would repeat the rewrite under the
+# projection (twice the regex work per line) and, for a small input spread
+# over more tasks, run it inside the single scan task before the spread.
+# A line that already contains SEP cannot be split safely; those lines (none
+# in practice) take the per-group regexp_extract.
+SEP = "\u0001"
+
+
+def with_groups(df: DataFrame, pattern: str, groups: list[int], keep: tuple[str, ...]) -> tuple[DataFrame, dict]:
+    """Add the raw regex rewrite of ``message``; return (df, {group: Column})
+    with regexp_extract semantics ('' when the line does not match)."""
+    whole = r"\A(?s:.*?)(?:" + pattern + r")(?s:.*)"
+    template = "".join(SEP + f"${g}" for g in groups)
+    m = F.col("message")
+    df = df.select(*keep, m.alias("_msg"),
+                   F.when(F.spark_partition_id() >= 0, F.regexp_replace(m, whole, template))
+                   .alias("_rw"),
+                   F.contains(m, F.lit(SEP)).alias("_unsafe"))
+    matched = F.startswith(F.col("_rw"), F.lit(SEP))
+    parts = F.split(F.substring(F.col("_rw"), 2, 1 << 30), SEP)
+    out = {}
+    for i, g in enumerate(groups):
+        fast = F.when(matched, parts[i]).otherwise(F.lit(""))
+        out[g] = F.when(F.col("_unsafe"), F.regexp_extract("_msg", pattern, g)).otherwise(fast)
+    return df, out
 
 
 def access_events(lines: DataFrame, pattern: str = ACCESS_PATTERN, keep: tuple[str, ...] = ()) -> DataFrame:
     """Access lines in the unified schema, parsed or not (unparsed: ip = '').
     Columns named in `keep` pass through unchanged."""
-    g = _access_groups(F.col("message"), pattern)
-    return lines.filter(F.col("log_type") == "access").select(
+    df, g = with_groups(lines.filter(F.col("log_type") == "access"), pattern,
+                        [1, 2, 3, 4, 6, 7, 8, 9], keep)
+    return df.select(
         *keep,
-        F.try_to_timestamp(g["time"], F.lit(ACCESS_TIME_FORMAT)).alias("timestamp"),
+        F.try_to_timestamp(g[2], F.lit(ACCESS_TIME_FORMAT)).alias("timestamp"),
         F.lit("access").alias("log_type"),
-        g["ip"].alias("ip"),
-        g["method"].alias("method"),
-        g["page"].alias("page"),
-        g["page"].alias("request"),
-        g["status"].try_cast("int").alias("status"),
-        g["bytes"].try_cast("bigint").alias("bytes"),
-        g["referrer"].alias("referrer"),
-        g["agent"].alias("agent"),
+        g[1].alias("ip"),
+        g[3].alias("method"),
+        g[4].alias("page"),
+        g[4].alias("request"),
+        g[6].try_cast("int").alias("status"),
+        g[7].try_cast("bigint").alias("bytes"),
+        g[8].alias("referrer"),
+        g[9].alias("agent"),
         _null("string").alias("log_level"),
         _null("string").alias("error_message"),
     )
@@ -63,13 +90,12 @@ def access_events(lines: DataFrame, pattern: str = ACCESS_PATTERN, keep: tuple[s
 
 def error_events(lines: DataFrame, pattern: str = ERROR_PATTERN, keep: tuple[str, ...] = ()) -> DataFrame:
     """Error lines in the unified schema, parsed or not (unparsed: ip = '')."""
-    m = F.col("message")
-    g = lambda i: F.regexp_extract(m, pattern, i)
-    return lines.filter(F.col("log_type") == "error").select(
+    df, g = with_groups(lines.filter(F.col("log_type") == "error"), pattern, [1, 2, 3, 4], keep)
+    return df.select(
         *keep,
-        F.try_to_timestamp(g(1), F.lit(ERROR_TIME_FORMAT)).alias("timestamp"),
+        F.try_to_timestamp(g[1], F.lit(ERROR_TIME_FORMAT)).alias("timestamp"),
         F.lit("error").alias("log_type"),
-        F.split(g(3), ",")[0].alias("ip"),
+        F.split(g[3], ",")[0].alias("ip"),
         _null("string").alias("method"),
         _null("string").alias("page"),
         _null("string").alias("request"),
@@ -77,8 +103,8 @@ def error_events(lines: DataFrame, pattern: str = ERROR_PATTERN, keep: tuple[str
         _null("bigint").alias("bytes"),
         _null("string").alias("referrer"),
         _null("string").alias("agent"),
-        g(2).alias("log_level"),
-        g(4).alias("error_message"),
+        g[2].alias("log_level"),
+        g[4].alias("error_message"),
     )
 
 

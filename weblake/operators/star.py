@@ -46,6 +46,15 @@ class Dim:
     def columns(self) -> tuple[str, ...]:
         return (self.id_col, *self.keys, *self.attrs)
 
+    @property
+    def schema(self) -> StructType:
+        """Stored layout: id, string keys and attributes, the writing batch."""
+        return StructType(
+            [StructField(self.id_col, LongType())]
+            + [StructField(c, StringType()) for c in (*self.keys, *self.attrs)]
+            + [StructField("batch_id", LongType())]
+        )
+
 
 DIMS: dict[str, Dim] = {
     d.name: d

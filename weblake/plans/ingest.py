@@ -73,8 +73,8 @@ def _fingerprint(spark, inputs: list[str], extra: str) -> str:
 LAKE_VERSION = "1"
 
 
-def ensure_lake(spark, lines: DataFrame, inputs: list[str], ranges: DataFrame,
-                cfg: DetectConfig, base: str | None = None, **geo) -> str:
+def ensure_lake(spark, lines, inputs: list[str], ranges, cfg: DetectConfig,
+                base: str | None = None, **geo) -> str:
     """Build the star for `lines` once (batch 0) and return its folder.
 
     The folder lives under the shared checkpoint folder and is named after a
@@ -90,6 +90,9 @@ def ensure_lake(spark, lines: DataFrame, inputs: list[str], ranges: DataFrame,
     marker = os.path.join(root, "_BUILT")
     if lake._exists(spark, marker):
         return root
+    # `lines` / `ranges` may be DataFrames or callables (only needed to build)
+    lines = lines() if callable(lines) else lines
+    ranges = ranges() if callable(ranges) else ranges
     process_batch(lines, 0, root, ranges, cfg, **geo)
     spark.createDataFrame([(1,)], "ok int").coalesce(1).write.mode("overwrite").json(marker)
     return root

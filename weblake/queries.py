@@ -67,12 +67,18 @@ def star_in_memory(spark, d) -> star_mod.Star:
     return star_mod.Star.build(detect.flag(events(spark, d), STAR_CONFIG), ranges(spark, d))
 
 
+_STARS: dict[tuple[str, str], star_mod.Star] = {}
+
+
 def star(spark, d) -> star_mod.Star:
     """The star as the reports see it: written once by the batch ingest job
     (parse, quarantine, flag, dims, fact) and read back from the lake."""
     inputs = [f"{d.rstrip('/')}/{t}.parquet" for t in ("events", "nation")]
-    root = ensure_lake(spark, lines(spark, d), inputs, ranges(spark, d), STAR_CONFIG)
-    return lake.read_star(spark, root)
+    root = ensure_lake(spark, lambda: lines(spark, d), inputs, lambda: ranges(spark, d), STAR_CONFIG)
+    key = (spark.sparkContext.applicationId, root)
+    if key not in _STARS:  # lazy plans only; the data stays in the lake
+        _STARS[key] = lake.read_star(spark, root)
+    return _STARS[key]
 
 
 def series(spark, d):

@@ -79,7 +79,7 @@ def read_star(spark: SparkSession, root: str) -> Star:
     for name, d in DIMS.items():
         path = _p(root, name)
         if _exists(spark, path):
-            raw = spark.read.parquet(path)
+            raw = spark.read.schema(d.schema).parquet(path)
             dims[name] = keep_last(raw, d.id_col, "batch_id", [*d.columns, "batch_id"])
     return Star(fact, dims)
 
