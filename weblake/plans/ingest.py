@@ -39,6 +39,10 @@ def process_batch(batch: DataFrame, batch_id: int, root: str, ranges: DataFrame,
     if batch.isEmpty():
         return BatchResult(batch_id, skipped=True)
     events = batch if is_parsed_batch(batch) else all_events(batch, keep=("message",))
+    if "message" in events.columns:
+        # the raw line is only kept where it is needed: unparsed rows
+        events = events.withColumn(
+            "message", F.when(F.col("ip") == "", F.col("message")))
     events = events.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good = events.filter(F.col("ip") != "")

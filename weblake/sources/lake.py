@@ -55,10 +55,22 @@ def write_dim(dim: DataFrame, name: str, root: str, batch_id: int) -> None:
     new.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")).write.mode("append").parquet(path)
 
 
-def write_star(star: Star, root: str, batch_id: int) -> None:
-    """Dims first, then the fact: a reader never sees fact ids without dims."""
-    for name, dim in star.dims.items():
-        write_dim(dim, name, root, batch_id)
+def write_star(star: Star, root: str, batch_id: int, parallel: bool = True) -> None:
+    """Dims first, then the fact: a reader never sees fact ids without dims.
+
+    The five dimension writes are independent jobs over the same persisted
+    input, so they are submitted together from threads and share the cluster.
+    """
+    items = list(star.dims.items())
+    if parallel and len(items) > 1:
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=len(items)) as pool:
+            for f in [pool.submit(write_dim, dim, name, root, batch_id) for name, dim in items]:
+                f.result()
+    else:
+        for name, dim in items:
+            write_dim(dim, name, root, batch_id)
     write_fact(star.fact, root, batch_id)
 
 
