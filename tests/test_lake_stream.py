@@ -134,3 +134,21 @@ def test_empty_batch_is_skipped(spark, tmpdir_path):
     r = process_batch(empty, 1, tmpdir_path, Q.ranges(spark, SF001), PER_BATCH)
     assert r.skipped and not os.path.exists(os.path.join(tmpdir_path, "fact"))
     assert parse.parse_lines(empty).count() == 0
+
+
+def test_dedupe_on_read_and_compaction(spark, tmpdir_path):
+    from weblake.operators.star import Star
+
+    root = os.path.join(tmpdir_path, "lake")
+    process_batch(Q.lines(spark, SF001), 0, root, Q.ranges(spark, SF001), PER_BATCH)
+    # a second writer appends an overlapping dim without the anti-join
+    dup = spark.read.parquet(os.path.join(root, "dim_user_agent")).withColumn("batch_id", F.lit(5).cast("bigint"))
+    dup.write.mode("append").parquet(os.path.join(root, "dim_user_agent"))
+    raw = lake.read_star(spark, root)
+    assert raw.dim("dim_user_agent").count() == 2 * dup.count()
+    deduped = lake.read_star(spark, root, dedupe=True)
+    assert deduped.dim("dim_user_agent").count() == dup.count()
+    target = os.path.join(tmpdir_path, "compact")
+    lake.compact_dims(spark, root, target)
+    assert spark.read.parquet(os.path.join(target, "dim_user_agent")).count() == dup.count()
+    assert isinstance(deduped, Star)

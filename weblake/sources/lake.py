@@ -10,8 +10,9 @@ Layout under one root folder::
 * Fact: dynamic partition overwrite of the batch's partitions, so writing a
   batch twice (a restart after a partial write) leaves one copy.
 * Dims: only ids not yet stored are appended (anti-join on the id), each row
-  tagged with its ``batch_id``; reads keep the last row per id, so even a
-  duplicate that slipped in never multiplies fact rows in a report.
+  tagged with its ``batch_id``, so a dim is unique on the id and a report's
+  join never multiplies fact rows. Lakes with several writers re-apply
+  keep-last per id on read (``dedupe=True``) or compact once.
 * Month partitions let a time filter prune whole months; the sort within
   partitions gives tight row-group min/max on ``timestamp``.
 """
@@ -50,8 +51,12 @@ def write_dim(dim: DataFrame, name: str, root: str, batch_id: int) -> None:
     path = _p(root, name)
     new = dim.select(*d.columns)
     if _exists(spark, path):
-        stored = spark.read.parquet(path).select(d.id_col)
-        new = new.join(stored, on=d.id_col, how="left_anti")
+        # Which of this batch's ids are stored already? Semi-join the stored
+        # dim (scanned, not shuffled when the batch side is small: AQE can
+        # broadcast it at run time) with the batch's ids, then drop those.
+        stored = spark.read.schema(d.schema).parquet(path).select(d.id_col)
+        seen = stored.join(new.select(d.id_col), on=d.id_col, how="left_semi")
+        new = new.join(seen, on=d.id_col, how="left_anti")
     new.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")).write.mode("append").parquet(path)
 
 
@@ -85,16 +90,35 @@ def write_predictions(pred: DataFrame, root: str) -> None:
     pred.write.mode("overwrite").parquet(_p(root, "predictions"))
 
 
-def read_star(spark: SparkSession, root: str) -> Star:
+def read_star(spark: SparkSession, root: str, dedupe: bool = False) -> Star:
+    """Fact and dims of a lake folder.
+
+    Dims are unique on write (one writer, anti-join on the id), so they are
+    read as stored. ``dedupe=True`` re-applies keep-last per id on read, for
+    folders that several writers appended to; :func:`compact_dims` does the
+    same once, on storage.
+    """
     fact = spark.read.schema(FACT_SCHEMA).parquet(_p(root, "fact"))
     dims = {}
     for name, d in DIMS.items():
         path = _p(root, name)
         if _exists(spark, path):
             raw = spark.read.schema(d.schema).parquet(path)
-            dims[name] = keep_last(raw, d.id_col, "batch_id", [*d.columns, "batch_id"])
+            dims[name] = (keep_last(raw, d.id_col, "batch_id", [*d.columns, "batch_id"])
+                          if dedupe else raw.select(*d.columns))
     return Star(fact, dims)
 
 
+def compact_dims(spark: SparkSession, root: str, target: str) -> None:
+    """Rewrite every dim with one row per id (the last batch's), to `target`."""
+    for name, d in DIMS.items():
+        path = _p(root, name)
+        if _exists(spark, path):
+            raw = spark.read.schema(d.schema).parquet(path)
+            last = keep_last(raw, d.id_col, "batch_id", [*d.columns, "batch_id"])
+            batch = raw.groupBy(d.id_col).agg(F.max("batch_id").alias("batch_id"))
+            last.join(batch, d.id_col).write.mode("overwrite").parquet(_p(target, name))
+
+
 def read_predictions(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(_p(root, "predictions"))
