@@ -101,3 +101,14 @@ def test_tagged_text_and_stitched_files(spark, tmpdir_path):
     recs = sorted((r.rec, r.message) for r in text.read_stitched(spark, err).collect())
     assert recs == [(1, "2025/10/28 10:00:00 [error] first\n  continued"),
                     (2, "2025/10/28 10:00:01 [warn] second\n")]
+
+
+def test_train_save_load_predict(spark, tmpdir_path):
+    sdf, _ = _series(spark)
+    fc.train(sdf, tmpdir_path)
+    saved = fc.predict_saved(spark, tmpdir_path).toPandas()
+    direct = fc.forecast_fourier(sdf).toPandas()
+    np.testing.assert_allclose(saved["predicted_upper"].to_numpy(), direct["predicted_upper"].to_numpy(),
+                               rtol=1e-9, atol=1e-9)
+    last = sdf.agg(F.max("ds")).first()[0]
+    assert fc.predict_saved(spark, tmpdir_path, as_of=last + dt.timedelta(hours=22)).count() == 2

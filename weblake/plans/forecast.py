@@ -222,3 +222,40 @@ def actual_vs_forecast(actuals: DataFrame, pred: DataFrame) -> DataFrame:
     p = pred.select(F.col("timestamp").alias("hour"), F.col("predicted_requests").alias("requests"),
                     F.lit("forecast").alias("type"))
     return a.unionByName(p)
+
+
+# ------------------------------------------------------------ persistence
+def train(series: DataFrame, model_dir: str) -> None:
+    """Fit the Fourier model and save it with Spark ML persistence, plus a
+    one-row table of what prediction needs (first hour, last hour, sigma)."""
+    model, _va, _t0, sigma = fit_fourier(series)
+    model.write().overwrite().save(f"{model_dir}/model")
+    meta = series.agg(F.min("ds").alias("t0"), F.max("ds").alias("last")).select(
+        "t0", "last", sigma.alias("sigma"))
+    meta.write.mode("overwrite").parquet(f"{model_dir}/meta")
+
+
+def predict_saved(spark, model_dir: str, horizon: int = HORIZON, as_of=None, z: float = Z80) -> DataFrame:
+    """Load a saved model and forecast `horizon` hours after its last hour;
+    with `as_of`, only hours after it are kept (a stale model yields fewer)."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegressionModel
+
+    model = LinearRegressionModel.load(f"{model_dir}/model")
+    meta = spark.read.parquet(f"{model_dir}/meta")
+    fut = meta.select(
+        "t0", "sigma",
+        F.explode(F.sequence(F.col("last") + F.expr("INTERVAL 1 HOUR"),
+                             F.col("last") + F.expr(f"INTERVAL {int(horizon)} HOURS"),
+                             F.expr("INTERVAL 1 HOUR"))).alias("ds"))
+    design = fut.select("*", _hours_since(F.col("ds"), F.col("t0")).alias("t"), *_fourier_exprs(F.col("ds")))
+    va = VectorAssembler(inputCols=FEATURES, outputCol="features")
+    yhat = F.col("prediction")
+    pred = model.transform(va.transform(design)).select(
+        F.col("ds").alias("timestamp"), yhat.alias("predicted_requests"),
+        (yhat - F.lit(z) * F.col("sigma")).alias("predicted_lower"),
+        (yhat + F.lit(z) * F.col("sigma")).alias("predicted_upper"),
+    )
+    if as_of is not None:
+        pred = pred.filter(F.col("timestamp") > F.lit(str(as_of)).cast("timestamp"))
+    return pred.orderBy("timestamp")
