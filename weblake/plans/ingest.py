@@ -64,13 +64,12 @@ def _fingerprint(spark, inputs: list[str], extra: str) -> str:
     """Digest of input paths, sizes and modification times plus settings."""
     import hashlib
 
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
+    from weblake.sources import fs
+
     h = hashlib.sha256(extra.encode())
     for path in inputs:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        st = p.getFileSystem(conf).getFileStatus(p)
-        h.update(f"{path}|{st.getLen()}|{st.getModificationTime()}".encode())
+        size, mtime = fs.status(spark, path)
+        h.update(f"{path}|{size}|{mtime}".encode())
     return h.hexdigest()[:16]
 
 

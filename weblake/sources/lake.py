@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weblake.operators.star import DIMS, FACT_SCHEMA, Star, keep_last
+from weblake.sources import fs
 
 
 def _p(root: str, name: str) -> str:
@@ -32,10 +33,7 @@ def _p(root: str, name: str) -> str:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm  # Hadoop FileSystem check, works for any scheme
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    return fs.exists(spark, path)
 
 
 def write_fact(fact: DataFrame, root: str, batch_id: int) -> None:
