@@ -152,3 +152,14 @@ def test_dedupe_on_read_and_compaction(spark, tmpdir_path):
     lake.compact_dims(spark, root, target)
     assert spark.read.parquet(os.path.join(target, "dim_user_agent")).count() == dup.count()
     assert isinstance(deduped, Star)
+
+
+def test_windowed_verdicts_approx_mode_runs(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "in")
+    _write_envelope_files(spark, src, n_files=2)
+    events = job.parsed_stream(job.envelope_file_stream(spark, src))
+    q = (job.windowed_verdicts(events, DAILY_TEST, watermark="1 hour", approx=True).writeStream
+         .format("memory").queryName("approx_verdicts").outputMode("append")
+         .option("checkpointLocation", os.path.join(tmpdir_path, "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.sql("SELECT count(*) FROM approx_verdicts").first()[0] > 0

@@ -26,7 +26,8 @@ from weblake.functions.ip import ipv4_to_long
 from weblake.functions.patterns import ERROR_COUNTRY, UNKNOWN_COUNTRY
 
 DEFAULT_BUCKET_PREFIX = 16
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# ~60 bytes per bucket row: 500k rows is about 30 MB on every executor
+DEFAULT_MAX_BROADCAST_ROWS = 500_000
 
 
 def geo_ranges_from_nation(nation: DataFrame) -> DataFrame:
@@ -127,7 +128,7 @@ def known_country(col: str = "country"):
 def with_iso(df: DataFrame, codes: DataFrame, col: str = "country") -> DataFrame:
     """Add `iso_alpha3`; rows without a code are dropped (inner join).
 
-    The code table is bounded by the number of countries (~250 rows), so it
-    is broadcast.
+    No hint: the code table is an input of unknown size, so Spark's size
+    statistics (and AQE's run-time sizes) decide whether to broadcast it.
     """
-    return df.join(F.broadcast(codes.withColumnRenamed("country", col)), on=col, how="inner")
+    return df.join(codes.withColumnRenamed("country", col), on=col, how="inner")
