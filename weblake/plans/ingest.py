@@ -51,6 +51,9 @@ def process_batch(batch: DataFrame, batch_id: int, root: str, ranges: DataFrame,
                                   root, batch_id)
             good = good.drop("message")
         flagged = flag_events(good, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+        # fill the cache in one job; the dim writes below run concurrently and
+        # would otherwise each compute the flags before the cache exists
+        flagged.count()
         try:
             lake.write_star(Star.build(flagged, ranges, **geo), root, batch_id)
         finally:
