@@ -60,3 +60,13 @@ def test_with_iso_drops_unmapped(spark):
     assert spark.createDataFrame([("Unknown",), ("Error",), (None,)], "country string").filter(
         geo.known_country()).count() == 0
     assert F is not None
+
+
+def test_geo_index_reused(spark):
+    idx = geo.geo_index(_ranges(spark), 16)
+    assert idx.broadcast and idx.rows == geo.bucketed_ranges(_ranges(spark), 16).count()
+    df = spark.createDataFrame([("1.0.1.5",), ("9.9.9.9",)], "ip string")
+    assert {r.country for r in geo.enrich_country(df, idx).collect()} == {"B", "Unknown"}
+    small = geo.geo_index(_ranges(spark), 16, max_broadcast_rows=0)
+    assert not small.broadcast
+    assert {r.country for r in geo.lookup_countries(df, small).collect()} == {"B", "Unknown"}

@@ -19,6 +19,8 @@ database reader in per-row lookups) cannot occur here.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -91,29 +93,49 @@ def _range_join(left: DataFrame, buckets: DataFrame, bucket_prefix: int) -> Data
     )
 
 
+@dataclass(frozen=True)
+class GeoIndex:
+    """Bucketed ranges plus the broadcast decision, built once and reused
+    (a stream builds it at start instead of sizing the ranges every batch)."""
+
+    buckets: DataFrame
+    rows: int
+    bucket_prefix: int
+    broadcast: bool
+
+
+def geo_index(ranges, bucket_prefix: int = DEFAULT_BUCKET_PREFIX,
+              max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> GeoIndex:
+    if isinstance(ranges, GeoIndex):
+        return ranges
+    rows = bucket_row_count(ranges, bucket_prefix)
+    return GeoIndex(bucketed_ranges(ranges, bucket_prefix), rows, bucket_prefix,
+                    rows <= max_broadcast_rows)
+
+
 def lookup_countries(
     ips: DataFrame,
-    ranges: DataFrame,
+    ranges,
     bucket_prefix: int = DEFAULT_BUCKET_PREFIX,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Distinct `ip` values -> `(ip, country)`."""
-    buckets = bucketed_ranges(ranges, bucket_prefix)
-    if bucket_row_count(ranges, bucket_prefix) <= max_broadcast_rows:
-        buckets = F.broadcast(buckets)
-    return _range_join(ips.select("ip").distinct(), buckets, bucket_prefix)
+    """Distinct `ip` values -> `(ip, country)`. `ranges`: a range table or a GeoIndex."""
+    idx = geo_index(ranges, bucket_prefix, max_broadcast_rows)
+    buckets = F.broadcast(idx.buckets) if idx.broadcast else idx.buckets
+    return _range_join(ips.select("ip").distinct(), buckets, idx.bucket_prefix)
 
 
 def enrich_country(
     df: DataFrame,
-    ranges: DataFrame,
+    ranges,
     bucket_prefix: int = DEFAULT_BUCKET_PREFIX,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Rows of `df` plus `country` from their `ip`."""
-    if bucket_row_count(ranges, bucket_prefix) <= max_broadcast_rows:
-        return _range_join(df, F.broadcast(bucketed_ranges(ranges, bucket_prefix)), bucket_prefix)
-    mapping = lookup_countries(df, ranges, bucket_prefix, max_broadcast_rows=-1)
+    idx = geo_index(ranges, bucket_prefix, max_broadcast_rows)
+    if idx.broadcast:
+        return _range_join(df, F.broadcast(idx.buckets), idx.bucket_prefix)
+    mapping = _range_join(df.select("ip").distinct(), idx.buckets, idx.bucket_prefix)
     return df.join(mapping, on="ip", how="left").withColumn(
         "country", F.coalesce(F.col("country"), F.lit(UNKNOWN_COUNTRY))
     )

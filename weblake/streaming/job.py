@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from weblake.functions.patterns import LOGIN_METHOD, LOGIN_PAGE
 from weblake.operators.detect import PER_BATCH, DetectConfig, verdict_type
+from weblake.operators.geo import geo_index
 from weblake.operators.parse import all_events
 from weblake.plans.ingest import process_batch
 from weblake.sources.envelope import ENVELOPE_SCHEMA
@@ -49,8 +50,10 @@ def _trigger_kwargs(trigger: str | None) -> dict:
 def start_ingest(lines: DataFrame, root: str, checkpoint: str, ranges: DataFrame,
                  cfg: DetectConfig = PER_BATCH, trigger: str | None = "15 seconds",
                  **geo) -> StreamingQuery:
-    """Start the ingest stream; returns the running query."""
-    handler = partial(_handle, root=root, ranges=ranges, cfg=cfg, geo=geo)
+    """Start the ingest stream; returns the running query. The geo index
+    (bucketed ranges and the broadcast decision) is built once here."""
+    index = geo_index(ranges, **geo)
+    handler = partial(_handle, root=root, ranges=index, cfg=cfg, geo={})
     return (parsed_stream(lines).writeStream.foreachBatch(handler)
             .outputMode("append").option("checkpointLocation", checkpoint)
             .trigger(**_trigger_kwargs(trigger)).start())
