@@ -133,7 +133,7 @@ def profile_sql(keys: str) -> str:
   SELECT {keys},
     count(*) AS request_count,
     count(DISTINCT page) AS distinct_pages,
-    count_if(page = '/login' AND method = 'POST') AS login_posts
+    CAST(count_if(page = '/login' AND method = 'POST') AS BIGINT) AS login_posts
   FROM unified WHERE log_type = 'access' GROUP BY ALL"""
 
 
@@ -396,10 +396,10 @@ def queries() -> dict[str, str]:
         " SELECT DISTINCT method FROM star WHERE method IS NOT NULL AND method <> ''")
     q["requests_by_class_per_minute"] = _star() + """
       SELECT date_trunc('minute', timestamp) AS minute,
-        count_if(status >= 200 AND status < 300) AS success_2xx,
-        count_if(status >= 300 AND status < 400) AS redirects_3xx,
-        count_if(status >= 400 AND status < 500) AS client_errors_4xx,
-        count_if(status >= 500) AS server_errors_5xx
+        CAST(count_if(status >= 200 AND status < 300) AS BIGINT) AS success_2xx,
+        CAST(count_if(status >= 300 AND status < 400) AS BIGINT) AS redirects_3xx,
+        CAST(count_if(status >= 400 AND status < 500) AS BIGINT) AS client_errors_4xx,
+        CAST(count_if(status >= 500) AS BIGINT) AS server_errors_5xx
       FROM star WHERE log_type = 'access' GROUP BY 1"""
     q["avg_bytes_per_minute"] = _star() + """
       SELECT date_trunc('minute', timestamp) AS minute, round(avg(bytes), 6) AS avg_bytes
@@ -409,7 +409,7 @@ def queries() -> dict[str, str]:
       FROM star s JOIN country_codes c ON c.country = s.country
       WHERE {KNOWN_COUNTRY.replace('country', 's.country')} GROUP BY s.country, c.iso_alpha3"""
     q["error_rate_by_country"] = _star() + f"""
-      SELECT s.country, count_if(s.status >= 400) AS error_count, count(*) AS total_count,
+      SELECT s.country, CAST(count_if(s.status >= 400) AS BIGINT) AS error_count, count(*) AS total_count,
         round(CAST(count_if(s.status >= 400) AS DOUBLE) / count(*) * 100, 6) AS error_rate,
         c.iso_alpha3 AS iso_alpha
       FROM star s JOIN country_codes c ON c.country = s.country
@@ -453,7 +453,7 @@ grid AS (
       GROUP BY error_message ORDER BY cnt DESC, error_message ASC NULLS FIRST LIMIT 10"""
     q["error_levels_per_minute"] = _star() + """
       SELECT date_trunc('minute', timestamp) AS minute,
-        count_if(log_level = 'error') AS errors, count_if(log_level = 'warn') AS warnings
+        CAST(count_if(log_level = 'error') AS BIGINT) AS errors, CAST(count_if(log_level = 'warn') AS BIGINT) AS warnings
       FROM star WHERE log_type = 'error' GROUP BY 1"""
     q["recent_errors"] = _star() + """
       SELECT timestamp, ip, country, log_level, error_message FROM star WHERE log_type = 'error'

@@ -22,7 +22,7 @@ from weblake.plans.filters import Filters
 from weblake.session import prepare
 from weblake.plans.ingest import ensure_lake
 from weblake.sources import envelope, lake, text
-from weblake.sources.weblog import read_table, read_weblog
+from weblake.sources.weblog import read_table, read_weblog, spread
 
 # the star the reports read is flagged with daily windows (see DAILY_TEST)
 STAR_CONFIG = DAILY_TEST
@@ -139,14 +139,14 @@ def _uniq_approx(s, p, rsd: float = 0.05):
 
 
 def _multiline(s, p):
-    docs = read_table(s, p, "documents")
+    docs = spread(read_table(s, p, "documents"), key="doc_id")
     return text.stitch(docs, "text", "[A-Z]", keep=("doc_id",))
 
 
 def _oversize(s, p):
-    docs = read_table(s, p, "documents")
+    docs = spread(read_table(s, p, "documents"), key="doc_id")
     return docs.filter(envelope.fits("text", OVERSIZE_TEST_BYTES)).select(
-        "doc_id", F.octet_length("text").alias("n_bytes"))
+        "doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"))
 
 
 def _envelope_decode(s, p):
