@@ -3,13 +3,24 @@
 A log file is read as lines tagged with its ``log_type``. Error logs can
 carry continuation lines (a stack, a wrapped message); a record starts at a
 line matching a start pattern and every other line joins the record before
-it. Stitching is a per-row regex split at each newline followed by a start:
-no window, no shuffle, and each text is processed whole.
+it.
+
+* Text held in a column (:func:`stitch`): a per-row regex split at each
+  newline followed by a start. No window, no shuffle, each text whole.
+* Log files (:func:`read_stitched`): read as lines, so a large file is split
+  across tasks like any text input and never becomes one row. Within each
+  file split a running count of starts numbers the records; a small table
+  with one row per split (a map-side combined count over a second scan)
+  adds the starts of the file's earlier splits. Lines before a split's
+  first start get that offset unchanged, which is exactly the record still
+  open from an earlier split. The window is bounded by a split, the final
+  grouping by a record; the lines are shuffled twice, the input read twice.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weblake.functions.patterns import ERROR_RECORD_START
@@ -46,16 +57,40 @@ def stitch(df: DataFrame, text: str = "text", start: str = "[A-Z]",
     )
 
 
-def read_stitched(spark: SparkSession, path: str, log_type: str = "error",
-                  start: str = ERROR_RECORD_START) -> DataFrame:
-    """Whole files -> stitched records `(file, rec, message, log_type)`.
-
-    One row per file before the split: suits rotated log files; a file is one
-    task's input.
-    """
-    df = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"), F.col("value").alias("text")
+def file_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """`(file, blk, seq, line)`: lines with their file, split start and a
+    per-task sequence number taken straight after the scan (line order
+    within a split)."""
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("blk"),
+        F.monotonically_increasing_id().alias("seq"),
+        F.col("value").alias("line"),
     )
-    return stitch(df, "text", start, keep=("file",)).select(
+
+
+def stitch_lines(lines: DataFrame, start: str = ERROR_RECORD_START) -> DataFrame:
+    """`(file, blk, seq, line)` -> `(file, rec, record)`, records numbered per
+    file from 1 (lines before the file's first start are record 0)."""
+    is_start = F.col("line").rlike(rf"^(?:{start})").cast("int")
+    in_split = Window.partitionBy("file", "blk").orderBy("seq").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    local = lines.withColumn("lr", F.sum(is_start).over(in_split))
+    earlier = Window.partitionBy("file").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
+    # starts per split straight from the scan: combined map-side, so this
+    # branch shuffles one row per split and task, never the lines
+    stats = lines.groupBy("file", "blk").agg(F.sum(is_start).alias("n"))
+    offsets = stats.select("file", "blk", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    numbered = local.join(offsets, ["file", "blk"]).select(
+        "file", (F.col("base") + F.col("lr")).alias("rec"), "blk", "seq", "line")
+    parts = F.array_sort(F.collect_list(F.struct("blk", "seq", "line")))
+    return numbered.groupBy("file", "rec").agg(
+        F.concat_ws("\n", F.transform(parts, lambda x: x["line"])).alias("record"))
+
+
+def read_stitched(spark: SparkSession, path: str | list[str], log_type: str = "error",
+                  start: str = ERROR_RECORD_START) -> DataFrame:
+    """Log files -> stitched records `(file, rec, message, log_type)`."""
+    return stitch_lines(file_lines(spark, path), start).select(
         "file", "rec", F.col("record").alias("message"), F.lit(log_type).alias("log_type")
     )
