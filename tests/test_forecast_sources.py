@@ -142,3 +142,16 @@ def test_train_save_load_predict(spark, tmpdir_path):
                                rtol=1e-9, atol=1e-9)
     last = sdf.agg(F.max("ds")).first()[0]
     assert fc.predict_saved(spark, tmpdir_path, as_of=last + dt.timedelta(hours=22)).count() == 2
+
+
+def test_total_bytes_stops_at_bound(spark, tmpdir_path):
+    from weblake.sources import fs
+
+    paths = []
+    for i in range(3):
+        p = os.path.join(tmpdir_path, f"b{i}.bin")
+        with open(p, "wb") as f:
+            f.write(b"x" * 100)
+        paths.append(p)
+    assert fs.total_bytes(spark, paths) == 300
+    assert fs.total_bytes(spark, paths, stop_at=150) == 200
