@@ -155,3 +155,24 @@ def test_total_bytes_stops_at_bound(spark, tmpdir_path):
         paths.append(p)
     assert fs.total_bytes(spark, paths) == 300
     assert fs.total_bytes(spark, paths, stop_at=150) == 200
+
+
+def test_spread_leaves_many_files_alone(spark, tmpdir_path, monkeypatch):
+    from weblake.sources import weblog
+
+    path = os.path.join(tmpdir_path, "many")
+    spark.range(40).repartition(4).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert "Exchange" in _plan(weblog.spread(df, key="id"))  # small input: spread
+    monkeypatch.setattr(weblog, "SPREAD_MAX_FILES", 2)
+    assert weblog.spread(df, key="id") is df  # more files than the bound: untouched
+
+
+def _plan(df) -> str:
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
