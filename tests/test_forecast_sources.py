@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import re
 
 import numpy as np
 import pandas as pd
@@ -176,3 +177,14 @@ def _plan(df) -> str:
     with contextlib.redirect_stdout(buf):
         df.explain()
     return buf.getvalue()
+
+
+def test_stitched_plan_is_split_bounded(spark, tmpdir_path):
+    """The running count is windowed per file split, never per whole file."""
+    p = os.path.join(tmpdir_path, "plan.log")
+    with open(p, "w") as f:
+        f.write("2025/10/28 10:00:00 [error] a\n  b\n")
+    plan = _plan(text.read_stitched(spark, p))
+    assert "file_block_start" in plan
+    assert re.search(r"windowspecdefinition\(file#\d+, blk#\d+L?, seq", plan)
+    assert "wholetext" not in plan.lower()
