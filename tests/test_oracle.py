@@ -8,7 +8,13 @@ import pytest
 from conftest import SF001
 from oracle_check import compare, duck
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from weblake import oracle
+from weblake.queries import registered as queries
+
+
+def oracle_sql():
+    return {k: v for k, v in oracle.queries().items() if k in queries()}
 
 
 @pytest.fixture(scope="module")
