@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weblake.llm import packing
+from weblake.llm import idstore, packing
+from weblake.session import checkpoint_dir
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -20,8 +23,15 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumn("ids_crc32", F.crc32("tokens")).drop("tokens")
 
 
+def op5_id_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{checkpoint_dir(spark)}/id-shards-{uuid.uuid4().hex}"
+    idstore.write_ids(table(spark, sf_dir, "documents"), folder, BYTE_BPE)
+    return idstore.read_ids(spark, folder).withColumn("ids_crc32", F.crc32("tokens")).drop("tokens")
+
+
 QUERIES = {
     "op1_harmonic_packing": op1_harmonic_packing,
+    "op5_id_shards": op5_id_shards,
 }
 
 ORACLE_SQL: dict[str, str] = {}
