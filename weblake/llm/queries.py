@@ -5,10 +5,11 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weblake.llm import idstore, packing
+from weblake.llm import chat, idstore, packing, quality, secretscan
+from weblake.llm.oracle import ORACLE_SQL as ORACLE_SQL
 from weblake.session import checkpoint_dir
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,15 +24,43 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumn("ids_crc32", F.crc32("tokens")).drop("tokens")
 
 
+def op2_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"))
+    fields = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_frequent_lines", "n_left"]
+    return judged.select("doc_id", *[f"quality.{f}" for f in fields])
+
+
 def op5_id_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{checkpoint_dir(spark)}/id-shards-{uuid.uuid4().hex}"
     idstore.write_ids(table(spark, sf_dir, "documents"), folder, BYTE_BPE)
     return idstore.read_ids(spark, folder).withColumn("ids_crc32", F.crc32("tokens")).drop("tokens")
 
 
-QUERIES = {
-    "op1_harmonic_packing": op1_harmonic_packing,
-    "op5_id_shards": op5_id_shards,
-}
+def op7_secret_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "documents").select("doc_id", secretscan.secrets("text").alias("f"))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = found.select("doc_id", F.col("f.spans").alias("spans"), "f.cut_off", F.filter("f.spans", lambda s: s["depth"] == 0).alias("base"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return base.select("doc_id", *map(count, secretscan.KINDS), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), "cut_off")
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    control = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    read = (chat.format_conversations(turns)
+            .select("conv_id", "valid", chat.read_turns(F.col("formatted")).alias("turns"), chat.loss_text(F.col("segments")).alias("loss"), F.length("formatted").cast("long").alias("formatted_chars")))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"),
+                       F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars", "valid")
+
 
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_harmonic_packing, op2_quality_lines, op5_id_shards, op7_secret_layers, op10_chat_format,
+)}
