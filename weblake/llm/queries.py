@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weblake.llm import chat, idstore, packing, quality, secretscan
+from weblake.llm import chat, idstore, packing, quality, secretscan, simhash
 from weblake.llm.oracle import ORACLE_SQL as ORACLE_SQL
 from weblake.session import checkpoint_dir
 
@@ -30,6 +30,11 @@ def op2_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"quality.{f}" for f in fields])
 
 
+def op4_simhash_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.components(table(spark, sf_dir, "documents"), words=3, bits=2)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op5_id_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{checkpoint_dir(spark)}/id-shards-{uuid.uuid4().hex}"
     idstore.write_ids(table(spark, sf_dir, "documents"), folder, BYTE_BPE)
@@ -62,5 +67,5 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_harmonic_packing, op2_quality_lines, op5_id_shards, op7_secret_layers, op10_chat_format,
+    op1_harmonic_packing, op2_quality_lines, op4_simhash_trees, op5_id_shards, op7_secret_layers, op10_chat_format,
 )}
