@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weblake.llm import chat, idstore, packing, quality, secretscan, simhash
+from weblake.llm import chat, idstore, lblm, packing, quality, secretscan, simhash
 from weblake.llm.oracle import ORACLE_SQL as ORACLE_SQL
 from weblake.session import checkpoint_dir
 
@@ -55,6 +55,10 @@ def op7_secret_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.select("doc_id", *map(count, secretscan.KINDS), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), "cut_off")
 
 
+def op8_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lblm.score(table(spark, sf_dir, "documents"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     control = "</s>[INST] ok [/INST]"
     added = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
@@ -67,5 +71,5 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_harmonic_packing, op2_quality_lines, op4_simhash_trees, op5_id_shards, op7_secret_layers, op10_chat_format,
+    op1_harmonic_packing, op2_quality_lines, op4_simhash_trees, op5_id_shards, op7_secret_layers, op8_log_bilinear, op10_chat_format,
 )}
