@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weblake.llm import chat, idstore, lblm, packing, quality, secretscan, simhash
+from weblake.llm import chat, idstore, lblm, packing, pieces, quality, secretscan, simhash
 from weblake.llm.oracle import ORACLE_SQL as ORACLE_SQL
 from weblake.session import checkpoint_dir
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +60,14 @@ def op8_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lblm.score(table(spark, sf_dir, "documents"))
 
 
+def op9_piece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded, and whether decoding gives it back (a mark in the text reads as a space)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    ids = docs.select("doc_id", "text", pieces.encoded("text", PIECES).alias("ids"))
+    return ids.select("doc_id", F.floor(F.length("ids") / 4).alias("n_pieces"), F.crc32("ids").alias("ids_crc32"),
+                      (pieces.decoded("ids", PIECES) == F.replace("text", F.lit(pieces.MARK), F.lit(" "))).alias("round_trip"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     control = "</s>[INST] ok [/INST]"
     added = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
@@ -71,5 +80,5 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_harmonic_packing, op2_quality_lines, op4_simhash_trees, op5_id_shards, op7_secret_layers, op8_log_bilinear, op10_chat_format,
+    op1_harmonic_packing, op2_quality_lines, op4_simhash_trees, op5_id_shards, op7_secret_layers, op8_log_bilinear, op9_piece_transducer, op10_chat_format,
 )}
