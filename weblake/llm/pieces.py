@@ -20,12 +20,14 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Iterator
 from math import inf
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 from sentencepiece import sentencepiece_model_pb2
 
 MARK = "▁"
@@ -192,13 +194,17 @@ class PieceTransducer:
         return text[1:] if self.prefix and text[:1] == " " else text
 
 
-def encoded(text: Column | str, model: str) -> Column:
-    """The ids of each whole text as little-endian uint32 bytes."""
-    @F.arrow_udf("binary")
-    def run(texts: pa.Array) -> pa.Array:
-        return pa.array([PieceTransducer.of(model).encode(t.as_py()) for t in texts], pa.binary())
+def encode_documents(docs: DataFrame, model: str, text: str = "text", out: str = "ids") -> DataFrame:
+    """The rows and columns of `docs` and the ids of each whole text as little-endian uint32 bytes."""
+    at = docs.columns.index(text)
 
-    return run(F.col(text) if isinstance(text, str) else text)
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = PieceTransducer.of(model).encode
+        for b in batches:
+            ids = pa.array([encode(t.as_py()) for t in b.column(at)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*b.columns, ids], names=[*b.schema.names, out])
+
+    return docs.mapInArrow(work, StructType([*docs.schema.fields, StructField(out, BinaryType())]))
 
 
 def decoded(ids: Column | str, model: str) -> Column:

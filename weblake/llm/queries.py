@@ -63,7 +63,7 @@ def op8_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_piece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded, and whether decoding gives it back (a mark in the text reads as a space)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    ids = docs.select("doc_id", "text", pieces.encoded("text", PIECES).alias("ids"))
+    ids = pieces.encode_documents(docs, PIECES)
     return ids.select("doc_id", F.floor(F.length("ids") / 4).alias("n_pieces"), F.crc32("ids").alias("ids_crc32"),
                       (pieces.decoded("ids", PIECES) == F.replace("text", F.lit(pieces.MARK), F.lit(" "))).alias("round_trip"))
 
