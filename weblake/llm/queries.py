@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weblake.llm import chat, idstore, lblm, packing, pieces, quality, secretscan, simhash
+from weblake.llm import chat, idstore, lblm, packing, pieces, quality, secretscan, simhash, toxicity
 from weblake.llm.oracle import ORACLE_SQL as ORACLE_SQL
 from weblake.session import checkpoint_dir
 
@@ -31,6 +31,21 @@ def op2_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"quality.{f}" for f in fields])
 
 
+TOXIC_ABOVE = 0.5
+
+
+def toxicity_chain(spark: SparkSession, docs: DataFrame, sf_dir: str) -> list[toxicity.Link]:
+    """Low quality first, then toxic, from the table of labels."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+    return toxicity.train(docs, labels, ["low_quality", "toxic"])
+
+
+def op3_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = docs.select("doc_id", toxicity.probabilities("text", toxicity_chain(spark, docs, sf_dir)).alias("p"))
+    return scored.select("doc_id", F.col("p.low_quality").alias("p_low_quality"), F.col("p.toxic").alias("p_toxic"), (F.col("p.toxic") > TOXIC_ABOVE).alias("toxic"))
+
+
 def op4_simhash_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(table(spark, sf_dir, "documents"), words=3, bits=2)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -80,5 +95,5 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_harmonic_packing, op2_quality_lines, op4_simhash_trees, op5_id_shards, op7_secret_layers, op8_log_bilinear, op9_piece_transducer, op10_chat_format,
+    op1_harmonic_packing, op2_quality_lines, op3_toxicity_chain, op4_simhash_trees, op5_id_shards, op7_secret_layers, op8_log_bilinear, op9_piece_transducer, op10_chat_format,
 )}
