@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weblake.llm import chat, idstore, lblm, packing, pieces, quality, secretscan, simhash, toxicity
+from weblake.llm import chat, hnsw, idstore, lblm, packing, pieces, quality, secretscan, simhash, toxicity
 from weblake.llm.oracle import ORACLE_SQL as ORACLE_SQL
 from weblake.session import checkpoint_dir
 
@@ -57,6 +57,10 @@ def op5_id_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idstore.read_ids(spark, folder).withColumn("ids_crc32", F.crc32("tokens")).drop("tokens")
 
 
+def op6_hnsw_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op7_secret_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = table(spark, sf_dir, "documents").select("doc_id", secretscan.secrets("text").alias("f"))
 
@@ -95,5 +99,5 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_harmonic_packing, op2_quality_lines, op3_toxicity_chain, op4_simhash_trees, op5_id_shards, op7_secret_layers, op8_log_bilinear, op9_piece_transducer, op10_chat_format,
+    op1_harmonic_packing, op2_quality_lines, op3_toxicity_chain, op4_simhash_trees, op5_id_shards, op6_hnsw_shards, op7_secret_layers, op8_log_bilinear, op9_piece_transducer, op10_chat_format,
 )}
