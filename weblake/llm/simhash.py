@@ -7,8 +7,8 @@ one branch per distance. Two fingerprints at most r bits apart lie in branches a
 every level (triangle inequality), and their distances to a vantage point differ by an even or odd
 number as their own distance is even or odd. A fingerprint is therefore a member of its own shard and
 visits only the shards that those bounds leave open, each pair of shards one way round. The number of
-levels follows from the number of fingerprints; the members of a crowded shard are searched by several
-tasks, each with its share of the queries. Within a shard a binary vantage-point tree is built and all
+levels follows from the number of fingerprints; a crowded shard is searched by several tasks, each
+with its share of the queries. Within a shard a binary vantage-point tree is built and all
 queries go down it together, pruned by the same bound; leaves are compared exactly.
 
 No pairs are emitted: each shard joins what it has linked and returns a star per group (at most one
@@ -171,7 +171,7 @@ def links(points: DataFrame, bits: int, stage: Stage, shard_rows: int = SHARD_RO
                 yield pa.RecordBatch.from_pydict({"shard": to[there] @ scale, "fp": fp[there], "member": np.zeros(there.sum(), bool)})
 
     placed = stage(points.select("fp").mapInArrow(place, "shard long, fp long, member boolean"))
-    size = placed.where("member").groupBy("shard").agg(F.ceil(F.count("*") / F.lit(5 * shard_rows)).cast("int").alias("parts"))
+    size = placed.groupBy("shard").agg(F.ceil(F.count("*") / F.lit(shard_rows)).cast("int").alias("parts"))
     spread = placed.join(size, "shard").withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
     spread = spread.select("shard", "fp", "member", "mine", F.explode(F.when(F.col("member"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("mine"))).alias("part"))
 
