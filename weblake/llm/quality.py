@@ -48,6 +48,11 @@ def _let(value: Column, then) -> Column:
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
+def _fence(rows: DataFrame) -> DataFrame:
+    """No later filter moves below this point: there it would repeat the formulas that it looks at, lambdas and all."""
+    return rows.withColumn("__fence", F.spark_partition_id()).where("__fence >= 0").drop("__fence")
+
+
 def repeated_words(words: Column, n: int) -> Column:
     """How many words lie in windows of n words that occur at least twice; windows are compared by 64-bit hash."""
     def covered(starts: Column) -> Column:
@@ -102,7 +107,7 @@ def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text", host: str
             .select(*[F.col(f"`{c}`") for c in names], F.col(at + "bad"), words_of(body).alias(at + "words"), F.split(body, "\n").alias(at + "lines"),
                     F.translate(body, WHITE, "").alias(at + "dense")))
     bad = F.coalesce(F.arrays_overlap(F.col(at + "bad"), F.col(at + "hashes")), F.lit(False))
-    rows = rows.withColumn(at + "hashes", F.when(F.col(at + "bad").isNotNull(), line_hashes(body)))
+    rows = _fence(rows).withColumn(at + "hashes", F.when(F.col(at + "bad").isNotNull(), line_hashes(body)))
     rows = rows.withColumn(at + "hit", bad)
     lines = F.arrays_zip(F.col(at + "lines").alias("line"), F.col(at + "hashes").alias("h"))
     rows = rows.withColumn(at + "gone", F.when(F.col(at + "hit"), F.filter(lines, lambda x: F.coalesce(F.array_contains(F.col(at + "bad"), x["h"]), F.lit(False)))))
@@ -117,7 +122,7 @@ def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text", host: str
         F.coalesce(F.aggregate(F.col(at + "gone"), F.lit(0), lambda n, x: n + F.size(words_of(x["line"]))), F.lit(0)).cast("long").alias("n_gone"),
         F.array_join(F.transform(left, lambda x: x["line"]), "\n").alias("text"))
     q = F.col(at + "q")
-    rows = rows.select(*[F.col(f"`{c}`") for c in names], counts.alias(at + "q"))
+    rows = _fence(rows.select(*[F.col(f"`{c}`") for c in names], counts.alias(at + "q")))
     failed = (q["n_words"] < rules.min_words) | (100 * q["n_repeat_words"] > rules.max_repeat_percent * q["n_words"])
     n_left = q["n_words"] - q["n_gone"]
     depleted = (q["n_gone"] > 0) & ((n_left < rules.min_words) | (n_left < rules.min_kept_share * q["n_words"]))

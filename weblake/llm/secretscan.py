@@ -31,7 +31,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex")
@@ -230,8 +230,8 @@ def secrets(text: Column | str, max_decoded: int = 1 << 24) -> Column:
     return scan(F.col(text) if isinstance(text, str) else text)
 
 
-def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """The same rows and columns with each stretch of secrets replaced by `mark`; other texts as they were."""
+def redacted(text: Column | str, mark: str = "[SECRET]") -> Column:
+    """Each text with its stretches of secrets replaced by `mark`; texts without any as they were, null stays null."""
     @F.arrow_udf("string")
     def masked(texts: pa.Array) -> pa.Array:
         out = []
@@ -246,4 +246,4 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataF
             out.append("".join(parts) + t[done:] if parts else t)
         return pa.array(out, pa.string())
 
-    return docs.withColumn(text, masked(F.col(text)))
+    return masked(F.col(text) if isinstance(text, str) else text)
