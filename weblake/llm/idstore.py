@@ -50,9 +50,10 @@ def _get(path: str) -> bytes:
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
-    """A dictionary from at most SAMPLE_DOCS documents, those of smallest hash among the short ones."""
-    sample = (docs.where(F.length("text").between(1, SAMPLE_CHARS)).select(F.xxhash64("doc_id", "text").alias("h"), "text")
-              .orderBy("h").limit(SAMPLE_DOCS).collect())
+    """A dictionary from at most SAMPLE_DOCS short documents, taken evenly by the hash of their ids."""
+    every = max(1, docs.count() // (2 * SAMPLE_DOCS))
+    sample = (docs.where((F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0) & F.length("text").between(1, SAMPLE_CHARS))
+              .select("text").limit(SAMPLE_DOCS).collect())
     ids = TokenIds.of(tokenizer).ids
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, [ids(r.text) for r in sample], level=LEVEL).as_bytes()
@@ -61,7 +62,12 @@ def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
 
 
 def _zstd(dictionary: bytes) -> dict:
-    return {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
+    """The dictionary, made ready once: else each document would pay for loading it."""
+    if not dictionary:
+        return {}
+    loaded = zstandard.ZstdCompressionDict(dictionary)
+    loaded.precompute_compress(level=LEVEL)
+    return {"dict_data": loaded}
 
 
 class ShardWriter:
@@ -69,7 +75,7 @@ class ShardWriter:
 
     def __init__(self, folder: str, name: str):
         dictionary = _get(f"{folder}/dictionary.bin")
-        self.packer = zstandard.ZstdCompressor(level=LEVEL, **_zstd(dictionary))
+        self.packer = zstandard.ZstdCompressor(**({} if dictionary else {"level": LEVEL}), **_zstd(dictionary))
         f, p = _open(f"{folder}/{name}")
         self.file = f.open_output_stream(p)
         self.file.write(MAGIC + hashlib.sha256(dictionary).digest())
