@@ -92,3 +92,24 @@ def test_windowed_verdict_per_window(spark):
     by_hour = {(r.hour, r.anomaly_type) for r in
                out.select(F.hour("timestamp").alias("hour"), "anomaly_type").distinct().collect()}
     assert by_hour == {(10, "Request Rate Anomaly"), (11, "")}
+
+
+def test_rows_without_a_time_keep_their_place(spark):
+    cfg = DetectConfig(mode="windowed", window="1 hour", rate_threshold=3)
+    rows = _burst("a", 5, lambda i: "/") + [(None, "access", "a", "GET", "/x", "ua"), (None, "access", "a", "GET", "/a'b", "ua")]
+    got = sorted((r.page, r.anomaly_type) for r in detect.flag(_events(spark, rows), cfg).collect())
+    assert got == [("/", "Request Rate Anomaly")] * 5 + [("/a'b", "SQL Injection"), ("/x", "")]
+
+
+def test_window_starts_are_those_of_spark_windows(spark):
+    df = _events(spark, [(T0 + dt.timedelta(minutes=17 * i), "access", "a", "GET", "/", "u") for i in range(-200, 200)])
+    for window in ("1 hour", "15 minutes", "1 day", "90 seconds"):
+        cfg = DetectConfig(window=window)
+        assert df.filter(detect.window_start(cfg) != F.window("timestamp", window).start).count() == 0
+
+
+def test_a_hot_address_is_spread_by_the_plan(spark):
+    rows = _burst("hot", 300, lambda i: f"/p{i % 40}") + [(T0, "access", f"ip{i}", "GET", "/", "u") for i in range(600)]
+    salted = detect.flag(_events(spark, rows))
+    assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
+    assert salted.filter("ip = 'hot' and is_anomaly = 1").count() == 300 and salted.filter("is_anomaly = 1").count() == 300

@@ -7,7 +7,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import lines_df
-from weblake.operators import parse
+from weblake.operators import detect, parse
+from weblake.operators.detect import DAILY_TEST
 
 TS = "[28/Oct/2025:10:00:00 +0000]"
 
@@ -75,12 +76,23 @@ def test_separator_in_line_takes_exact_path(spark):
     assert (r["page"], r["agent"], r["bytes"]) == ("/a\u0001b", "U\u0001A", 7)
 
 
-def test_unknown_log_type_dropped(spark):
-    df = lines_df(spark, [("other", "x"), (None, "y")])
-    assert parse.parse_lines(df).count() == 0
-    assert parse.quarantine(df).count() == 0
+def test_unknown_types_null_messages_and_oversize_are_quarantined(spark):
+    good = f'1.1.1.1 - - {TS} "GET /cart HTTP/1.1" 200 5 "r" "UA"'
+    rows = [("other", "x"), (None, "y"), ("access", None), ("error", None), (None, None), ("access", good + " " * 100), ("access", "\u0001" * 200)]
+    df = lines_df(spark, rows)
+    assert parse.parse_lines(df.filter("log_type is null or log_type = 'other' or message is null")).count() == 0
+    got = sorted(((r.log_type, r.message) for r in parse.quarantine(df, max_bytes=100).collect()), key=str)
+    assert got == sorted(rows, key=str)
+    assert parse.all_events(df, keep=("message",)).count() == len(rows)
+
+
+def test_input_is_scanned_once(spark):
+    plan = parse.parse_lines(spark.read.parquet("/root/testdata/sf0.001/events.parquet").selectExpr("event_type AS log_type", "props AS message"))
+    assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
 
 
+dates = st.one_of(st.datetimes(min_value=dt.datetime(1990, 1, 1), max_value=dt.datetime(2090, 1, 1)).map(lambda d: (d.strftime("%d/%b/%Y:%H:%M:%S"), d.replace(microsecond=0))),
+                  st.sampled_from([("99/Foo/2025:10:00:00", None), ("28/Oct/2025:25:00:00", None)]))
 token = st.text(alphabet=st.characters(min_codepoint=33, max_codepoint=126, exclude_characters='"'),
                 min_size=1, max_size=12)
 
@@ -89,13 +101,15 @@ token = st.text(alphabet=st.characters(min_codepoint=33, max_codepoint=126, excl
 @given(rows=st.lists(st.tuples(
     st.from_regex(r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}", fullmatch=True),
     st.sampled_from(["GET", "POST", "PUT"]), token, st.integers(100, 599), st.integers(0, 10**9),
-    token, token), min_size=1, max_size=8))
+    token, token, dates), min_size=1, max_size=8))
 def test_roundtrip_property(spark, rows):
     """parse(format(row)) == row for requests without spaces; parsed + quarantined == input."""
-    msgs = [("access", f'{ip} - - {TS} "{m} {p} HTTP/1.1" {s} {b} "{ref}" "{ag}"')
-            for ip, m, p, s, b, ref, ag in rows]
+    msgs = [("access", f'{ip} - - [{d[0]} +0000] "{m} {p} HTTP/1.1" {s} {b} "{ref}" "{ag}"')
+            for ip, m, p, s, b, ref, ag, d in rows]
     df = lines_df(spark, msgs)
-    got = sorted((r.ip, r.method, r.page, r.status, r.bytes, r.referrer, r.agent)
-                 for r in parse.parse_lines(df).collect())
-    assert got == sorted(rows)
+    got = sorted(((r.ip, r.method, r.page, r.status, r.bytes, r.referrer, r.agent, r.t)
+                  for r in parse.parse_lines(df).withColumn("t", F.col("timestamp").cast("timestamp_ntz")).collect()), key=repr)
+    assert got == sorted(((*r[:-1], r[-1][1]) for r in rows), key=repr)
+    kept = parse.parse_lines(df)
+    assert detect.flag(kept, DAILY_TEST).count() == len(rows) == detect.flag(kept).count()
     assert parse.quarantine(df).count() == 0

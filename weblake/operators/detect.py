@@ -3,17 +3,21 @@
 Signature rules are one ``when`` cascade over the row (no shuffle).
 Behaviour is an aggregate per address, either over the whole input
 (``per_batch``: one verdict per micro-batch or batch, the parity mode) or per
-event-time tumbling window (``windowed``: the same verdicts however a stream
-is cut). The verdict goes back to *every* row of that address (and window),
-error rows included.
+event-time tumbling window (``windowed``). The verdict goes back to *every* row
+of that address (and window), error rows included. A line without a readable
+time belongs to no window: it is kept, without a behaviour verdict.
+
+Where the input comes in pieces (a stream), a window's rows may lie in several
+of them. :func:`page_counts` is what a piece contributes; the counts of all
+pieces together give the same verdicts as the whole input (:func:`apply_verdicts`).
 
 Scale notes. The exact distinct-page count is written as two plain
 aggregations, ``(keys, page)`` then ``keys``, instead of ``count(DISTINCT)``:
 both levels combine map-side, so an address holding a third of all rows
 sends one row per distinct page to the second level, not its raw rows, and
 Spark needs no Expand of the input. Only addresses with a verdict are joined
-back, so the build side of that join is small; AQE may broadcast it at run
-time and splits a skewed partition otherwise.
+back, each to `SALTS` parts of its address's rows, so that the rows of a hot
+address are spread by the plan itself.
 """
 
 from __future__ import annotations
@@ -71,8 +75,21 @@ def with_signature(events: DataFrame, rules=SIGNATURE_RULES) -> DataFrame:
     return events.withColumn("signature_anomaly_type", signature_type(rules))
 
 
+SALTS = 16
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def window_seconds(window: str) -> int:
+    """`"1 hour"` -> 3600."""
+    n, unit = window.split()
+    return int(n) * _SECONDS[unit.lower().removesuffix("s")]
+
+
 def window_start(cfg: DetectConfig) -> Column:
-    return F.window("timestamp", cfg.window).start
+    """Start of the row's tumbling window, NULL without a time. Plain arithmetic: `F.window` would add
+    a filter on the time and so lose rows."""
+    at = F.unix_seconds("timestamp")
+    return F.timestamp_seconds(at - F.pmod(at, F.lit(window_seconds(cfg.window))))
 
 
 def behaviour_keys(cfg: DetectConfig) -> list[str]:
@@ -85,21 +102,29 @@ def _keyed(events: DataFrame, cfg: DetectConfig) -> DataFrame:
     return events
 
 
-def behaviour_profile(events: DataFrame, cfg: DetectConfig = PER_BATCH) -> DataFrame:
-    """Per key: request_count, distinct_pages, login_posts over access rows."""
-    keys = behaviour_keys(cfg)
+def page_counts(events: DataFrame, cfg: DetectConfig = PER_BATCH) -> DataFrame:
+    """Per key and page: rows `n` and login posts `lp` of the access rows (of those with a time, if windowed)."""
     access = _keyed(events.filter(F.col("log_type") == "access"), cfg)
+    if cfg.mode == "windowed":
+        access = access.filter(F.col("window_start").isNotNull())
     login = (F.col("page") == LOGIN_PAGE) & (F.col("method") == LOGIN_METHOD)
-    per_page = access.groupBy(*keys, "page").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(login).alias("lp")
-    )
-    return per_page.groupBy(*keys).agg(
+    return access.groupBy(*behaviour_keys(cfg), "page").agg(F.count(F.lit(1)).alias("n"), F.count_if(login).alias("lp"))
+
+
+def profile_of(counts: DataFrame, cfg: DetectConfig) -> DataFrame:
+    """Per key: request_count, distinct_pages, login_posts from page counts (one row per key and page)."""
+    return counts.groupBy(*behaviour_keys(cfg)).agg(
         F.sum("n").alias("request_count"),
         F.count("page").alias("distinct_pages"),
         F.sum("lp").alias("login_posts"),
     )
 
 
+def behaviour_profile(events: DataFrame, cfg: DetectConfig = PER_BATCH) -> DataFrame:
+    """Per key: request_count, distinct_pages, login_posts over access rows."""
+    return profile_of(page_counts(events, cfg), cfg)
+
+
 def verdict_type(cfg: DetectConfig) -> Column:
     return (
         F.when(F.col("login_posts") > cfg.login_threshold, F.lit(LOGIN_ATTACK))
@@ -116,16 +141,29 @@ def behaviour_verdict(profile: DataFrame, cfg: DetectConfig = PER_BATCH) -> Data
 def flag(events: DataFrame, cfg: DetectConfig = PER_BATCH, rules=SIGNATURE_RULES) -> DataFrame:
     """Events + signature_anomaly_type, behavioral_anomaly_type, anomaly_type
     ('' when none), is_anomaly (0/1). Signature wins over behaviour."""
-    keys = behaviour_keys(cfg)
+    return combined(with_verdicts(with_signature(events, rules), page_counts(events, cfg), cfg))
+
+
+def flag_signatures(events: DataFrame, rules=SIGNATURE_RULES) -> DataFrame:
+    """Like :func:`flag`, for a piece of a longer input: no behaviour verdicts yet."""
+    return combined(with_signature(events, rules).withColumn("behavioral_anomaly_type", F.lit(None).cast("string")))
+
+
+def with_verdicts(rows: DataFrame, counts: DataFrame, cfg: DetectConfig, hot: str = "ip") -> DataFrame:
+    """`rows` plus `behavioral_anomaly_type` by their key; `hot` names the address column of both."""
+    keys = [hot if k == "ip" else k for k in behaviour_keys(cfg)]
     verdicts = (
-        behaviour_verdict(behaviour_profile(events, cfg), cfg)
-        .filter(F.col("behavioral_anomaly_type").isNotNull())
-        .select(*keys, "behavioral_anomaly_type")
+        behaviour_verdict(profile_of(counts.withColumnRenamed(hot, "ip"), cfg), cfg)
+        .filter(F.col("behavioral_anomaly_type").isNotNull()).withColumnRenamed("ip", hot)
+        .select(*keys, "behavioral_anomaly_type", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
     )
-    rows = _keyed(with_signature(events, rules), cfg)
-    joined = rows.join(verdicts, on=keys, how="left")
-    if cfg.mode == "windowed":
-        joined = joined.drop("window_start")
+    salted = _keyed(rows, cfg).withColumn("_salt", F.pmod(F.xxhash64("timestamp", *[c for c in ("page", "request_id", "status") if c in rows.columns]), F.lit(SALTS)).cast("int"))
+    joined = salted.join(verdicts, on=[*keys, "_salt"], how="left").drop("_salt")
+    return joined.drop("window_start") if cfg.mode == "windowed" else joined
+
+
+def combined(joined: DataFrame) -> DataFrame:
+    """Add anomaly_type and is_anomaly from the two verdicts."""
     anomaly = F.coalesce(F.col("signature_anomaly_type"), F.col("behavioral_anomaly_type"))
     return joined.withColumns({
         "is_anomaly": F.when(anomaly.isNotNull(), 1).otherwise(0),

@@ -28,10 +28,6 @@ EVENT_COLUMNS = (
 )
 
 
-def _null(t: str) -> Column:
-    return F.lit(None).cast(t)
-
-
 # Single-pass extraction: one regex match per line rewrites the line to
 # SEP g1 SEP g2 ... (Java replacement syntax), and a split on SEP gives every
 # group. `\A(?s:.*?)(?:P)(?s:.*)` matches where find() would: the lazy prefix
@@ -47,70 +43,63 @@ def _null(t: str) -> Column:
 SEP = "\u0001"
 
 
-def with_groups(df: DataFrame, pattern: str, groups: list[int], keep: tuple[str, ...]) -> tuple[DataFrame, dict]:
-    """Add the raw regex rewrite of ``message``; return (df, {group: Column})
-    with regexp_extract semantics ('' when the line does not match)."""
+def _rewritten(m: Column, pattern: str, groups: list[int]) -> Column:
     whole = r"\A(?s:.*?)(?:" + pattern + r")(?s:.*)"
-    template = "".join(SEP + f"${g}" for g in groups)
-    m = F.col("message")
-    df = df.select(*keep, m.alias("_msg"),
-                   F.when(F.spark_partition_id() >= 0, F.regexp_replace(m, whole, template))
-                   .alias("_rw"),
-                   F.contains(m, F.lit(SEP)).alias("_unsafe"))
+    return F.regexp_replace(m, whole, "".join(SEP + f"${g}" for g in groups))
+
+
+def all_events(lines: DataFrame, keep: tuple[str, ...] = (), access_pattern: str = ACCESS_PATTERN,
+               error_pattern: str = ERROR_PATTERN, max_bytes: int | None = None) -> DataFrame:
+    """Every line in the unified schema, in one pass over the input: the line's type picks its pattern.
+
+    A line that does not parse has ``ip = ''``: its pattern does not match, its type is unknown or NULL, the
+    message is NULL, or it is larger than `max_bytes`. Columns named in `keep` pass through unchanged."""
+    access, error = [1, 2, 3, 4, 6, 7, 8, 9], [1, 2, 3, 4]
+    m, kind = F.col("message"), F.col("log_type")
+    usable = F.lit(True) if max_bytes is None else F.octet_length(m) <= max_bytes
+    rewritten = F.when((kind == "access") & usable, _rewritten(m, access_pattern, access)).when(
+        (kind == "error") & usable, _rewritten(m, error_pattern, error))
+    df = lines.select(*keep, kind.alias("log_type"), m.alias("_msg"), F.when(F.spark_partition_id() >= 0, rewritten).alias("_rw"),
+                      F.contains(m, F.lit(SEP)).alias("_unsafe"), usable.alias("_fits"))
+    parts = F.split(F.expr("substring(_rw, 2)"), SEP)
     matched = F.startswith(F.col("_rw"), F.lit(SEP))
-    parts = F.split(F.substring(F.col("_rw"), 2, 1 << 30), SEP)
-    out = {}
-    for i, g in enumerate(groups):
-        fast = F.when(matched, parts[i]).otherwise(F.lit(""))
-        out[g] = F.when(F.col("_unsafe"), F.regexp_extract("_msg", pattern, g)).otherwise(fast)
-    return df, out
-
-
-def access_events(lines: DataFrame, pattern: str = ACCESS_PATTERN, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Access lines in the unified schema, parsed or not (unparsed: ip = '').
-    Columns named in `keep` pass through unchanged."""
-    df, g = with_groups(lines.filter(F.col("log_type") == "access"), pattern,
-                        [1, 2, 3, 4, 6, 7, 8, 9], keep)
-    return df.select(
-        *keep,
-        F.try_to_timestamp(g[2], F.lit(ACCESS_TIME_FORMAT)).alias("timestamp"),
-        F.lit("access").alias("log_type"),
-        g[1].alias("ip"),
-        g[3].alias("method"),
-        g[4].alias("page"),
-        g[4].alias("request"),
-        g[6].try_cast("int").alias("status"),
-        g[7].try_cast("bigint").alias("bytes"),
-        g[8].alias("referrer"),
-        g[9].alias("agent"),
-        _null("string").alias("log_level"),
-        _null("string").alias("error_message"),
-    )
 
+    def group(of: str, pattern: str, groups: list[int], g: int) -> Column:
+        fast = F.when(matched, parts[groups.index(g)]).otherwise(F.lit(""))
+        text = F.when(F.col("_unsafe") & F.col("_fits"), F.regexp_extract("_msg", pattern, g)).otherwise(fast)
+        return F.when(F.col("log_type") == of, text)
+
+    def a(g: int) -> Column:
+        return group("access", access_pattern, access, g)
+
+    def e(g: int) -> Column:
+        return group("error", error_pattern, error, g)
 
-def error_events(lines: DataFrame, pattern: str = ERROR_PATTERN, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Error lines in the unified schema, parsed or not (unparsed: ip = '')."""
-    df, g = with_groups(lines.filter(F.col("log_type") == "error"), pattern, [1, 2, 3, 4], keep)
     return df.select(
         *keep,
-        F.try_to_timestamp(g[1], F.lit(ERROR_TIME_FORMAT)).alias("timestamp"),
-        F.lit("error").alias("log_type"),
-        F.split(g[3], ",")[0].alias("ip"),
-        _null("string").alias("method"),
-        _null("string").alias("page"),
-        _null("string").alias("request"),
-        _null("int").alias("status"),
-        _null("bigint").alias("bytes"),
-        _null("string").alias("referrer"),
-        _null("string").alias("agent"),
-        g[2].alias("log_level"),
-        g[4].alias("error_message"),
+        F.coalesce(F.try_to_timestamp(a(2), F.lit(ACCESS_TIME_FORMAT)), F.try_to_timestamp(e(1), F.lit(ERROR_TIME_FORMAT))).alias("timestamp"),
+        "log_type",
+        F.coalesce(a(1), F.split(e(3), ",")[0], F.lit("")).alias("ip"),
+        a(3).alias("method"),
+        a(4).alias("page"),
+        a(4).alias("request"),
+        a(6).try_cast("int").alias("status"),
+        a(7).try_cast("bigint").alias("bytes"),
+        a(8).alias("referrer"),
+        a(9).alias("agent"),
+        e(2).alias("log_level"),
+        e(4).alias("error_message"),
     )
 
 
-def all_events(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Both line types in the unified schema, before the parse filter."""
-    return access_events(lines, keep=keep).unionByName(error_events(lines, keep=keep))
+def access_events(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Access lines in the unified schema, parsed or not (unparsed: ip = '')."""
+    return all_events(lines.filter(F.col("log_type") == "access"), keep)
+
+
+def error_events(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Error lines in the unified schema, parsed or not (unparsed: ip = '')."""
+    return all_events(lines.filter(F.col("log_type") == "error"), keep)
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
@@ -118,13 +107,12 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     return all_events(lines).filter(F.col("ip") != "")
 
 
-def quarantine(lines: DataFrame) -> DataFrame:
-    """Lines of a known type whose pattern does not match: ``(log_type, message)``."""
-    acc = lines.filter(F.col("log_type") == "access").filter(
-        ~F.col("message").rlike(ACCESS_PATTERN)
-    )
-    err = lines.filter(F.col("log_type") == "error").filter(
-        # same test as the parse: the client group must be non-empty
-        F.split(F.regexp_extract("message", ERROR_PATTERN, 3), ",")[0] == ""
-    )
-    return acc.unionByName(err).select("log_type", "message")
+def unparsed(events: DataFrame) -> DataFrame:
+    """The quarantine `(log_type, message)` of events that kept their `message`: parsed and quarantined
+    lines together are the input."""
+    return events.filter(F.col("ip") == "").select("log_type", "message")
+
+
+def quarantine(lines: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """The lines that do not parse: ``(log_type, message)``."""
+    return unparsed(all_events(lines, keep=("message",), max_bytes=max_bytes))
