@@ -136,22 +136,75 @@ def test_empty_batch_is_skipped(spark, tmpdir_path):
     assert parse.parse_lines(empty).count() == 0
 
 
-def test_dedupe_on_read_and_compaction(spark, tmpdir_path):
-    from weblake.operators.star import Star
-
+def test_dims_of_several_writers_are_unique_and_newest(spark, tmpdir_path):
     root = os.path.join(tmpdir_path, "lake")
-    process_batch(Q.lines(spark, SF001), 0, root, Q.ranges(spark, SF001), PER_BATCH)
-    # a second writer appends an overlapping dim without the anti-join
-    dup = spark.read.parquet(os.path.join(root, "dim_user_agent")).withColumn("batch_id", F.lit(5).cast("bigint"))
-    dup.write.mode("append").parquet(os.path.join(root, "dim_user_agent"))
-    raw = lake.read_star(spark, root)
-    assert raw.dim("dim_user_agent").count() == 2 * dup.count()
-    deduped = lake.read_star(spark, root, dedupe=True)
-    assert deduped.dim("dim_user_agent").count() == dup.count()
+    old = Q.ranges(spark, SF001)
+    new = old.withColumn("country", F.concat("country", F.lit("_NEW")))
+    for batch, geo_rows in ((0, old), (5, new), (5, new)):  # the last one is a replay
+        process_batch(Q.lines(spark, SF001), batch, root, geo_rows, PER_BATCH)
+    st = lake.read_star(spark, root)
+    for name, d in DIMS.items():
+        assert st.dim(name).count() == st.dim(name).select(d.id_col).distinct().count(), name
+    assert st.dim("dim_ip").filter("country != 'Unknown' and country not like '%_NEW'").count() == 0
+    assert st.joined().count() == st.fact.count() == 2 * 987
     target = os.path.join(tmpdir_path, "compact")
     lake.compact_dims(spark, root, target)
-    assert spark.read.parquet(os.path.join(target, "dim_user_agent")).count() == dup.count()
-    assert isinstance(deduped, Star)
+    for name, d in DIMS.items():
+        raw = spark.read.parquet(os.path.join(target, name))
+        assert raw.count() == st.dim(name).count()
+        assert lake.read_dim(spark, target, name).exceptAll(st.dim(name)).count() == 0
+
+
+def test_writing_a_dim_does_not_read_it(spark, tmpdir_path, monkeypatch):
+    process_batch(Q.lines(spark, SF001), 0, tmpdir_path, Q.ranges(spark, SF001), PER_BATCH)
+    monkeypatch.setattr(lake, "read_table", None)
+    process_batch(Q.lines(spark, SF001), 1, tmpdir_path, Q.ranges(spark, SF001), PER_BATCH)
+
+
+def test_compacted_months_keep_their_rows_in_few_files(spark, tmpdir_path):
+    root, target = os.path.join(tmpdir_path, "lake"), os.path.join(tmpdir_path, "compact")
+    for k in range(4):
+        part = Q.lines(spark, SF001).filter(F.col("event_id") % 4 == k)
+        process_batch(part, k, root, Q.ranges(spark, SF001), PER_BATCH)
+    lake.compact_fact(spark, root, target, "999912")
+    cols = [f.name for f in lake.FACT_SCHEMA.fields if f.name != "batch_id"]
+    a, b = (lake.read_table(spark, r, "fact", lake.FACT_SCHEMA).select(*cols) for r in (root, target))
+    assert a.count() == 987 and a.exceptAll(b).count() == 0 == b.exceptAll(a).count()
+    months = a.select("event_month").distinct().count()
+    files = [f for d, _, fs in os.walk(os.path.join(target, "fact")) for f in fs if f.endswith(".parquet")]
+    assert len(files) <= 2 * months < sum(f.endswith(".parquet") for d, _, fs in os.walk(os.path.join(root, "fact")) for f in fs)
+
+
+def test_reports_on_an_empty_lake_are_empty(spark, tmpdir_path):
+    st = lake.read_star(spark, os.path.join(tmpdir_path, "nothing"))
+    kpi = R.kpi_summary(st).first()
+    assert (kpi.total, kpi.unique_ips, kpi.avg_bytes, kpi.server_error_rate, kpi.client_error_rate) == (0, 0, 0.0, 0.0, 0.0)
+    assert R.kpi_summary(st, approx=True).first() == kpi
+    for report in (R.top_pages, R.error_heatmap, R.anomaly_summary, R.recent_errors, R.hourly_actuals, R.error_levels_per_minute):
+        assert report(st).collect() == []
+    assert lake.read_predictions(spark, tmpdir_path).collect() == []
+
+
+def test_cut_windows_give_the_verdicts_of_the_whole(spark, tmpdir_path):
+    whole = detect.flag(Q.events(spark, SF001), DAILY_TEST).select("timestamp", "ip", "page", "is_anomaly", "anomaly_type")
+    for k in range(3):
+        part = Q.lines(spark, SF001).filter(F.col("event_id") % 3 == k)
+        for _ in range(2):  # each batch twice: a replay changes nothing
+            process_batch(part, k, tmpdir_path, Q.ranges(spark, SF001), DAILY_TEST, whole=False)
+    st = lake.read_star(spark, tmpdir_path, DAILY_TEST)
+    got = st.joined(["dim_ip", "dim_request", "dim_anomaly_type"]).select("timestamp", "ip", "page", "is_anomaly", F.coalesce("anomaly_type", F.lit("")).alias("anomaly_type"))
+    assert got.exceptAll(whole).count() == 0 == whole.exceptAll(got).count()
+    assert R.anomaly_by_type(st).exceptAll(whole.filter("is_anomaly = 1").groupBy("anomaly_type").agg(F.count("*").alias("cnt"))).count() == 0
+
+
+def test_actuals_read_a_bounded_part_of_the_fact(spark, tmpdir_path):
+    process_batch(Q.lines(spark, SF001), 0, tmpdir_path, Q.ranges(spark, SF001), DAILY_TEST)
+    st = lake.read_star(spark, tmpdir_path)
+    last = st.fact.filter("log_type = 'access'").agg(F.max(F.date_trunc("hour", "timestamp"))).first()[0]
+    bounded = R.hourly_actuals(st, as_of=last)
+    plan = _plan(bounded)
+    assert plan.count("FileScan") == 1 and "PartitionFilters: [isnotnull(event_month" in plan
+    assert bounded.exceptAll(R.hourly_actuals(st)).count() == 0 == R.hourly_actuals(st).exceptAll(bounded).count()
 
 
 def test_windowed_verdicts_approx_mode_runs(spark, tmpdir_path):

@@ -84,6 +84,8 @@ FACT_SCHEMA = StructType([
     StructField("batch_id", LongType()),
 ])
 
+SPREAD = 200
+
 FACT_COLUMNS = (
     "timestamp", "log_type", "ip_id", "request_id", "agent_id", "error_details_id",
     "anomaly_type_id", "status", "bytes", "is_anomaly",
@@ -169,10 +171,15 @@ class Star:
         return self.dims[name]
 
     def attach(self, df: DataFrame, names) -> DataFrame:
-        """Left-join the named dimensions to `df` on their ids."""
+        """Left-join the named dimensions to `df` on their ids. Rows with a NULL id (most rows, for some ids)
+        match nothing; if a dim is large enough to be shuffled, they spread over `SPREAD` keys that no id meets."""
         for name in names:
             d = DIMS[name]
-            df = df.join(self.dims[name].select(*d.columns), on=d.id_col, how="left")
+            dim = self.dims[name].select(*d.columns).withColumn("_part", F.lit(0)).withColumnRenamed(d.id_col, "_id")
+            part = F.when(F.col(d.id_col).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD)).cast("int") + 1).otherwise(0)
+            df = (df.withColumn("_key", F.coalesce(d.id_col, F.lit(0))).withColumn("_row_part", part)
+                  .join(dim, (F.col("_key") == F.col("_id")) & (F.col("_row_part") == F.col("_part")), "left")
+                  .drop("_key", "_row_part", "_id", "_part"))
         return df
 
     def joined(self, names=tuple(DIMS)) -> DataFrame:

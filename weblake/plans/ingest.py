@@ -1,10 +1,17 @@
 """One batch of raw lines -> quarantine + star schema in the lake.
 
 The same function serves a batch backfill and each micro-batch of the
-stream (``foreachBatch``). The parsed batch is persisted once so the regex
-work is not repeated by the detector's two inputs, the dimension builds and
-the quarantine split; it is released at the end. A lost executor only costs
-recomputing its cached blocks from the batch's source.
+stream (``foreachBatch``). Parsed lines plus quarantined lines are the input:
+one parse decides both.
+
+* A backfill (``whole=True``) sees all rows of every window, so behaviour
+  verdicts are part of the flags. The flagged rows are written once to a
+  staging table beside the star, and the dims and the fact derive from it;
+  nothing is held on executors.
+* A micro-batch (``whole=False``) persists its parsed rows. With windowed
+  rules it flags signatures only and adds its page counts to the lake:
+  the rows of a window may come in several batches, and
+  ``lake.read_star(..., cfg)`` gives the verdicts from all counts so far.
 """
 
 from __future__ import annotations
@@ -15,9 +22,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weblake.operators.detect import DetectConfig
+from weblake.operators.detect import DetectConfig, flag_signatures, page_counts
 from weblake.operators.detect import flag as flag_events
-from weblake.operators.parse import all_events
+from weblake.operators.parse import all_events, unparsed
 from weblake.operators.star import Star
 from weblake.sources import lake
 
@@ -33,24 +40,25 @@ def is_parsed_batch(df: DataFrame) -> bool:
 
 
 def process_batch(batch: DataFrame, batch_id: int, root: str, ranges: DataFrame,
-                  cfg: DetectConfig, **geo) -> BatchResult:
+                  cfg: DetectConfig, whole: bool = True, max_bytes: int | None = None, **geo) -> BatchResult:
     """`batch`: raw `(message, log_type)` lines, or already-unified events
-    (unparsed rows have ``ip = ''``)."""
+    (unparsed rows have ``ip = ''``). `whole`: the batch is the whole input, no window goes on in another."""
     if batch.isEmpty():
         return BatchResult(batch_id, skipped=True)
-    events = batch if is_parsed_batch(batch) else all_events(batch, keep=("message",))
-    if "message" in events.columns:
-        # the raw line is only kept where it is needed: unparsed rows
-        events = events.withColumn(
-            "message", F.when(F.col("ip") == "", F.col("message")))
-    events = events.persist(StorageLevel.MEMORY_AND_DISK)
+    if whole:
+        return _backfill(batch, batch_id, root, ranges, cfg, max_bytes, **geo)
+    events = _events(batch, max_bytes).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good = events.filter(F.col("ip") != "")
         if "message" in events.columns:
-            lake.write_quarantine(events.filter(F.col("ip") == "").select("log_type", "message"),
-                                  root, batch_id)
+            lake.write_quarantine(unparsed(events), root, batch_id)
             good = good.drop("message")
-        flagged = flag_events(good, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+        if cfg.mode == "windowed":
+            lake.write_page_counts(page_counts(good, cfg), root, batch_id)
+            flagged = flag_signatures(good)
+        else:
+            flagged = flag_events(good, cfg)
+        flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
         # fill the cache in one job; the dim writes below run concurrently and
         # would otherwise each compute the flags before the cache exists
         flagged.count()
@@ -63,6 +71,28 @@ def process_batch(batch: DataFrame, batch_id: int, root: str, ranges: DataFrame,
     return BatchResult(batch_id)
 
 
+def _events(batch: DataFrame, max_bytes: int | None) -> DataFrame:
+    """Unified events; the raw line is only kept where it is needed, in unparsed rows."""
+    if is_parsed_batch(batch):
+        events = batch
+    else:
+        events = all_events(batch, keep=("message",), max_bytes=max_bytes)
+    if "message" in events.columns:
+        events = events.withColumn("message", F.when(F.col("ip") == "", F.col("message")))
+    return events
+
+
+def _backfill(batch: DataFrame, batch_id: int, root: str, ranges: DataFrame, cfg: DetectConfig,
+              max_bytes: int | None, **geo) -> BatchResult:
+    events = _events(batch, max_bytes)
+    if "message" in events.columns:
+        lake.write_quarantine(unparsed(events), root, batch_id)
+        events = events.drop("message")
+    flagged = lake.staged(flag_events(events.filter(F.col("ip") != ""), cfg), root, batch_id)
+    lake.write_star(Star.build(flagged, ranges, **geo), root, batch_id)
+    return BatchResult(batch_id)
+
+
 def _fingerprint(spark, inputs: list[str], extra: str) -> str:
     """Digest of input paths, sizes and modification times plus settings."""
     import hashlib
@@ -76,7 +106,16 @@ def _fingerprint(spark, inputs: list[str], extra: str) -> str:
     return h.hexdigest()[:16]
 
 
-LAKE_VERSION = "1"
+def _code_digest() -> str:
+    """Digest of the modules a stored star depends on: a changed parser gets a new lake."""
+    import hashlib
+    import inspect
+
+    from weblake.functions import ip, patterns
+    from weblake.operators import detect, geo, parse, star
+    from weblake.sources import weblog
+
+    return hashlib.sha256("".join(inspect.getsource(m) for m in (ip, patterns, detect, geo, parse, star, weblog, lake)).encode()).hexdigest()
 
 
 def ensure_lake(spark, lines, inputs: list[str], ranges, cfg: DetectConfig,
@@ -92,7 +131,7 @@ def ensure_lake(spark, lines, inputs: list[str], ranges, cfg: DetectConfig,
     from weblake.session import checkpoint_dir
 
     base = base or os.path.join(checkpoint_dir(spark), "weblake-lake")
-    root = os.path.join(base, _fingerprint(spark, inputs, f"{LAKE_VERSION}|{cfg!r}|{geo!r}"))
+    root = os.path.join(base, _fingerprint(spark, inputs, f"{_code_digest()}|{cfg!r}|{geo!r}"))
     marker = os.path.join(root, "_BUILT")
     if lake._exists(spark, marker):
         return root

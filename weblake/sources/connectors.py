@@ -7,8 +7,6 @@ classpath can use them. Tests use the file stream source instead.
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 
 from weblake.sources.envelope import decode, encode
@@ -32,25 +30,13 @@ def write_kafka(df: DataFrame, servers: str, topic: str) -> None:
      .option("kafka.bootstrap.servers", servers).option("topic", topic).save())
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", retries: int = 3,
-               delay: float = 2.0, **props) -> None:
-    """Write `df` to a JDBC table, retrying the whole write `retries` times.
-
-    Task-level failures are already retried by Spark; this covers a database
-    that is briefly unreachable. Pair with idempotent inputs (dims anti-joined,
-    fact keyed by batch) so a retried append adds nothing twice.
-    """
-    for attempt in range(1, retries + 1):
-        try:
-            w = df.write.format("jdbc").option("url", url).option("dbtable", table).mode(mode)
-            for k, v in props.items():
-                w = w.option(k, v)
-            w.save()
-            return
-        except Exception:  # noqa: BLE001 - any failure of the write is retried
-            if attempt == retries:
-                raise
-            time.sleep(delay)
+def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **props) -> None:
+    """Write `df` to a JDBC table; Spark retries failed tasks. An append that failed half-way and is called
+    again adds rows twice: stage such a batch in a table of its own (`mode="overwrite"`) and publish it from there."""
+    w = df.write.format("jdbc").option("url", url).option("dbtable", table).mode(mode)
+    for k, v in props.items():
+        w = w.option(k, v)
+    w.save()
 
 
 def read_jdbc(spark: SparkSession, url: str, table_or_query: str, **props) -> DataFrame:

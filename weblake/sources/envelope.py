@@ -39,5 +39,6 @@ def fits(col: Column | str, max_bytes: int = MAX_MESSAGE_BYTES) -> Column:
 
 
 def drop_oversize(df: DataFrame, col: str = "value", max_bytes: int = MAX_MESSAGE_BYTES) -> DataFrame:
-    """Messages larger than `max_bytes` are dropped, as a shipper would."""
+    """The messages of at most `max_bytes`, as a shipper would send. Ingest keeps the others in the
+    quarantine (``process_batch(..., max_bytes=)``)."""
     return df.filter(fits(col, max_bytes))

@@ -16,16 +16,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def total_bytes(spark: SparkSession, paths: list[str], stop_at: int | None = None) -> int:
-    """Summed length of `paths`; stops early once `stop_at` is reached (a
-    size test needs no more file-system calls than that)."""
-    n = 0
-    for path in paths:
-        fs, p = _fs_path(spark, path)
-        n += int(fs.getContentSummary(p).getLength())
-        if stop_at is not None and n >= stop_at:
-            break
-    return n
+def children(spark: SparkSession, path: str, prefix: str) -> int:
+    """How many entries of a folder start with `prefix` (0 for a missing folder)."""
+    fs, p = _fs_path(spark, path)
+    return sum(s.getPath().getName().startswith(prefix) for s in fs.listStatus(p)) if fs.exists(p) else 0
 
 
 def status(spark: SparkSession, path: str) -> tuple[int, int]:

@@ -2,19 +2,24 @@
 
 Layout under one root folder::
 
-    fact/event_month=YYYYMM/batch_id=N/*.parquet   (sorted by timestamp, ip_id)
-    dim_ip/ dim_request/ dim_user_agent/ dim_error_details/ dim_anomaly_type/
+    fact/event_month=YYYYMM/batch_id=N/*.parquet   (ranges of timestamp, sorted)
+    dim_ip/batch_id=N/ dim_request/ dim_user_agent/ dim_error_details/ dim_anomaly_type/
+    page_counts/batch_id=N/   (rows per window, address and page of a stream's batches)
     quarantine/batch_id=N/
+    staging/batch_id=N/
     predictions/
 
 * Fact: dynamic partition overwrite of the batch's partitions, so writing a
   batch twice (a restart after a partial write) leaves one copy.
-* Dims: only ids not yet stored are appended (anti-join on the id), each row
-  tagged with its ``batch_id``, so a dim is unique on the id and a report's
-  join never multiplies fact rows. Lakes with several writers re-apply
-  keep-last per id on read (``dedupe=True``) or compact once.
-* Month partitions let a time filter prune whole months; the sort within
-  partitions gives tight row-group min/max on ``timestamp``.
+* Dims: each batch writes the keys it saw to a partition of its own, without
+  reading what is stored. A read keeps the last batch's row of each id, so
+  newer attributes win and a join never multiplies fact rows, however many
+  writers there were; a dim of one batch (a backfill, or after
+  :func:`compact_dims`) is unique as written.
+* Month partitions let a time filter prune whole months; within a month rows are dealt to
+  files by ranges of time, so row-group min/max on ``timestamp`` are tight. :func:`compact_fact`
+  rewrites closed months, so that their files follow their size and not the number of batches.
+* Missing tables read as empty ones.
 """
 
 from __future__ import annotations
@@ -23,10 +28,16 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from weblake.functions.patterns import LOGIN_ATTACK, REQUEST_RATE_ANOMALY, SCANNING_ACTIVITY
+from weblake.operators.detect import DetectConfig, with_verdicts
 from weblake.operators.star import DIMS, FACT_SCHEMA, Star, keep_last
+from weblake.schemas import PAGE_COUNTS_SCHEMA, PREDICTIONS_SCHEMA
 from weblake.sources import fs
 
+BEHAVIOUR_TYPES = (LOGIN_ATTACK, SCANNING_ACTIVITY, REQUEST_RATE_ANOMALY)
+
 
 def _p(root: str, name: str) -> str:
     return os.path.join(root, name)
@@ -38,24 +49,32 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def write_fact(fact: DataFrame, root: str, batch_id: int) -> None:
     (fact.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-     .sortWithinPartitions("event_month", "batch_id", "timestamp", "ip_id")
+     .repartitionByRange("event_month", "timestamp", "ip_id")
+     .sortWithinPartitions("event_month", "timestamp", "ip_id")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("event_month", "batch_id").parquet(_p(root, "fact")))
 
 
+def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """One batch's partition of a table, overwritten if it is written again."""
+    (df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(path))
+
+
 def write_dim(dim: DataFrame, name: str, root: str, batch_id: int) -> None:
-    spark = dim.sparkSession
-    d = DIMS[name]
-    path = _p(root, name)
-    new = dim.select(*d.columns)
-    if _exists(spark, path):
-        # Which of this batch's ids are stored already? Semi-join the stored
-        # dim (scanned, not shuffled when the batch side is small: AQE can
-        # broadcast it at run time) with the batch's ids, then drop those.
-        stored = spark.read.schema(d.schema).parquet(path).select(d.id_col)
-        seen = stored.join(new.select(d.id_col), on=d.id_col, how="left_semi")
-        new = new.join(seen, on=d.id_col, how="left_anti")
-    new.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")).write.mode("append").parquet(path)
+    _write_batch(dim.select(*DIMS[name].columns), _p(root, name), batch_id)
+
+
+def write_page_counts(counts: DataFrame, root: str, batch_id: int) -> None:
+    _write_batch(counts.withColumn("ip_id", F.xxhash64("ip")), _p(root, "page_counts"), batch_id)
+
+
+def staged(df: DataFrame, root: str, batch_id: int) -> DataFrame:
+    """`df` written once beside the star and read back; a batch that runs again overwrites it."""
+    path = _p(root, f"staging/batch_id={int(batch_id)}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_star(star: Star, root: str, batch_id: int, parallel: bool = True) -> None:
@@ -78,9 +97,7 @@ def write_star(star: Star, root: str, batch_id: int, parallel: bool = True) -> N
 
 
 def write_quarantine(bad: DataFrame, root: str, batch_id: int) -> None:
-    (bad.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(_p(root, "quarantine")))
+    _write_batch(bad, _p(root, "quarantine"), batch_id)
 
 
 def write_predictions(pred: DataFrame, root: str) -> None:
@@ -88,35 +105,57 @@ def write_predictions(pred: DataFrame, root: str) -> None:
     pred.write.mode("overwrite").parquet(_p(root, "predictions"))
 
 
-def read_star(spark: SparkSession, root: str, dedupe: bool = False) -> Star:
-    """Fact and dims of a lake folder.
+def read_table(spark: SparkSession, root: str, name: str, schema: StructType) -> DataFrame:
+    """A table of the lake with its declared schema; empty where nothing was written yet."""
+    path = _p(root, name)
+    return spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
 
-    Dims are unique on write (one writer, anti-join on the id), so they are
-    read as stored. ``dedupe=True`` re-applies keep-last per id on read, for
-    folders that several writers appended to; :func:`compact_dims` does the
-    same once, on storage.
-    """
-    fact = spark.read.schema(FACT_SCHEMA).parquet(_p(root, "fact"))
-    dims = {}
-    for name, d in DIMS.items():
-        path = _p(root, name)
-        if _exists(spark, path):
-            raw = spark.read.schema(d.schema).parquet(path)
-            dims[name] = (keep_last(raw, d.id_col, "batch_id", [*d.columns, "batch_id"])
-                          if dedupe else raw.select(*d.columns))
+
+def read_dim(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """One row per id, that of the last batch."""
+    d = DIMS[name]
+    raw = read_table(spark, root, name, d.schema)
+    if fs.children(spark, _p(root, name), "batch_id=") <= 1:
+        return raw.select(*d.columns)
+    return keep_last(raw, d.id_col, "batch_id", [*d.columns, "batch_id"]).select(*d.columns)
+
+
+def read_star(spark: SparkSession, root: str, cfg: DetectConfig | None = None) -> Star:
+    """Fact and dims of a lake folder. With `cfg` (a stream's, windowed), rows without a signature anomaly get
+    the behaviour verdict that all batches' page counts give for their window and address."""
+    fact = read_table(spark, root, "fact", FACT_SCHEMA)
+    dims = {name: read_dim(spark, root, name) for name in DIMS}
+    if cfg is not None and cfg.mode == "windowed":
+        counts = read_table(spark, root, "page_counts", PAGE_COUNTS_SCHEMA)
+        counts = counts.groupBy("window_start", "ip_id", "page").agg(F.sum("n").alias("n"), F.sum("lp").alias("lp"))
+        kind = F.when(F.col("is_anomaly") == 0, F.col("behavioral_anomaly_type"))
+        fact = with_verdicts(fact, counts, cfg, hot="ip_id").select(
+            *[F.coalesce("anomaly_type_id", F.xxhash64(kind)).alias(c) if c == "anomaly_type_id" else
+              F.when(kind.isNotNull(), 1).otherwise(F.col(c)).alias(c) if c == "is_anomaly" else c for c in fact.columns])
+        fact = fact.withColumn("anomaly_type_id", F.when(F.col("is_anomaly") == 1, F.col("anomaly_type_id")))
+        types = spark.createDataFrame([(t,) for t in BEHAVIOUR_TYPES], "anomaly_type string").select(F.xxhash64("anomaly_type").alias("anomaly_type_id"), "anomaly_type")
+        dims["dim_anomaly_type"] = dims["dim_anomaly_type"].unionByName(types).distinct()
     return Star(fact, dims)
 
 
 def compact_dims(spark: SparkSession, root: str, target: str) -> None:
-    """Rewrite every dim with one row per id (the last batch's), to `target`."""
+    """Rewrite every dim with one row per id (the last batch's) as one batch, to `target`."""
     for name, d in DIMS.items():
-        path = _p(root, name)
-        if _exists(spark, path):
-            raw = spark.read.schema(d.schema).parquet(path)
-            last = keep_last(raw, d.id_col, "batch_id", [*d.columns, "batch_id"])
-            batch = raw.groupBy(d.id_col).agg(F.max("batch_id").alias("batch_id"))
-            last.join(batch, d.id_col).write.mode("overwrite").parquet(_p(target, name))
+        raw = read_table(spark, root, name, d.schema)
+        last = raw.agg(F.max("batch_id")).first()[0]
+        if last is not None:
+            _write_batch(read_dim(spark, root, name), _p(target, name), last)
+
+
+def compact_fact(spark: SparkSession, root: str, target: str, before_month: str, rows_per_file: int = 5_000_000) -> None:
+    """Rewrite the months before `before_month` (YYYYMM; no batch may still write to them) to `target`: rows in
+    order of time, files by size. The rows become batch -1, so a replay of a batch into open months stays a replay."""
+    fact = read_table(spark, root, "fact", FACT_SCHEMA).filter(F.col("event_month") < before_month)
+    (fact.withColumn("batch_id", F.lit(-1).cast("bigint")).repartitionByRange("event_month", "timestamp", "ip_id")
+     .sortWithinPartitions("event_month", "timestamp", "ip_id")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file)
+     .partitionBy("event_month", "batch_id").parquet(_p(target, "fact")))
 
 
 def read_predictions(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(_p(root, "predictions"))
+    return read_table(spark, root, "predictions", PREDICTIONS_SCHEMA)

@@ -51,7 +51,8 @@ def start_ingest(lines: DataFrame, root: str, checkpoint: str, ranges: DataFrame
                  cfg: DetectConfig = PER_BATCH, trigger: str | None = "15 seconds",
                  **geo) -> StreamingQuery:
     """Start the ingest stream; returns the running query. The geo index
-    (bucketed ranges and the broadcast decision) is built once here."""
+    (bucketed ranges and the broadcast decision) is built once here. With windowed rules, read the
+    lake with the same `cfg`: verdicts come from the counts of all batches."""
     index = geo_index(ranges, **geo)
     handler = partial(_handle, root=root, ranges=index, cfg=cfg, geo={})
     return (parsed_stream(lines).writeStream.foreachBatch(handler)
@@ -61,7 +62,7 @@ def start_ingest(lines: DataFrame, root: str, checkpoint: str, ranges: DataFrame
 
 def _handle(batch: DataFrame, batch_id: int, root: str, ranges: DataFrame,
             cfg: DetectConfig, geo: dict) -> None:
-    process_batch(batch, batch_id, root, ranges, cfg, **geo)
+    process_batch(batch, batch_id, root, ranges, cfg, whole=False, **geo)
 
 
 def windowed_verdicts(events: DataFrame, cfg: DetectConfig, watermark: str = "10 minutes",
