@@ -8,7 +8,6 @@ from conftest import SF001
 from weblake import queries as Q
 from weblake import schemas
 from weblake.operators.parse import parse_lines
-from weblake.plans import forecast as fc
 from weblake.plans import reports as R
 from weblake.plans.filters import Filters, conjunction, elide
 from weblake.sources import lake
@@ -59,4 +58,3 @@ def test_forecast_overwrite_sink(spark, tmpdir_path):
     assert R.forecast_read(stored).columns == ["hour", "predicted_requests", "predicted_lower",
                                                "predicted_upper"]
     assert os.path.isdir(os.path.join(tmpdir_path, "predictions"))
-    assert fc.Z80 > 1.28

@@ -12,6 +12,18 @@ from weblake.plans import forecast as fc
 from weblake.sources import envelope, text
 
 
+def design(ds, t0):
+    """The features of the fit, in numpy."""
+    ds = pd.to_datetime(ds)
+    hod = ds.dt.hour.to_numpy().astype(float)
+    how = ((ds.dt.dayofweek.to_numpy() + 1) % 7) * 24.0 + hod  # Sunday first
+    cols = [np.ones(len(ds)), (ds - pd.Timestamp(t0)).dt.total_seconds().to_numpy() / 3600.0]
+    for x, harmonics, period in ((hod, fc.DAILY_HARMONICS, 24.0), (how, fc.WEEKLY_HARMONICS, 168.0)):
+        for k in range(1, harmonics + 1):
+            cols += [np.sin(x * 2 * np.pi * k / period), np.cos(x * 2 * np.pi * k / period)]
+    return np.column_stack(cols)
+
+
 def _series(spark, hours=24 * 10):
     t0 = dt.datetime(2024, 1, 1)
     rng = np.random.default_rng(7)
@@ -26,26 +38,36 @@ def _series(spark, hours=24 * 10):
 def test_fourier_matches_numpy_lstsq(spark):
     sdf, pdf = _series(spark)
     pred = fc.forecast_fourier(sdf).toPandas()
-    X = np.column_stack([np.ones(len(pdf)), fc.fourier_matrix(pdf["ds"], pdf["ds"].min())])
+    X = design(pdf["ds"], pdf["ds"].min())
     beta, *_ = np.linalg.lstsq(X, pdf["y"].to_numpy(float), rcond=None)
     fut = pd.Series(pd.date_range(pdf["ds"].max() + pd.Timedelta(hours=1), periods=24, freq="h"))
-    want = np.column_stack([np.ones(24), fc.fourier_matrix(fut, pdf["ds"].min())]) @ beta
+    want = design(fut, pdf["ds"].min()) @ beta
     assert len(pred) == 24
     np.testing.assert_allclose(pred["predicted_requests"].to_numpy(), want, rtol=1e-6, atol=1e-6)
     assert (pred["predicted_lower"] < pred["predicted_requests"]).all()
     assert (pred["predicted_upper"] > pred["predicted_requests"]).all()
 
 
-def test_forecast_many_matches_single(spark):
+def test_fit_is_orthogonal_to_its_features(spark):
     sdf, _ = _series(spark)
-    many = sdf.select(F.lit("a").alias("page"), "ds", "y").unionByName(
-        sdf.select(F.lit("b").alias("page"), "ds", (F.col("y") * 2).alias("y")))
-    out = fc.forecast_many(many, "page").toPandas()
-    single = fc.forecast_fourier(sdf).toPandas()
-    a = out[out.page == "a"].sort_values("timestamp")["predicted_requests"].to_numpy()
-    b = out[out.page == "b"].sort_values("timestamp")["predicted_requests"].to_numpy()
-    np.testing.assert_allclose(a, single["predicted_requests"].to_numpy(), rtol=1e-6, atol=1e-6)
-    np.testing.assert_allclose(b, 2 * a, rtol=1e-6, atol=1e-6)
+    rows = fc.normal_equations(sdf).collect()
+    assert [r.feature for r in rows] == ["constant", *fc.FEATURES]
+    assert all(r.orthogonal and r.n_rows == 240 for r in rows)
+
+
+def test_short_series_have_no_forecast(spark):
+    sdf, _ = _series(spark, hours=30)
+    for n in (0, 1):
+        short = sdf.orderBy("ds").limit(n)
+        assert fc.forecast_additive(short).collect() == [] and fc.forecast_fourier(short).collect() == []
+    assert fc.forecast_additive(sdf.orderBy("ds").limit(2)).count() == 24
+
+
+def test_gaps_are_filled_with_zeros(spark):
+    sdf, pdf = _series(spark, hours=10)
+    filled = fc.fill_gaps(sdf.filter(F.hour("ds").isin(0, 3, 9))).collect()
+    assert [r.y for r in filled] == [y if h in (0, 3, 9) else 0 for h, y in enumerate(pdf["y"])]
+    assert fc.fill_gaps(sdf.limit(0)).collect() == []
 
 
 def test_additive_forecast_future_only_and_peak(spark):
@@ -145,30 +167,6 @@ def test_train_save_load_predict(spark, tmpdir_path):
     assert fc.predict_saved(spark, tmpdir_path, as_of=last + dt.timedelta(hours=22)).count() == 2
 
 
-def test_total_bytes_stops_at_bound(spark, tmpdir_path):
-    from weblake.sources import fs
-
-    paths = []
-    for i in range(3):
-        p = os.path.join(tmpdir_path, f"b{i}.bin")
-        with open(p, "wb") as f:
-            f.write(b"x" * 100)
-        paths.append(p)
-    assert fs.total_bytes(spark, paths) == 300
-    assert fs.total_bytes(spark, paths, stop_at=150) == 200
-
-
-def test_spread_leaves_many_files_alone(spark, tmpdir_path, monkeypatch):
-    from weblake.sources import weblog
-
-    path = os.path.join(tmpdir_path, "many")
-    spark.range(40).repartition(4).write.parquet(path)
-    df = spark.read.parquet(path)
-    assert "Exchange" in _plan(weblog.spread(df, key="id"))  # small input: spread
-    monkeypatch.setattr(weblog, "SPREAD_MAX_FILES", 2)
-    assert weblog.spread(df, key="id") is df  # more files than the bound: untouched
-
-
 def _plan(df) -> str:
     import contextlib
     import io

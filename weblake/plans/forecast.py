@@ -12,15 +12,15 @@ Two fits with the same components (trend + daily + weekly seasonality):
   yhat -/+ z(0.9) * (std of the remainder), an 80 % band.
 * :func:`forecast_fourier` -- Fourier regression (trend, 4 daily and 3 weekly
   harmonics) with ``pyspark.ml`` ``LinearRegression`` (normal equations);
-  many series at once go through ``groupBy(key).applyInPandas``.
+  :func:`normal_equations` checks a fit.
+
+A forecast needs two points at least; from fewer there are no rows.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +42,12 @@ def hourly_series(star_or_fact, access_only: bool = True) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("y")).orderBy("ds"))
 
 
+def fill_gaps(series: DataFrame) -> DataFrame:
+    """`(ds, y)` with the hours between the first and the last that have no rows as zeros."""
+    hours = series.agg(F.explode(F.sequence(F.min("ds"), F.max("ds"), F.expr("INTERVAL 1 HOUR"))).alias("ds"))
+    return hours.join(series, "ds", "left").select("ds", F.coalesce("y", F.lit(0)).alias("y")).orderBy("ds")
+
+
 def materialise(series: DataFrame) -> DataFrame:
     """Cut lineage: write the (small) series to the shared checkpoint folder."""
     checkpoint_dir(series.sparkSession)
@@ -54,11 +60,9 @@ def _hours_since(ds: Column, t0: Column) -> Column:
 
 def _future(series: DataFrame, horizon: int) -> DataFrame:
     last = F.max("ds")
-    return series.agg(
-        F.explode(F.sequence(last + F.expr("INTERVAL 1 HOUR"),
-                             last + F.expr(f"INTERVAL {int(horizon)} HOURS"),
-                             F.expr("INTERVAL 1 HOUR"))).alias("ds")
-    )
+    return series.agg(F.count("ds").alias("n"), F.sequence(
+        last + F.expr("INTERVAL 1 HOUR"), last + F.expr(f"INTERVAL {int(horizon)} HOURS"),
+        F.expr("INTERVAL 1 HOUR")).alias("hours")).filter("n >= 2").select(F.explode("hours").alias("ds"))
 
 
 def _as_of_filter(pred: DataFrame, series: DataFrame, as_of) -> DataFrame:
@@ -136,6 +140,8 @@ def fit_fourier(series: DataFrame):
 
 
 def forecast_fourier(series: DataFrame, horizon: int = HORIZON, as_of=None, z: float = Z80) -> DataFrame:
+    if series.limit(2).count() < 2:
+        return series.sparkSession.createDataFrame([], "timestamp timestamp, predicted_requests double, predicted_lower double, predicted_upper double")
     model, va, t0, sigma = fit_fourier(series)
     fut = va.transform(fourier_design(_future(series, horizon), t0))
     yhat = F.col("prediction")
@@ -148,52 +154,18 @@ def forecast_fourier(series: DataFrame, horizon: int = HORIZON, as_of=None, z: f
     return _as_of_filter(pred, series, as_of).orderBy("timestamp")
 
 
-def fourier_matrix(ds: pd.Series, t0) -> np.ndarray:
-    """Same design as :func:`fourier_design`, in numpy (per-group fits, tests)."""
-    ds = pd.to_datetime(ds)
-    t = (ds - pd.Timestamp(t0)).dt.total_seconds().to_numpy() / 3600.0
-    hod = ds.dt.hour.to_numpy().astype(float)
-    # Spark dayofweek: Sunday = 1; pandas dayofweek: Monday = 0
-    dow = ((ds.dt.dayofweek.to_numpy() + 1) % 7).astype(float)
-    how = dow * 24 + hod
-    cols = [t]
-    for k in range(1, DAILY_HARMONICS + 1):
-        w = 2 * math.pi * k / 24.0
-        cols += [np.sin(hod * w), np.cos(hod * w)]
-    for k in range(1, WEEKLY_HARMONICS + 1):
-        w = 2 * math.pi * k / 168.0
-        cols += [np.sin(how * w), np.cos(how * w)]
-    return np.column_stack(cols)
-
-
-def forecast_many(series: DataFrame, key: str, horizon: int = HORIZON, z: float = Z80) -> DataFrame:
-    """One Fourier fit per `key` (page, country, ...) with ``applyInPandas``.
-
-    Each group is one key's hourly series (bounded by the hours of history),
-    so a group never holds raw events.
-    """
-    key_type = dict(series.dtypes)[key]
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ds")
-        t0 = pdf["ds"].min()
-        X = np.column_stack([np.ones(len(pdf)), fourier_matrix(pdf["ds"], t0)])
-        y = pdf["y"].to_numpy(dtype=float)
-        beta, *_ = np.linalg.lstsq(X, y, rcond=None)
-        resid = y - X @ beta
-        sigma = float(np.std(resid, ddof=1)) if len(y) > 1 else float("nan")
-        fut = pd.Series(pd.date_range(pdf["ds"].max() + pd.Timedelta(hours=1), periods=horizon, freq="h"))
-        Xf = np.column_stack([np.ones(horizon), fourier_matrix(fut, t0)])
-        yhat = Xf @ beta
-        return pd.DataFrame({
-            key: pdf[key].iloc[0], "timestamp": fut, "predicted_requests": yhat,
-            "predicted_lower": yhat - z * sigma, "predicted_upper": yhat + z * sigma,
-        })
-
-    schema = (f"{key} {key_type}, timestamp timestamp_ntz, predicted_requests double, "
-              "predicted_lower double, predicted_upper double")
-    s = series.select(key, F.col("ds").cast("timestamp_ntz").alias("ds"), "y")
-    return s.groupBy(key).applyInPandas(fit, schema)
+def normal_equations(series: DataFrame, tolerance: float = 1e-6) -> DataFrame:
+    """Per feature of the Fourier fit (and the constant): whether the residuals are orthogonal to it, as a least-squares
+    fit's are, up to `tolerance` of the size of the sum's terms; n_rows, the training rows."""
+    model, va, t0, _ = fit_fourier(series)
+    fitted = model.transform(va.transform(fourier_design(series, t0))).withColumn("r", F.col("y") - F.col("prediction"))
+    names = ["constant", *FEATURES]
+    value = {n: F.lit(1.0) if n == "constant" else F.col(n) for n in names}
+    sums = fitted.agg(F.count(F.lit(1)).alias("n_rows"), *[F.struct(
+        F.sum(F.col("r") * v).alias("dot"), F.sum(F.abs(F.col("y") * v)).alias("size")).alias(n) for n, v in value.items()])
+    rows = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(n).alias("s")) for n in names])
+    return sums.select("n_rows", F.explode(rows).alias("f")).select(
+        F.col("f.feature").alias("feature"), "n_rows", (F.abs(F.col("f.s.dot")) <= tolerance * (1 + F.col("f.s.size"))).alias("orthogonal"))
 
 
 # ------------------------------------------------------------ F4 - F6, D18

@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 from weblake.operators.geo import known_country, with_iso
 from weblake.operators.star import DIMS, Star
 from weblake.plans.filters import NO_FILTERS, Filters, apply
+from weblake.plans.forecast import hourly_series
+from weblake.plans.forecast import materialise as materialised
+
 
 def _access() -> Column:
     return F.col("log_type") == "access"
@@ -76,19 +79,28 @@ def _latest(fact: DataFrame, n: int) -> DataFrame:
 
 
 # ---------------------------------------------------------------- R1 - R4
-def kpi_summary(star: Star, flt: Filters = NO_FILTERS) -> DataFrame:
-    """Access rows: total, unique_ips, avg_bytes, server/client error %.
-
-    Grouped by address id first, so unique_ips is the number of groups (exact,
-    no distinct aggregate) and the global step sees one row per address."""
-    pre = _kpi_pre(star, flt)
-    n = F.sum("n")
-    return pre.agg(
+def kpi_summary(star: Star, flt: Filters = NO_FILTERS, approx: bool = False) -> DataFrame:
+    """Access rows: total, unique_ips, avg_bytes, server/client error %; zeros where there are no rows.
+
+    Exact: grouped by address id first, so unique_ips is the number of groups (no
+    distinct aggregate) and the global step sees one row per address. ``approx=True``
+    counts addresses by a HyperLogLog sketch, in one pass."""
+    if approx:
+        rows = apply(star.attach(_fact(star, flt, _access()), flt.dims_needed()), flt.dim_predicates())
+        n, b, c, c5, c4 = (F.count(F.lit(1)), F.sum("bytes"), F.count("bytes"), F.count_if(_status_between(500)),
+                           F.count_if(_status_between(400, 500)))
+        ips = F.approx_count_distinct("ip_id")
+    else:
+        rows = _kpi_pre(star, flt)
+        n, b, c, c5, c4 = (F.sum(x) for x in ("n", "bsum", "bcnt", "c5", "c4"))
+        ips = F.count("ip_id")
+    zero = F.lit(0.0)
+    return rows.agg(
         F.coalesce(n, F.lit(0)).alias("total"),
-        F.count("ip_id").alias("unique_ips"),
-        F.try_divide(F.sum("bsum").cast("double"), F.sum("bcnt").cast("double")).alias("avg_bytes"),
-        _pct(F.sum("c5"), n).alias("server_error_rate"),
-        _pct(F.sum("c4"), n).alias("client_error_rate"),
+        ips.alias("unique_ips"),
+        F.coalesce(F.try_divide(b.cast("double"), c.cast("double")), zero).alias("avg_bytes"),
+        F.coalesce(_pct(c5, n), zero).alias("server_error_rate"),
+        F.coalesce(_pct(c4, n), zero).alias("client_error_rate"),
     )
 
 
@@ -212,7 +224,7 @@ def error_heatmap(star: Star, flt: Filters = NO_FILTERS, n_pages: int = 15) -> D
 
 def error_heatmap_pivot(star: Star, flt: Filters = NO_FILTERS, n_pages: int = 15) -> DataFrame:
     """Pages x statuses, zero where a pair has no rows."""
-    heat = error_heatmap(star, flt, n_pages)
+    heat = materialised(error_heatmap(star, flt, n_pages))  # n_pages x statuses: pivot looks the statuses up in it
     return heat.groupBy("page").pivot("status").agg(F.first("count")).na.fill(0)
 
 
@@ -288,22 +300,22 @@ def recent_errors(star: Star, flt: Filters = NO_FILTERS, n: int = 100) -> DataFr
 
 
 # ---------------------------------------------------------------- R19 - R20
-def last_hour(fact: DataFrame) -> Column:
-    """Scalar: the last hour with access traffic (the default `as_of`)."""
-    return fact.filter(_access()).agg(F.max(F.date_trunc("hour", "timestamp"))).scalar()
-
-
-def _as_of(star: Star, as_of) -> Column:
-    if as_of is None:
-        return last_hour(star.fact)
-    return F.lit(str(as_of)).cast("timestamp")
-
-
 def hourly_actuals(star: Star, as_of=None, days: int = 3) -> DataFrame:
-    since = _as_of(star, as_of) - F.expr(f"INTERVAL {int(days)} DAYS")
-    return (star.fact.filter(_access() & (F.col("timestamp") >= since))
-            .groupBy(F.date_trunc("hour", "timestamp").alias("hour"))
-            .agg(F.count(F.lit(1)).alias("actual_requests")).orderBy("hour"))
+    """(hour, actual_requests) of the last `days` days: from a bounded part of the fact if `as_of` is given, else
+    up to the last hour with traffic, from the hourly series (one scan of the fact)."""
+    if as_of is None:
+        return actuals_of(materialised(hourly_series(star)), days)
+    since = F.lit(str(as_of)).cast("timestamp") - F.expr(f"INTERVAL {int(days)} DAYS")
+    rows = star.fact.filter(_access() & (F.col("timestamp") >= since))
+    if "event_month" in star.fact.columns:
+        rows = rows.filter(F.col("event_month") >= F.date_format(since, "yyyyMM"))
+    return rows.groupBy(F.date_trunc("hour", "timestamp").alias("hour")).agg(F.count(F.lit(1)).alias("actual_requests")).orderBy("hour")
+
+
+def actuals_of(series: DataFrame, days: int = 3) -> DataFrame:
+    """The last `days` days of an hourly series."""
+    since = series.agg(F.max("ds")).scalar() - F.expr(f"INTERVAL {int(days)} DAYS")
+    return series.filter(F.col("ds") >= since).select(F.col("ds").alias("hour"), F.col("y").alias("actual_requests")).orderBy("hour")
 
 
 def forecast_read(predictions: DataFrame) -> DataFrame:

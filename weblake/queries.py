@@ -8,21 +8,23 @@ timestamps as ``timestamp_ntz`` (UTC wall clock), doubles rounded to 6.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, TimestampType
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType, TimestampType
 
 from weblake.operators import detect, geo, parse, star as star_mod
 from weblake.operators.detect import DAILY_TEST, PER_BATCH
 from weblake.plans import forecast as fc
 from weblake.plans import reports as R
 from weblake.plans.filters import Filters
-from weblake.session import prepare
-from weblake.plans.ingest import ensure_lake
+from weblake.plans.ingest import ensure_lake, process_batch
+from weblake.schemas import QUARANTINE_SCHEMA
+from weblake.session import checkpoint_dir, prepare
 from weblake.sources import envelope, lake, text
-from weblake.sources.weblog import read_table, read_weblog, spread
+from weblake.sources.weblog import read_table, read_weblog
 
 # the star the reports read is flagged with daily windows (see DAILY_TEST)
 STAR_CONFIG = DAILY_TEST
@@ -30,7 +32,7 @@ TIME_FILTER = Filters(start="2024-01-10 00:00:00", end="2024-01-19 23:59:59")
 LIST_FILTER = Filters(start="2024-01-05 00:00:00", end="2024-01-25 23:59:59",
                       statuses=(200, 404), countries=("NATION_1", "NATION_2", "NATION_3"),
                       methods=("GET",))
-OVERSIZE_TEST_BYTES = 50_000
+OVERSIZE_TEST_BYTES = 2_000
 
 
 def present(df: DataFrame) -> DataFrame:
@@ -70,11 +72,15 @@ def star_in_memory(spark, d) -> star_mod.Star:
 _STARS: dict[tuple[str, str], star_mod.Star] = {}
 
 
+def star_root(spark, d) -> str:
+    inputs = [f"{d.rstrip('/')}/{t}.parquet" for t in ("events", "nation")]
+    return ensure_lake(spark, lambda: lines(spark, d), inputs, lambda: ranges(spark, d), STAR_CONFIG)
+
+
 def star(spark, d) -> star_mod.Star:
     """The star as the reports see it: written once by the batch ingest job
     (parse, quarantine, flag, dims, fact) and read back from the lake."""
-    inputs = [f"{d.rstrip('/')}/{t}.parquet" for t in ("events", "nation")]
-    root = ensure_lake(spark, lambda: lines(spark, d), inputs, lambda: ranges(spark, d), STAR_CONFIG)
+    root = star_root(spark, d)
     key = (spark.sparkContext.applicationId, root)
     if key not in _STARS:  # lazy plans only; the data stays in the lake
         _STARS[key] = lake.read_star(spark, root)
@@ -113,7 +119,7 @@ def _star_join(s, p):
 
 def _key_integrity(s, p):
     st = star(s, p)
-    out = None
+    out = ids = None
     for name, d in star_mod.DIMS.items():
         dim = st.dim(name)
         stats = dim.agg(
@@ -121,37 +127,46 @@ def _key_integrity(s, p):
             F.count_distinct(d.id_col).alias("n_ids"),
             F.count_distinct(*[F.col(k) for k in d.keys]).alias("n_keys"),
         )
-        orphans = (st.fact.filter(F.col(d.id_col).isNotNull())
-                   .join(dim.select(d.id_col), d.id_col, "left_anti")
-                   .agg(F.lit(name).alias("dim"), F.count(F.lit(1)).alias("orphan_refs")))
-        row = stats.join(orphans, "dim")
-        out = row if out is None else out.unionByName(row)
-    return out
+        out = stats if out is None else out.unionByName(stats)
+        held = dim.select(F.lit(name).alias("dim"), F.col(d.id_col).alias("id"))
+        ids = held if ids is None else ids.unionByName(held)
+    # one scan of the fact, reduced to the rows per id before anything is joined
+    refs = st.fact.select(F.explode(F.array(*[F.struct(F.lit(n).alias("dim"), F.col(d.id_col).alias("id")) for n, d in star_mod.DIMS.items()])).alias("r"))
+    refs = refs.select("r.*").filter(F.col("id").isNotNull()).groupBy("dim", "id").agg(F.count(F.lit(1)).alias("n"))
+    orphans = refs.join(ids.distinct(), ["dim", "id"], "left_anti").groupBy("dim").agg(F.sum("n").alias("orphan_refs"))
+    return out.join(orphans, "dim", "left").withColumn("orphan_refs", F.coalesce("orphan_refs", F.lit(0)))
 
 
 def _uniq_approx(s, p, rsd: float = 0.05):
-    acc = events(s, p).filter(F.col("log_type") == "access")
-    a = acc.agg(F.approx_count_distinct("ip", rsd).alias("approx"),
-                F.count_distinct("ip").alias("exact_unique_ips"))
+    st = star(s, p)
+    exact = R.kpi_summary(st).select(F.col("unique_ips").alias("exact_unique_ips"))
+    a = exact.withColumn("approx", R.kpi_summary(st, approx=True).select("unique_ips").scalar())
     return a.select("exact_unique_ips",
                     (F.abs(F.col("approx") - F.col("exact_unique_ips"))
                      <= 3 * rsd * F.col("exact_unique_ips")).alias("within_bound"))
 
 
 def _multiline(s, p):
-    docs = spread(read_table(s, p, "documents"), key="doc_id")
+    docs = read_table(s, p, "documents")
     return text.stitch(docs, "text", "[A-Z]", keep=("doc_id",))
 
 
+def _stitch_lines(s, p):
+    """The line-wise stitching of log files: each document a file, cut into splits of 16 lines."""
+    docs = read_table(s, p, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("seq", "line"))
+    split = docs.select(F.col("doc_id").alias("file"), (F.col("seq") - F.col("seq") % 16).alias("blk"), "seq", "line")
+    return text.stitch_lines(split, "[A-Z]").select(F.col("file").alias("doc_id"), F.col("rec").cast("int").alias("rec"), "record")
+
+
 def _oversize(s, p):
-    docs = spread(read_table(s, p, "documents"), key="doc_id")
-    return docs.filter(envelope.fits("text", OVERSIZE_TEST_BYTES)).select(
+    docs = envelope.drop_oversize(read_table(s, p, "documents"), "text", OVERSIZE_TEST_BYTES)
+    return docs.select(
         "doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"))
 
 
 def _envelope_decode(s, p):
     ev = read_table(s, p, "events")
-    return ev.select("event_id", F.from_json("props", "k INT").alias("p")).select("event_id", "p.k")
+    return envelope.decode(ev, "props", StructType([StructField("k", IntegerType())]), keep=("event_id",))
 
 
 def _envelope_roundtrip(s, p):
@@ -186,19 +201,68 @@ def _filter_time(s, p):
 
 
 def _actuals(s, p):
-    return R.hourly_actuals(star(s, p))
+    return R.actuals_of(series(s, p))
 
 
 def _scaling(s, p):
-    st = star(s, p)
-    return fc.scaling_advice(fc.forecast_additive(fc.materialise(fc.hourly_series(st))),
-                             R.hourly_actuals(st))
+    hours = series(s, p)
+    return fc.scaling_advice(fc.forecast_additive(hours), R.actuals_of(hours))
 
 
 def _actual_vs_forecast(s, p):
-    st = star(s, p)
-    return fc.actual_vs_forecast(R.hourly_actuals(st),
-                                 fc.forecast_additive(fc.materialise(fc.hourly_series(st))))
+    hours = series(s, p)
+    return fc.actual_vs_forecast(R.actuals_of(hours), fc.forecast_additive(hours))
+
+
+def _fresh(spark, name: str) -> str:
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _forecast_read(s, p):
+    root = _fresh(s, "forecast")
+    lake.write_predictions(prediction(s, p), root)
+    return R.forecast_read(lake.read_predictions(s, root))
+
+
+def _flags_from_cuts(s, p):
+    """Three batches cut across every window, read with the verdicts of all their counts."""
+    root, geo_rows = _fresh(s, "cuts"), geo.geo_index(ranges(s, p))
+    for k in range(3):
+        process_batch(lines(s, p).filter(F.col("event_id") % 3 == k), k, root, geo_rows, STAR_CONFIG, whole=False)
+    st = lake.read_star(s, root, STAR_CONFIG)
+    return st.joined(["dim_ip", "dim_anomaly_type"]).select("timestamp", "log_type", "ip", "status", "is_anomaly", "anomaly_type")
+
+
+def _broken_lines(s, p):
+    """The lines, some with a date that is none, without a message, of unknown type, or oversize."""
+    at = lines(s, p)
+    message = (F.when(F.col("event_id") % 101 == 0, F.lit(None).cast("string"))
+               .when(F.col("event_id") % 107 == 0, F.concat("message", F.repeat(F.lit(" "), 3000)))
+               .when(F.col("event_id") % 97 == 0, F.regexp_replace("message", r"^(\S+ - - \[)\d\d/\w+", "$199/Foo")).otherwise(F.col("message")))
+    kind = F.when(F.col("event_id") % 103 == 0, F.lit(None).cast("string")).when(F.col("event_id") % 109 == 0, F.lit("other")).otherwise(F.col("log_type"))
+    return at.select("event_id", kind.alias("log_type"), message.alias("message"))
+
+
+def _conservation(s, p):
+    """Per type: input lines, fact rows, quarantined lines; nothing is lost between them."""
+    root, given = _fresh(s, "conservation"), _broken_lines(s, p)
+    process_batch(given, 0, root, ranges(s, p), STAR_CONFIG, max_bytes=OVERSIZE_TEST_BYTES)
+    kind = F.coalesce("log_type", F.lit("(none)")).alias("log_type")
+    fact, bad = lake.read_table(s, root, "fact", star_mod.FACT_SCHEMA), lake.read_table(s, root, "quarantine", QUARANTINE_SCHEMA)
+    counted = [t.select(kind, *[F.lit(int(i == j)).alias(c) for j, c in enumerate(("n_input", "n_fact", "n_quarantine"))], u.alias("n_untimed"))
+               for i, (t, u) in enumerate(((given, F.lit(0)), (fact, F.col("timestamp").isNull().cast("int")), (bad, F.lit(0))))]
+    rows = counted[0].unionByName(counted[1]).unionByName(counted[2])
+    sums = rows.groupBy("log_type").agg(*[F.sum(c).cast("bigint").alias(c) for c in ("n_input", "n_fact", "n_quarantine", "n_untimed")])
+    return sums.withColumn("conserved", F.col("n_input") == F.col("n_fact") + F.col("n_quarantine"))
+
+
+def _dim_refresh(s, p):
+    """Two batches, the second with new countries: the newest wins."""
+    root, old = _fresh(s, "refresh"), ranges(s, p)
+    new = old.withColumn("country", F.concat("country", F.lit("_NEW")))
+    for k, table in enumerate((old, new)):
+        process_batch(lines(s, p), k, root, table, PER_BATCH)
+    return lake.read_dim(s, root, "dim_ip").select("ip", "country")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -209,7 +273,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "oversize_filter": _oversize,
     "month_partition_counts": _month_counts,
     "replacing_dedupe": _keep_last,
-    "quarantine": lambda s, p: parse.quarantine(lines(s, p)),
+    "multiline_stitch_lines": _stitch_lines,
+    "quarantine": lambda s, p: lake.read_table(s, star_root(s, p), "quarantine", QUARANTINE_SCHEMA).select("log_type", "message"),
+    "ingest_conservation": _conservation,
+    "dim_ip_refresh": _dim_refresh,
     # parse, union
     "parse_access": lambda s, p: parse.access_events(lines(s, p)).filter(F.col("ip") != ""),
     "parse_error": lambda s, p: parse.error_events(lines(s, p)).filter(F.col("ip") != ""),
@@ -221,6 +288,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         detect.behaviour_profile(events(s, p), PER_BATCH), PER_BATCH),
     "behavioral_windowed": _windowed,
     "anomaly_flagging": lambda s, p: detect.flag(events(s, p), PER_BATCH),
+    "windowed_flags_from_cuts": _flags_from_cuts,
     # geo
     "geo_enrich": lambda s, p: geo.enrich_country(events(s, p), ranges(s, p)),
     "country_iso": _country_iso,
@@ -262,9 +330,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_actuals": _actuals,
     # forecast
     "hourly_series": lambda s, p: fc.hourly_series(star(s, p)),
+    "hourly_series_filled": lambda s, p: fc.fill_gaps(series(s, p)),
     "forecast_additive": prediction,
     "forecast_fourier": lambda s, p: fc.forecast_fourier(series(s, p)),
-    "forecast_read": lambda s, p: R.forecast_read(prediction(s, p)),
+    "forecast_read": _forecast_read,
+    "fourier_normal_equations": lambda s, p: fc.normal_equations(series(s, p)),
     "forecast_peak": lambda s, p: fc.forecast_peak(prediction(s, p)),
     "load_p95": lambda s, p: fc.load_p95(_actuals(s, p)),
     "scaling_advice": _scaling,
