@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from conftest import SF01
-from weblake.functions.ip import ipv4_to_long
+from weblake.functions.ip import ipv4_to_long, ipv6_key
 from weblake.operators import geo
 from weblake.sources.weblog import read_table
 
@@ -70,3 +70,23 @@ def test_geo_index_reused(spark):
     small = geo.geo_index(_ranges(spark), 16, max_broadcast_rows=0)
     assert not small.broadcast
     assert {r.country for r in geo.lookup_countries(df, small).collect()} == {"B", "Unknown"}
+
+
+def test_ipv6_keys(spark):
+    import ipaddress
+    good = ["::", "::1", "1::", "2001:db8::1", "2001:DB8:0:0:0:0:0:1", "fe80::1%eth0", "1:2:3:4:5:6:7:8", "1::8", "ffff:ffff:ffff:ffff:ffff:ffff:ffff:ffff", "1:2:3:4:5:6:7::"]
+    bad = ["", "1.2.3.4", ":::", "1:2:3", "1::2::3", "12345::", "zz::1", "1:2:3:4:5:6:7:8:9", ":1:2:3:4:5:6:7", "1:2:3:4:5:6:7:", "1:2:3:4:5:6:7:8::", None]
+    rows = spark.createDataFrame([(a,) for a in good + bad], "ip string").select("ip", ipv6_key("ip").alias("k")).collect()
+    want = {a: f"{int(ipaddress.IPv6Address(a.split('%')[0])):032x}" for a in good}
+    assert {r.ip: r.k for r in rows} == want | {a: None for a in bad}
+
+
+def test_both_families_by_broadcast_and_by_shuffle(spark):
+    v4 = spark.createDataFrame([(1 << 24, (2 << 24) - 1, "FOUR")], "start_ip long, end_ip long, country string")
+    v6 = spark.createDataFrame([("2001:db8::", "2001:db8:ffff:ffff:ffff:ffff:ffff:ffff", "SIX"), ("2a00::", "2a00:ffff:ffff:ffff:ffff:ffff:ffff:ffff", "WIDE")], "start_ip string, end_ip string, country string")
+    df = spark.createDataFrame([(a,) for a in ("1.2.3.4", "::ffff:1.2.3.4", "2001:db8::9", "2001:db9::", "2a00:abcd::1", "nonsense", None)], "ip string")
+    want = {"1.2.3.4": "FOUR", "::ffff:1.2.3.4": "FOUR", "2001:db8::9": "SIX", "2001:db9::": "Unknown", "2a00:abcd::1": "WIDE", "nonsense": "Unknown", None: "Unknown"}
+    for rows in (1_000_000, 0):
+        index = geo.geo_index(v4, max_broadcast_rows=rows, ranges_v6=v6)
+        assert {r.ip: r.country for r in geo.enrich_country(df, index).collect()} == want
+        assert {r.ip: r.country for r in geo.lookup_countries(df, index).collect()} == want

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weblake.functions.ip import ipv4_to_long
+from weblake.functions.ip import ipv4_to_long, ipv6_key, plain_ipv4
 from weblake.functions.patterns import ERROR_COUNTRY, UNKNOWN_COUNTRY
 
 DEFAULT_BUCKET_PREFIX = 16
@@ -43,6 +43,16 @@ def geo_ranges_from_nation(nation: DataFrame) -> DataFrame:
     )
 
 
+def geo_ranges_v6_from_nation(nation: DataFrame) -> DataFrame:
+    """Synthetic IPv6 blocks for tests: nation n of 0..9 owns 2001:db8:n::/48, but for n % 5 = 4."""
+    n = F.col("n_nationkey").cast("string")
+    return nation.filter((F.col("n_nationkey") < 10) & (F.col("n_nationkey") % 5 != 4)).select(
+        F.concat(F.lit("2001:db8:"), n, F.lit("::")).alias("start_ip"),
+        F.concat(F.lit("2001:db8:"), n, F.lit(":ffff:ffff:ffff:ffff:ffff")).alias("end_ip"),
+        F.col("n_name").alias("country"),
+    )
+
+
 def country_codes_from_nation(nation: DataFrame) -> DataFrame:
     """Synthetic ISO alpha-3 codes; nations with n % 7 = 6 have none."""
     return nation.filter(F.col("n_nationkey") % 7 != 6).select(
@@ -67,6 +77,16 @@ def bucketed_ranges(ranges: DataFrame, bucket_prefix: int = DEFAULT_BUCKET_PREFI
     )
 
 
+V6_DIGITS = 6  # a bucket is a /24: a block of that size or smaller touches one
+
+
+def bucketed_ranges_v6(ranges: DataFrame) -> DataFrame:
+    """`(bucket, start_ip, end_ip, country)` of IPv6 ranges given as text, one row per bucket a range touches."""
+    keyed = ranges.select(ipv6_key("start_ip").alias("start_ip"), ipv6_key("end_ip").alias("end_ip"), "country")
+    first, last = (F.conv(F.substring(c, 1, V6_DIGITS), 16, 10).cast("bigint") for c in ("start_ip", "end_ip"))
+    return keyed.select(F.explode(F.sequence(first, last)).alias("bucket"), "start_ip", "end_ip", "country")
+
+
 def bucket_row_count(ranges: DataFrame, bucket_prefix: int = DEFAULT_BUCKET_PREFIX) -> int:
     """Exact number of rows :func:`bucketed_ranges` yields (one small aggregate)."""
     s = _shift(bucket_prefix)
@@ -76,10 +96,24 @@ def bucket_row_count(ranges: DataFrame, bucket_prefix: int = DEFAULT_BUCKET_PREF
     return int(n or 0)
 
 
+def _nowhere():
+    """Bucket of an address that has none: a negative one, so that such addresses spread over the tasks of a join."""
+    return -1 - F.pmod(F.xxhash64("ip"), F.lit(1000))
+
+
+def _range_join_v6(left: DataFrame, buckets: DataFrame) -> DataFrame:
+    """Fill `country` where it is unknown from IPv6 buckets."""
+    l = left.withColumn("_key", ipv6_key("ip")).withColumn(
+        "_bucket", F.coalesce(F.conv(F.substring("_key", 1, V6_DIGITS), 16, 10).cast("bigint"), _nowhere()))
+    b = buckets.select(F.col("bucket").alias("_b"), F.col("start_ip").alias("_s"), F.col("end_ip").alias("_e"), F.col("country").alias("_country"))
+    cond = (F.col("_bucket") == F.col("_b")) & F.col("_key").between(F.col("_s"), F.col("_e"))
+    return l.join(b, cond, "left").withColumn("country", F.coalesce("_country", "country")).drop("_key", "_bucket", "_b", "_s", "_e", "_country")
+
+
 def _range_join(left: DataFrame, buckets: DataFrame, bucket_prefix: int) -> DataFrame:
     s = _shift(bucket_prefix)
-    l = left.withColumn("_ip_num", ipv4_to_long("ip")).withColumn(
-        "_bucket", F.shiftright("_ip_num", s)
+    l = left.withColumn("_ip_num", ipv4_to_long(plain_ipv4("ip"))).withColumn(
+        "_bucket", F.coalesce(F.shiftright("_ip_num", s), _nowhere())
     )
     b = buckets.select(
         F.col("bucket").alias("_b"), F.col("start_ip").alias("_s"),
@@ -102,15 +136,24 @@ class GeoIndex:
     rows: int
     bucket_prefix: int
     broadcast: bool
+    v6: DataFrame | None = None
+
+    def join(self, df: DataFrame) -> DataFrame:
+        """`df` plus `country`, by broadcast or by bucket."""
+        side = F.broadcast if self.broadcast else (lambda x: x)
+        df = _range_join(df, side(self.buckets), self.bucket_prefix)
+        return df if self.v6 is None else _range_join_v6(df, side(self.v6))
 
 
 def geo_index(ranges, bucket_prefix: int = DEFAULT_BUCKET_PREFIX,
-              max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> GeoIndex:
+              max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, ranges_v6: DataFrame | None = None) -> GeoIndex:
+    """Index of IPv4 ranges (numbers) and, if given, IPv6 ranges (text). Pass it wherever ranges are asked for."""
     if isinstance(ranges, GeoIndex):
         return ranges
-    rows = bucket_row_count(ranges, bucket_prefix)
+    v6 = None if ranges_v6 is None else bucketed_ranges_v6(ranges_v6)
+    rows = bucket_row_count(ranges, bucket_prefix) + (v6.count() if v6 is not None else 0)
     return GeoIndex(bucketed_ranges(ranges, bucket_prefix), rows, bucket_prefix,
-                    rows <= max_broadcast_rows)
+                    rows <= max_broadcast_rows, v6)
 
 
 def lookup_countries(
@@ -121,8 +164,7 @@ def lookup_countries(
 ) -> DataFrame:
     """Distinct `ip` values -> `(ip, country)`. `ranges`: a range table or a GeoIndex."""
     idx = geo_index(ranges, bucket_prefix, max_broadcast_rows)
-    buckets = F.broadcast(idx.buckets) if idx.broadcast else idx.buckets
-    return _range_join(ips.select("ip").distinct(), buckets, idx.bucket_prefix)
+    return idx.join(ips.select("ip").distinct())
 
 
 def enrich_country(
@@ -134,8 +176,8 @@ def enrich_country(
     """Rows of `df` plus `country` from their `ip`."""
     idx = geo_index(ranges, bucket_prefix, max_broadcast_rows)
     if idx.broadcast:
-        return _range_join(df, F.broadcast(idx.buckets), idx.bucket_prefix)
-    mapping = _range_join(df.select("ip").distinct(), idx.buckets, idx.bucket_prefix)
+        return idx.join(df)
+    mapping = idx.join(df.select("ip").distinct())
     return df.join(mapping, on="ip", how="left").withColumn(
         "country", F.coalesce(F.col("country"), F.lit(UNKNOWN_COUNTRY))
     )

@@ -368,6 +368,14 @@ def queries() -> dict[str, str]:
         "is_anomaly FROM flagged")
     q["geo_enrich"] = _base(GEO, f"g AS ({geo_join('unified')})") + (
         f" SELECT {EVENT_COLS}, country FROM g")
+    q["geo_enrich_v6"] = with_(WEBLOG, GEO, f"""
+      a AS (SELECT e AS event_id, ip, split_part(ip, '.', 2) AS k,
+                   CASE WHEN e % 5 = 0 THEN '::ffff:' || ip WHEN e % 5 = 1 THEN 'zz::1' WHEN e % 5 = 2 THEN ip
+                        ELSE '2001:db8:' || split_part(ip, '.', 2) || '::' || CAST(e % 9999 AS VARCHAR) END AS address FROM wl),
+      g AS ({geo_join('a')})""") + """
+      SELECT g.event_id, g.address AS ip, CASE WHEN g.event_id % 5 IN (0, 2) THEN g.country WHEN g.event_id % 5 = 1 THEN 'Unknown'
+             ELSE coalesce(n.n_name, 'Unknown') END AS country
+      FROM g LEFT JOIN nation n ON n.n_nationkey = CAST(g.k AS BIGINT) AND n.n_nationkey < 10 AND n.n_nationkey % 5 <> 4"""
     q["country_iso"] = _base(GEO, f"g AS ({geo_join('unified')})") + (
         f" SELECT DISTINCT g.country, c.iso_alpha3 FROM g JOIN country_codes c USING (country) "
         f"WHERE {KNOWN_COUNTRY.replace('country', 'g.country')}")

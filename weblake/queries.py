@@ -24,7 +24,7 @@ from weblake.plans.ingest import ensure_lake, process_batch
 from weblake.schemas import QUARANTINE_SCHEMA
 from weblake.session import checkpoint_dir, prepare
 from weblake.sources import envelope, lake, text
-from weblake.sources.weblog import read_table, read_weblog
+from weblake.sources.weblog import read_table, read_weblog, weblog_fields
 
 # the star the reports read is flagged with daily windows (see DAILY_TEST)
 STAR_CONFIG = DAILY_TEST
@@ -184,6 +184,16 @@ def _windowed(s, p):
     return detect.behaviour_verdict(detect.behaviour_profile(events(s, p), DAILY_TEST), DAILY_TEST)
 
 
+def _geo_v6(s, p):
+    """Addresses of both families: IPv6, IPv4, IPv4 written as IPv6, and text that is neither."""
+    e, ip = F.col("event_id"), F.col("ip")
+    fields = weblog_fields(read_table(s, p, "events")).select("event_id", "ip", F.split("ip", r"\.")[1].alias("k"))
+    own = F.concat(F.lit("2001:db8:"), "k", F.lit("::"), (e % 9999).cast("string"))
+    text6 = F.when(e % 5 == 0, F.concat(F.lit("::ffff:"), ip)).when(e % 5 == 1, F.lit("zz::1")).when(e % 5 == 2, ip).otherwise(own)
+    index = geo.geo_index(ranges(s, p), ranges_v6=geo.geo_ranges_v6_from_nation(read_table(s, p, "nation")))
+    return geo.enrich_country(fields.select("event_id", text6.alias("ip")), index)
+
+
 def _country_iso(s, p):
     enriched = geo.enrich_country(events(s, p), ranges(s, p))
     known = enriched.filter(geo.known_country()).select("country").distinct()
@@ -291,6 +301,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "windowed_flags_from_cuts": _flags_from_cuts,
     # geo
     "geo_enrich": lambda s, p: geo.enrich_country(events(s, p), ranges(s, p)),
+    "geo_enrich_v6": _geo_v6,
     "country_iso": _country_iso,
     # star
     "dim_ip": _natural("dim_ip"),
