@@ -9,10 +9,7 @@ regular expressions, applied with find() semantics (match anywhere).
 #         6 status, 7 bytes, 8 referrer, 9 agent
 ACCESS_PATTERN = r'(\S+) - - \[(.*?)\] "(\S+)\s*(\S*)\s*(\S*)" (\d{3}) (\d+) "(.*?)" "(.*?)"'
 # error: groups 1 time, 2 level, 3 client address, 4 message
-ERROR_PATTERN = (
-    r'(\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}) \[(\w+)\] .*? client: (\S+), '
-    r'server: .*?, request: ".*?", (.*?), host: ".*?"'
-)
+ERROR_PATTERN = r'(\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}) \[(\w+)\] .*? client: (\S+), server: .*?, request: ".*?", (.*?), host: ".*?"'
 ACCESS_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 ERROR_TIME_FORMAT = "yyyy/MM/dd HH:mm:ss"
 # multi-line error records: a new record starts at a line beginning with a date
