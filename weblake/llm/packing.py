@@ -116,6 +116,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 0,
                     yield batch(bins.closed)
                     bins.closed = []
         bins.finish()
+        TokenIds.of(tokenizer).clear()
         yield batch(bins.closed)
 
     return (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))

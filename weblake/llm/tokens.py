@@ -16,7 +16,7 @@ import regex
 from tokenizers import Tokenizer
 
 GPT2_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed value
-MAX_ENTRIES = 300_000
+MAX_ENTRIES = 250_000
 
 # Characters whose Unicode class every regex engine agrees on, so that GPT2_SPLIT gives the
 # library's own pre-tokens.
@@ -89,6 +89,11 @@ class TokenIds:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
+    def clear(self) -> None:
+        """Let the dictionaries go, at the end of a task: the worker lives on."""
+        self.words.clear()
+        self.words.pre.clear()
+
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""

@@ -5,7 +5,8 @@ measures of the text (length, symbols, repetition) and the log-odds of the categ
 it. In training those log-odds are out-of-fold: they come from models that have not seen the row, so
 that a later model learns how far to trust an earlier one on new texts.
 
-The chain is fitted in one task on a bounded sample: at most `SAMPLE` labelled documents, those of smallest id hash.
+The chain is fitted in one task on a bounded sample: about `SAMPLE` labelled documents (never more than twice as many),
+taken evenly by the hash of their ids.
 Copies and near copies among them (equal bands of min-hashes over their less common words) count as one
 example with their mean label, so a large group of copies neither picks words nor sets weights. All
 documents are scored, each from its whole text.
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import pickle
 import re
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE, MAX_WORDS, FOLDS, MIN_Z = 12_000, 400, 3, 6.0
+SAMPLE, MAX_WORDS, FOLDS, MIN_Z, RARE = 12_000, 400, 3, 6.0, 4
 _WORD = re.compile(r"[^\W\d_]+")
 _MEASURES = 3
 
@@ -104,7 +106,7 @@ class Examples:
         n0, p = n - n1, df / n
         with np.errstate(divide="ignore", invalid="ignore"):
             z = np.abs(hits / n1 - (df - hits) / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0))
-        z[(df < max(4, n // 2000)) | ~np.isfinite(z)] = 0
+        z[(df < max(RARE, n // 2000)) | ~np.isfinite(z)] = 0
         best = np.argsort(-z, kind="stable")[:MAX_WORDS]
         return [int(i) for i in best if z[i] >= MIN_Z]
 
@@ -152,11 +154,20 @@ def one_per_copy(word: list[np.ndarray], common: np.ndarray, bands: int = 4, row
     return np.array([find(i) for i in range(len(word))])
 
 
+def _slots(words: str) -> np.ndarray:
+    return np.array([zlib.crc32(w.encode()) & (1 << 22) - 1 for w in words.split(" ")], dtype=np.int64)
+
+
 def fit_chain(sample: pd.DataFrame, categories: list[str]) -> list[Link]:
     """The chain from rows (words joined by spaces, measures, labels), in numpy."""
     sample = sample.sort_values(["h", "words"], kind="stable").reset_index(drop=True)
+    # Words in fewer than RARE rows can't be chosen; most words are: they are left out by a table of hashed counts first.
+    seen = np.zeros(1 << 22, dtype=np.int32)
+    for text in sample["words"]:
+        np.add.at(seen, _slots(text), 1)
     numbers: dict[str, int] = {}
-    word = [np.unique([numbers.setdefault(w, len(numbers)) for w in sorted(text.split(" ")) if w]).astype(np.int64) for text in sample["words"]]
+    word = [np.unique([numbers.setdefault(w, len(numbers)) for w, n in zip(text.split(" "), seen[_slots(text)]) if n >= RARE]).astype(np.int64) for text in sample["words"]]
+    del seen
     df = np.bincount(np.concatenate(word), minlength=len(numbers)) if word else np.zeros(0)
     group = one_per_copy(word, df > 0.05 * len(word))
     keep = np.flatnonzero(group == np.arange(len(group)))
@@ -179,9 +190,11 @@ def fit_chain(sample: pd.DataFrame, categories: list[str]) -> list[Link]:
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text") -> list[Link]:
-    """Fit the chain on at most `sample` ids of `labels` (doc_id and one 0/1 column per category)."""
+    """Fit the chain on about `sample` ids of `labels` (doc_id and one 0/1 column per category)."""
     known = (labels.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("id")).agg(*[F.max(c).cast("double").alias(c) for c in categories])
-             .withColumn("h", F.xxhash64("id")).orderBy("h", "id").limit(sample))
+             .withColumn("h", F.xxhash64("id")))
+    every = -(-known.count() // sample)  # evenly by hash: about `sample` ids, never more than twice as many
+    known = known.where(F.pmod("h", F.lit(max(1, every))) == 0).limit(2 * sample)
 
     @F.arrow_udf("struct<words:string,measures:array<double>>")
     def read(texts: pa.Array) -> pa.Array:
