@@ -12,6 +12,7 @@ import codecs
 import re
 from array import array
 
+import pyarrow as pa
 import regex
 from tokenizers import Tokenizer
 
@@ -93,6 +94,7 @@ class TokenIds:
         """Let the dictionaries go, at the end of a task: the worker lives on."""
         self.words.clear()
         self.words.pre.clear()
+        pa.default_memory_pool().release_unused()
 
     def ids(self, text: str | None) -> bytes:
         if not text:
