@@ -146,8 +146,8 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & ok & F.exists(vector, lambda x: x != 0)
 
 
-def build_index(vectors: DataFrame, stage: Stage, keep: int, shard_rows: int = SHARD_ROWS) -> tuple[int, DataFrame]:
-    """The number of shards, and a row per shard (_INDEX) of a table (id, v): vectors, the ids of each (at most `keep`, smallest first) and the layers."""
+def build_index(vectors: DataFrame, stage: Stage, keep: int, shard_rows: int = SHARD_ROWS) -> tuple[int, Column, DataFrame]:
+    """The number of shards, that of the vectors of length `dim`, and a row per shard (_INDEX) of a table (id, v): vectors, the ids of each (at most `keep`, smallest first) and the layers."""
     spread = vectors.distinct().withColumn("rank", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("rank") <= keep)
     kept = stage(spread.select("id", "v", F.xxhash64("v").alias("h"), F.size("v").alias("dim")))
     sizes = {r.dim: r.n for r in kept.groupBy("dim").agg(F.count_distinct("h").alias("n")).collect()}  # a row per vector length
@@ -167,7 +167,7 @@ def build_index(vectors: DataFrame, stage: Stage, keep: int, shard_rows: int = S
                              "nodes": [[n.astype(np.int64).tobytes() for n, _ in graph.levels]]})
 
     dealt = kept.withColumn("shard", F.pmod("h", shards))
-    return sum(-(-n // shard_rows) for n in sizes.values()), stage(dealt.groupBy("dim", "shard").applyInPandas(built, _INDEX))
+    return sum(-(-n // shard_rows) for n in sizes.values()), shards, stage(dealt.groupBy("dim", "shard").applyInPandas(built, _INDEX))
 
 
 def load(row: dict) -> tuple[Graph, np.ndarray, np.ndarray]:
@@ -187,13 +187,13 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
     stage = Stage(spark, "hnsw")
     rows = vectors.where(usable(F.col(vector)) & F.col(vec_id).isNotNull())
     one = rows.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
-    shards, index = build_index(one, stage, k + 1, shard_rows)
+    total, shards, index = build_index(one, stage, k + 1, shard_rows)
     queries = rows.where(is_query).select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).distinct()
     blocks = max(1, -(-queries.count() // BLOCK))
     queries = queries.select("id", "v", F.size("v").alias("dim"), F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"))
     packed = stage(queries.groupBy("dim", "block").agg(F.collect_list("id").alias("qids"), F.flatten(F.collect_list("v")).alias("q")))
-    tasks = max(1, 2 * shards)  # given, so that small shards aren't merged into few tasks
-    asked = packed.join(index.groupBy("dim").agg(F.collect_list("shard").alias("shards")), "dim").select("dim", F.explode("shards").alias("shard"), "qids", "q")
+    tasks = max(1, 2 * total)  # given, so that small shards aren't merged into few tasks
+    asked = packed.select("dim", F.explode(F.sequence(F.lit(0).cast("long"), shards.cast("long") - 1)).alias("shard"), "qids", "q")
     work = asked.repartition(tasks, "dim", "shard").join(index.repartition(tasks, "dim", "shard"), ["dim", "shard"])
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -153,7 +153,7 @@ class Stage:
 def links(points: DataFrame, bits: int, stage: Stage, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(a, b) edges that join all fingerprints `fp` (distinct longs) at most `bits` apart."""
     total = points.count()
-    sample = np.array([r.fp for r in points.orderBy(F.xxhash64("fp")).limit(SAMPLE).collect()], dtype=np.int64).view(np.uint64)
+    sample = np.array([r.fp for r in points.where(F.pmod(F.xxhash64("fp"), F.lit(max(1, total // SAMPLE))) == 0).limit(2 * SAMPLE).collect()], dtype=np.int64).view(np.uint64)
     levels = 0
     while total * 0.1 ** levels > shard_rows and levels < MAX_LEVELS:  # at most about a tenth have one distance
         levels += 1
