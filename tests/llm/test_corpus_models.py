@@ -112,7 +112,7 @@ def test_rare_words_by_join_equal_words_at_hand(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF001}/documents.parquet").limit(80)
     monkeypatch.setattr(lblm, "VOCABULARY", 50)
     whole = {r.doc_id: r for r in lblm.score(docs).collect()}
-    monkeypatch.setattr(lblm, "HEAD", 60)
+    monkeypatch.setattr(lblm, "HEAD", 200)
     for r in lblm.score(docs).collect():
         assert r.base_score == pytest.approx(whole[r.doc_id].base_score) and r.n_known == whole[r.doc_id].n_known
         assert r.score == pytest.approx(whole[r.doc_id].score, rel=1e-3)

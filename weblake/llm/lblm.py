@@ -7,7 +7,7 @@ the class's probability times its share (c + 0.5) of the class's counts, so that
 all words, those never seen counting as one.
 
 Training runs where the documents are: every partition makes one pass over all of its training
-tokens from a common start (fitted on at most `START_DOCS` documents), and the partitions'
+tokens from a common start (fitted on at most `START_DOCS` documents, taken by the hash of their ids), and the partitions'
 parameters are averaged by their tokens, in steps of `FAN_IN`. The normalisers of all pairs of
 context words are computed once, in batched matrix products, and sent to the workers with
 the scores: their size depends on `VOCABULARY` alone.
@@ -39,7 +39,7 @@ from weblake.llm.simhash import Stage
 
 VOCABULARY, HEAD, START_DOCS, FAN_IN, WIDTH = 1000, 100_000, 400, 32, 16
 END = b""  # the end token: no word is empty
-_FLUSH = 200_000
+_FLUSH = 100_000
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -153,17 +153,20 @@ def positions(ids: np.ndarray, ends: np.ndarray, outcomes: int) -> tuple[np.ndar
     return a, b, w
 
 
-def _ids(batch: pa.RecordBatch, numbers: dict[bytes, int], only_training: bool, rows: int = 256):
-    """Slices of a batch: (documents, their words, word numbers laid end to end, ends); -1: not among `numbers`."""
-    for at in range(0, batch.num_rows, rows):
-        docs, words = [], []
-        for doc, text in zip(batch.column(0)[at:at + rows], batch.column(1)[at:at + rows]):
-            if not (only_training and held_out(doc.as_py())):
-                docs.append(doc.as_py())
-                words.append(tokens(text.as_py()))
-        if docs:
+def _ids(batch: pa.RecordBatch, numbers: dict[bytes, int], only_training: bool, least: int = 100_000):
+    """Slices of a batch, of `least` words or a little more: (documents, their words, word numbers laid end to end, ends);
+    -1: not among `numbers`."""
+    docs, words, held = [], [], 0
+    for i in range(batch.num_rows):
+        doc = batch.column(0)[i].as_py()
+        if not (only_training and held_out(doc)):
+            docs.append(doc)
+            words.append(tokens(batch.column(1)[i].as_py()))
+            held += len(words[-1])
+        if docs and (held >= least or i == batch.num_rows - 1):
             ids = np.fromiter((numbers.get(w, -1) for ws in words for w in ws), dtype=np.int64)
             yield docs, words, ids, np.cumsum([len(ws) for ws in words])
+            docs, words, held = [], [], 0
 
 
 def fit(docs: DataFrame, model: LogBilinear, numbers: dict[bytes, int], stage: Stage) -> LogBilinear:
@@ -189,7 +192,8 @@ def fit(docs: DataFrame, model: LogBilinear, numbers: dict[bytes, int], stage: S
         return work
 
     schema = "part long, seen long, model binary"
-    sample = docs.where(F.length("text") > 0).orderBy(F.xxhash64("doc_id", "text")).limit(START_DOCS).coalesce(1)
+    every = max(1, docs.count() // (2 * START_DOCS))
+    sample = docs.where((F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0) & (F.length("text") > 0)).limit(START_DOCS).coalesce(1)
     first = sample.mapInArrow(trained(model.pack(), 0.1), schema).first()
     if first is None:
         return model
@@ -207,6 +211,18 @@ def fit(docs: DataFrame, model: LogBilinear, numbers: dict[bytes, int], stage: S
     return model.unpack(bytes(last.model)) if last else model
 
 
+def most_frequent(counts: DataFrame) -> list:
+    """At most HEAD words (word, c): all of at least some count. Counts are sorted into steps of a sixteenth octave
+    first, so that only those words leave the executors."""
+    step = F.floor(F.log2("c") * 16)
+    held, least = 0, None
+    for r in sorted(counts.groupBy(step.alias("step")).count().collect(), key=lambda r: -r.step):  # at most 16 a bit
+        if held + r["count"] > HEAD:
+            break
+        held, least = held + r["count"], r.step
+    return [] if least is None else counts.where(step >= least).collect()
+
+
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
@@ -215,7 +231,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     counts = stage(docs.mapInArrow(partial_counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")))
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n, types = int(total[0]), int(total[1])
-    head = counts.orderBy(F.desc("c"), "word").limit(HEAD).collect()
+    head = sorted(most_frequent(counts), key=lambda r: (-r.c, bytes(r.word)))
     numbers = {bytes(r.word): i for i, r in enumerate(head)}
     head_counts = np.array([r.c for r in head], dtype=np.float64)
     all_mass = n + 0.5 * (types + 1)
