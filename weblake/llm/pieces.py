@@ -9,8 +9,8 @@ have left them apart, else the weight is infinite. Composing them with an input
 model exactly one path is finite, the one that the merges lead to; for a unigram model the weights
 are the pieces' negated scores, no pair is ruled out, and the path is the likeliest one.
 
-Nothing joins across a character that no longer piece holds, nor from another character to a space mark, so
-an input is cut there, and each distinct part is solved once per worker (a bounded dictionary).
+No piece reaches across two neighbouring characters that no piece holds side by side, so an input is cut
+there, and each distinct part is solved once per worker (a bounded dictionary).
 
 Defined cases: a null or empty text has no pieces; a mark in the text itself reads as a space, as the model has
 it; other columns pass through. Models with a character map in their normaliser are refused.
@@ -31,7 +31,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from sentencepiece import sentencepiece_model_pb2
 
 MARK = "▁"
-MAX_ENTRIES = 300_000
+MAX_ENTRIES, MAX_PAIRS = 150_000, 1_000_000
 NORMAL, UNKNOWN, USER, BYTE, UNIGRAM, MERGES = 1, 2, 4, 6, 1, 2  # fixed values of the model format
 
 
@@ -42,7 +42,8 @@ class Neighbours:
     def __init__(self, rank: dict[str, int]):
         self.rank = rank
         self.parts: dict[str, tuple[str, str] | None] = {}  # a piece's last merge; None: a single character
-        self.known: dict[tuple[str, str], bool] = {}
+        self.known: dict[str, dict[str, bool]] = {}
+        self.learnt = 0
 
     def last_merge(self, piece: str) -> tuple[str, str] | None | bool:
         """The two parts of a piece's last merge, None for a character, False if the merges don't lead to it."""
@@ -62,37 +63,46 @@ class Neighbours:
     def apart(self, a: str, b: str) -> bool:
         """Undo the merges of both pieces, latest first: at no time may the two parts at the seam have
         been the next merge."""
-        key = (a, b)
-        if key in self.known:
-            return self.known[key]
-        if len(self.known) >= 4 * MAX_ENTRIES:
-            self.known.clear()
-        bound, ok = inf, None
-        while ok is None:
-            if self.rank.get(a + b, inf) < bound:
-                ok = False
-                break
+        bound = inf
+        while self.rank.get(a + b, inf) >= bound or (a + b) not in self.rank:
             left, right = self.last_merge(a), self.last_merge(b)
             if not left and not right:
-                ok = True
-            elif left and (not right or self.rank[a] > self.rank[b]):
+                return True
+            if left and (not right or self.rank[a] > self.rank[b]):
                 bound, a = self.rank[a], left[1]
             else:
                 bound, b = self.rank[b] + 1, right[0]
-        self.known[key] = ok
+        return False
+
+    def after(self, a: str) -> dict[str, bool]:
+        """What is known of the pieces that may follow `a`."""
+        if a not in self.known:
+            self.known[a] = {}
+        return self.known[a]
+
+    def learn(self, row: dict[str, bool], a: str, b: str) -> bool:
+        if self.learnt >= MAX_PAIRS:
+            self.known.clear()
+            self.learnt = 0
+        self.learnt += 1
+        row[b] = ok = not a or self.apart(a, b)
         return ok
 
 
 class _Parts(dict):
-    """Ids of a part of normalised text."""
+    """Ids of a part of normalised text. Of two generations, the older one goes when the younger one is full."""
 
     def __init__(self, solve):
-        self.solve = solve
+        self.solve, self.older = solve, {}
 
     def __missing__(self, part: str) -> bytes:
+        ids = self.older.get(part)
+        if ids is None:
+            ids = array("I", self.solve(part)).tobytes()
         if len(self) >= MAX_ENTRIES:
+            self.older = dict(self)
             self.clear()
-        self[part] = ids = array("I", self.solve(part)).tobytes()
+        self[part] = ids
         return ids
 
 
@@ -114,19 +124,16 @@ class PieceTransducer:
         self.weight = {p: -model.pieces[i].score for p, i in self.ids.items()}
         places = {s: k for k, s in enumerate(sorted({model.pieces[i].score for i in self.ids.values()}, reverse=True))}
         self.neighbours = Neighbours({p: places[model.pieces[i].score] for p, i in self.ids.items() if len(p) > 1})
-        self.trie: dict = {}
+        self.trie: list = [None, {}]  # the piece that ends here, and the nodes that follow
         for piece in self.ids:
             if self.kind == MERGES and self.neighbours.last_merge(piece) is False:
                 continue  # no merges lead to it
             node = self.trie
             for c in piece:
-                node = node.setdefault(c, {})
-            node[""] = piece
-        joined = "".join(sorted({c for p in self.ids if len(p) > 1 for c in p} - {MARK}))
-        inside = "[" + re.escape(joined) + "]" if joined else "(?!)"
-        self.cut = re.compile(f"{MARK}+{inside}*|{inside}+|.", re.S).findall
-        self.simple = re.compile(f"{inside}+").fullmatch
-        self.parts = _Parts(self.shortest_path)
+                node = node[1].setdefault(c, [None, {}])
+            node[0] = piece
+        self.pairs = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
+        self.parts = _Parts(self.merge_path if self.kind == MERGES else self.shortest_path)
         self.words = _Parts(self._word)
         spoken = [p.piece.encode() if p.type in (NORMAL, USER) else bytes([int(p.piece[3:5], 16)]) if p.type == BYTE else b"" for p in model.pieces]
         spoken[self.unknown] = model.trainer_spec.unk_surface.encode()
@@ -138,43 +145,70 @@ class PieceTransducer:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def shortest_path(self, part: str) -> list[int]:
-        """The ids of the cheapest path through the lattice of one part."""
-        merges, apart, known, n = self.kind == MERGES, self.neighbours.apart, self.neighbours.known, len(part)
-        reached: list[dict[str, tuple[float, int, str]]] = [{} for _ in range(n + 1)]  # last piece: weight, start, piece before
-        reached[0][""] = (0.0, 0, "")
+    def cut(self, text: str) -> list[str]:
+        """Parts that no piece reaches across."""
+        pairs, parts, start = self.pairs, [], 0
+        for i in range(1, len(text)):
+            if text[i - 1:i + 1] not in pairs:
+                parts.append(text[start:i])
+                start = i
+        return parts + [text[start:]]
+
+    def _said(self, piece: str) -> list[int]:
+        """The ids that an arc emits: the piece's, or its bytes'."""
+        if piece in self.ids:
+            return [self.ids[piece]]
+        return [self.bytes[b] for b in piece.encode()] if self.bytes else [self.unknown]
+
+    def merge_path(self, part: str) -> list[int]:
+        """The one finite path of a merge model: for each position the last piece of the path that leads to it."""
+        n, trie, neighbours = len(part), self.trie[1], self.neighbours
+        last: list[str | None] = [""] + [None] * n
         for i in range(n):
-            if not reached[i]:
+            before = last[i]
+            if before is None:
                 continue
-            node, j, arcs = self.trie, i, []
-            while j < n and (node := node.get(part[j])) is not None:
+            row, follow, j = neighbours.after(before), trie, i
+            while j < n:
+                node = follow.get(part[j])
+                if node is None:
+                    break
+                j += 1
+                piece, follow = node
+                if piece is not None:
+                    ok = row.get(piece)
+                    if ok is None:
+                        ok = neighbours.learn(row, before, piece)
+                    if ok:
+                        last[j] = piece
+            if part[i] not in self.ids and (not before or neighbours.apart(before, part[i])):  # byte fallback
+                last[i + 1] = part[i]
+        out: list[list[int]] = []
+        while n:
+            out.append(self._said(last[n]))
+            n -= len(last[n])
+        return [i for some in reversed(out) for i in some]
+
+    def shortest_path(self, part: str) -> list[int]:
+        """The cheapest path of a unigram model: for each position the least weight and the last piece."""
+        n = len(part)
+        best: list[tuple[float, str]] = [(0.0, "")] + [(inf, "")] * n
+        for i in range(n):
+            arcs, node, j = [(part[i], 1e6)] if part[i] not in self.ids else [], self.trie, i  # byte fallback
+            while j < n and (node := node[1].get(part[j])) is not None:
                 j += 1
-                if "" in node:
-                    arcs.append((j, node[""]))
-            if not arcs or arcs[0][0] != i + 1:
-                arcs.append((i + 1, part[i]))  # byte fallback
-            for last, (weight, _, _) in reached[i].items():
-                for j, piece in arcs:
-                    if not merges:
-                        total, state = weight + self.weight.get(piece, 1e6), ""
-                    elif not last or known.get((last, piece)) or apart(last, piece):
-                        total, state = weight + 1, piece
-                    else:
-                        continue
-                    if state not in reached[j] or total < reached[j][state][0]:
-                        reached[j][state] = total, i, last
-        ids: list[list[int]] = []
-        at, state = n, min(reached[n], key=lambda s: reached[n][s][0]) if n else ""
-        while at:
-            _, start, other = reached[at][state]
-            piece = part[start:at]
-            ids.append([self.ids[piece]] if piece in self.ids else [self.bytes[b] for b in piece.encode()] if self.bytes else [self.unknown])
-            at, state = start, other if merges else ""
-        return [i for some in reversed(ids) for i in some]
+                if node[0]:
+                    arcs.append((node[0], self.weight[node[0]]))
+            for piece, weight in arcs:
+                if best[i][0] + weight < best[i + len(piece)][0]:
+                    best[i + len(piece)] = best[i][0] + weight, piece
+        out: list[list[int]] = []
+        while n:
+            out.append(self._said(best[n][1]))
+            n -= len(best[n][1])
+        return [i for some in reversed(out) for i in some]
 
     def _word(self, word: str) -> list[int]:
-        if self.simple(word):
-            return self.shortest_path(MARK + word)
         return array("I", b"".join(map(self.parts.__getitem__, self.cut(MARK + word)))).tolist()
 
     def encode(self, text: str | None) -> bytes:
