@@ -1,11 +1,14 @@
 """Secrets, chat formatting, quality rules, pieces."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import urllib.parse
+import zlib
 
 import numpy as np
 import pytest
@@ -60,6 +63,31 @@ def test_wrapped_secrets_are_found_at_their_place(wrap):
     assert 6 <= a < b <= 6 + len(wrapped) and b - a > len(wrapped) // 2
 
 
+def wrapped(data, width, indent="", end="\n"):
+    word = base64.b64encode(data).decode()
+    return end.join(indent + word[i:i + width] for i in range(0, len(word), width))
+
+
+@pytest.mark.parametrize("pack", [lambda b: b, gzip.compress, zlib.compress, bz2.compress, lzma.compress, lambda b: gzip.compress(b[:40]) + gzip.compress(b[40:]),
+                                  lambda b: bz2.compress(b"nothing") + bz2.compress(b)])
+@pytest.mark.parametrize("layout", [(76,), (64, "    ", "\r\n"), (64, "\t")])
+def test_secrets_in_wrapped_base64(pack, layout):
+    noise = " ".join(hashlib.sha256(str(i).encode()).hexdigest().replace("a", "z")[:9] for i in range(40)).encode()
+    block = wrapped(pack(b"x" * 48 + b" " + SECRET.encode() + b" " + noise), *layout)
+    for before, after in (("", ""), ("some words:\n", "\nEND"), ("one-long-word-before\n", "\n-----END x-----"), ("data: ", "\n\nmore")):
+        text = before + block.lstrip(" \t") * (before == "data: ") + block * (before != "data: ") + after
+        spans, cut = secretscan.find(text)
+        inside = [(a, b) for kind, a, b, depth in spans if kind == "assign"]
+        assert inside and not cut
+        assert len(before) <= inside[0][0] < inside[0][1] <= len(before) + len(block)
+
+
+def test_data_without_their_end_are_cut_off():
+    packed = gzip.compress((SECRET + " " + " ".join(hashlib.sha256(str(i).encode()).hexdigest().replace("a", "z")[:9] for i in range(40))).encode())
+    spans, cut = secretscan.find(base64.b64encode(packed[:len(packed) // 3 * 2]).decode())
+    assert cut and [k for k, *_ in spans if k == "assign"]
+
+
 def test_layers_end():
     nested = SECRET
     for _ in range(12):

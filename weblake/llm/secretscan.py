@@ -5,7 +5,8 @@ Every text is the first layer of a worklist. A layer is searched for secrets, th
 * URL escapes (`%41`), Unicode and hex escapes (`\\u0041`, `\\x41`) and numeric character references
   (`&#65;`) give one further layer, the whole layer with its escapes undone;
 * each base64 run (either alphabet, 16 characters or more) that unpacks to text, or to gzip, zlib,
-  bz2 or xz data that unpack to text, gives a layer of its own.
+  bz2 or xz data (all members of them) that unpack to text, gives a layer of its own. Runs that are wrapped over
+  lines of one width (indented or not) are unpacked as one, and line by line as well.
 
 Layers are unwrapped until nothing new comes out. A layer equal to one of those it came from ends
 its branch, so data that unpack to themselves end as well. Every layer knows where its characters
@@ -28,7 +29,8 @@ import lzma
 import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -47,6 +49,7 @@ LEAST = {"assign": 12, "access": 18, "hex": 16}
 WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}")
+_NEXT_LINE = re.compile(r"[ \t]*\r?\n[ \t]*([A-Za-z0-9+/_-]+)")
 ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+|\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|(?:\\x[0-9A-Fa-f]{2})+|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
 _SURROGATES = re.compile(r"\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F][0-9a-fA-F]{2}")
 _CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f�]")
@@ -67,10 +70,11 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 class Layer:
     """A text and where its characters come from: `at[i]` is the first character of piece i, which
-    comes from `source[i]` of the parent, character by character where `plain[i]`."""
+    comes from `source[i]` of the parent, character by character where `plain[i]`; or `back` gives the
+    parent's span."""
 
-    def __init__(self, text: str, parent: "Layer | None" = None):
-        self.text, self.parent, self.depth = text, parent, parent.depth + 1 if parent else 0
+    def __init__(self, text: str, parent: "Layer | None" = None, back: Callable[[int, int], tuple[int, int]] | None = None):
+        self.text, self.parent, self.depth, self.back = text, parent, parent.depth + 1 if parent else 0, back
         self.at: list[int] = []
         self.source: list[tuple[int, int]] = []
         self.plain: list[bool] = []
@@ -84,6 +88,8 @@ class Layer:
         """The span of the original text that [start, end) of this layer comes from."""
         if self.parent is None:
             return start, end
+        if self.back:
+            return self.parent.origin(*self.back(start, end))
         i, j = bisect_right(self.at, start) - 1, bisect_right(self.at, end - 1) - 1
         s = self.source[i][0] + (start - self.at[i] if self.plain[i] else 0)
         e = self.source[j][0] + end - self.at[j] if self.plain[j] else self.source[j][1]
@@ -140,19 +146,25 @@ def _escapes(layer: Layer) -> Iterator[Layer]:
     yield inner
 
 
+def _unpacker(data: bytes):
+    if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0:
+        return zlib.decompressobj(47)
+    return bz2.BZ2Decompressor() if data[:3] == b"BZh" else lzma.LZMADecompressor() if data[:6] == b"\xfd7zXZ\x00" else None
+
+
 def _inflate(data: bytes, room: int) -> tuple[bytes, bool] | None:
-    """What gzip, zlib, bz2 or xz data hold, at most `room` bytes, and whether that is all; None for other data."""
-    try:
-        if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0:
-            unpacker = zlib.decompressobj(47)
-            out = unpacker.decompress(data, room)
-            return out, unpacker.eof or not unpacker.unconsumed_tail
-        unpacker = bz2.BZ2Decompressor() if data[:3] == b"BZh" else lzma.LZMADecompressor() if data[:6] == b"\xfd7zXZ\x00" else None
-        if unpacker:
-            return unpacker.decompress(data, room), unpacker.eof or unpacker.needs_input
-    except (zlib.error, OSError, EOFError, lzma.LZMAError):
-        pass
-    return None
+    """What all members of gzip, zlib, bz2 or xz data hold, at most `room` bytes, and whether that is all; None for other data."""
+    out, held = [], 0
+    while (unpacker := _unpacker(data)) is not None:
+        try:
+            out.append(unpacker.decompress(data, max(1, room - held)))
+        except (zlib.error, OSError, EOFError, lzma.LZMAError):
+            return (b"".join(out), False) if out else None
+        held += len(out[-1])
+        if not unpacker.eof or held > room:
+            return b"".join(out)[:room], False
+        data = unpacker.unused_data.lstrip(b"\0")
+    return (b"".join(out), True) if out else None
 
 
 def _readable(data: bytes) -> str | None:
@@ -163,39 +175,82 @@ def _readable(data: bytes) -> str | None:
     return text if text and not _CONTROL.search(text) else None
 
 
-def _packed(layer: Layer, room: int) -> Iterator[Layer | None]:
-    """Layers from the base64 runs; None where `room` was too small."""
-    for run in RUN.finditer(layer.text):
-        spans = [run.span()]
+def _wrapped(text: str, run: tuple[int, int]) -> list[tuple[int, int]]:
+    """The lines of the block that `run` starts: full ones of one width, then at most one shorter; the first may start within a line."""
+    lines = [run]
+    width = run[1] - run[0] if not text[text.rfind("\n", 0, run[0]) + 1:run[0]].strip(" \t") else None
+    while m := _NEXT_LINE.match(text, lines[-1][1]):
+        n = m.end(1) - m.start(1)
+        width = width or n
+        if n > width:
+            break
+        lines.append(m.span(1))
+        if n < width:
+            break
+    return lines
+
+
+def _candidates(text: str) -> Iterator[list[list[tuple[int, int]]]]:
+    """What may be base64, as lists of stretches to join: of each list the first that unpacks counts."""
+    done = 0
+    for run in RUN.finditer(text):
+        if run.start() >= done and len(lines := _wrapped(text, run.span())) > 1:
+            done = lines[-1][0]
+            yield [x for x in (lines, lines[:-1], lines[1:], lines[1:-1]) if len(x) > 1]
+        yield [[run.span()]]
         if re.search(r"[/_-]", run[0]):
-            spans += [(run.start() + m.start(), run.start() + m.end()) for m in re.finditer(r"[A-Za-z0-9+]{16,}", run[0]) if m.end() - m.start() < len(run[0])]
-        for start, end in spans:
-            word = layer.text[start:end].replace("-", "+").replace("_", "/")
-            if len(word) % 4 == 1:
-                continue
-            try:
-                data = base64.b64decode(word + "=" * (-len(word) % 4))
-            except binascii.Error:
-                continue
-            direct, whole = True, True
-            while (unpacked := _inflate(data, room)) is not None:
-                if unpacked[0] == data:  # it unpacks to itself
-                    break
-                data, whole, direct = unpacked[0], whole and unpacked[1], False
-            if not whole:
-                yield None
-            if (text := _readable(data)) is None:
-                continue
-            inner = Layer(text, layer)
-            if direct:
-                at = 0
-                for i, c in enumerate(text):
-                    n = len(c.encode())
-                    inner.piece(i, (start + at * 4 // 3, min(end, start + ((at + n) * 4 + 2) // 3)), False)
-                    at += n
-            else:
-                inner.piece(0, (start, end), False)
-            yield inner
+            for m in re.finditer(r"[A-Za-z0-9+]{16,}", run[0]):
+                if m.end() - m.start() < len(run[0]):
+                    yield [[(run.start() + m.start(), run.start() + m.end())]]
+
+
+def _joined(layer: Layer, spans: list[tuple[int, int]], room: int) -> tuple[Layer, bool] | None:
+    """The layer that base64 in these stretches unpacks to, and whether it is whole."""
+    word = "".join(layer.text[s:e] for s, e in spans).replace("-", "+").replace("_", "/")
+    if len(word) % 4 == 1:
+        return None
+    try:
+        data = base64.b64decode(word + "=" * (-len(word) % 4))
+    except binascii.Error:
+        return None
+    direct, whole = True, True
+    while (unpacked := _inflate(data, room)) is not None:
+        if unpacked[0] == data:  # it unpacks to itself
+            break
+        data, whole, direct = unpacked[0], whole and unpacked[1], False
+    if (text := _readable(data)) is None and not whole:  # cut within a character
+        text = next(filter(None, (_readable(data[:-k]) for k in (1, 2, 3))), None)
+    if text is None:
+        return None
+    if not direct:
+        return Layer(text, layer, lambda start, end: (spans[0][0], spans[-1][1])), whole
+    before = [0, *accumulate(e - s for s, e in spans)]
+
+    def place(i: int) -> int:
+        k = min(bisect_right(before, i), len(spans)) - 1
+        return spans[k][0] + i - before[k]
+
+    def back(start: int, end: int) -> tuple[int, int]:
+        first = len(text[:start].encode())
+        last = first + len(text[start:end].encode())
+        return place(first * 4 // 3), place(min(before[-1], (last * 4 + 2) // 3) - 1) + 1
+
+    return Layer(text, layer, back), whole
+
+
+def _packed(layer: Layer, room: int) -> Iterator[Layer | None]:
+    """Layers from base64; None where data were not unpacked to their end."""
+    whole_to = 0
+    for ways in _candidates(layer.text):
+        found = next(filter(None, (_joined(layer, spans, room) for spans in ways)), None)
+        if found is None:
+            continue
+        inner, whole = found
+        if whole and len(ways[0]) > 1:
+            whole_to = ways[0][-1][1]
+        if not whole and ways[0][-1][1] > whole_to:  # a line alone is no cut where its block is whole
+            yield None
+        yield inner
 
 
 def find(text: str | None, max_decoded: int = 1 << 24) -> tuple[list[tuple[str, int, int, int]], bool]:
