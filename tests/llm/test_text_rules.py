@@ -88,6 +88,52 @@ def test_data_without_their_end_are_cut_off():
     assert cut and [k for k, *_ in spans if k == "assign"]
 
 
+def test_long_documents_are_unwrapped_as_short_ones():
+    plain = "nothing much to say here, " * 120_000
+    quoted = SECRET
+    for _ in range(3):
+        quoted = urllib.parse.quote(quoted, safe="")
+    text = "%41 " + plain + quoted + " " + plain
+    spans, cut = secretscan.find(text)
+    assert [(a, b) for k, a, b, d in spans if k == "assign"] and not cut
+    inflated = " ".join(f"line {i} of a long text," for i in range(620_000)) + " " + SECRET
+    packed = base64.b64encode(gzip.compress(inflated.encode(), 1)).decode()
+    assert len(inflated) > 1 << 24
+    spans, cut = secretscan.find("x " + packed)
+    assert [k for k, *_ in spans if k == "assign"] and not cut
+
+
+def test_stretches_are_as_the_whole(monkeypatch):
+    rng = random.Random(3)
+    bits = ["password", "%3D", "=", ": ", " ", " ", "\n", ", ", "'", "abcDEF123456789", "%41", "%2541", "\\u0041", "&#61;", "AKIA", "ABCDEFGHIJKLMN12", "token", "%20", "x", ".", "é",
+            base64.b64encode(b"password = abcdefghijklmn").decode()]
+    for _ in range(3000):
+        text = "".join(rng.choice(bits) for _ in range(25))
+        got = secretscan.find(text)
+        with monkeypatch.context() as m:
+            m.setattr(secretscan, "_SAFE", re.compile("(?!)"))
+            want = secretscan.find(text)
+        assert [x[:3] for x in got[0]] == [x[:3] for x in want[0]] and got[1] == want[1]
+
+
+def test_windows_are_as_the_whole(monkeypatch):
+    rng = random.Random(4)
+    bits = ["password", "=", ": ", " ", " ", "\n", ", ", "'", "abcDEF123456789", "%41", "word ", "token", ".\n", wrapped(b"password = abcdefghijklmn and more of it", 20) + "\n"]
+    monkeypatch.setattr(secretscan, "_WINDOW", 20)
+    monkeypatch.setattr(secretscan, "_STEP", 7)
+    for _ in range(1500):
+        inside = "".join(rng.choice(bits) for _ in range(12))
+        spans, cut = secretscan.find(base64.b64encode(gzip.compress(inside.encode())).decode())
+        assert any(k == "assign" for k, *_ in spans) == any(k == "assign" for k, *_ in secretscan.find(inside)[0]) and not cut
+
+
+def test_what_is_not_unpacked_is_masked(spark):
+    packed = base64.b64encode(bz2.compress(b"z " * 9_000_000 + SECRET.encode())).decode()
+    assert secretscan.find(packed)[1]
+    rows = spark.createDataFrame([("a " + packed + " b",)], "text string").select(secretscan.redacted("text").alias("text")).collect()
+    assert rows[0].text.startswith("a [SECRET]") and packed[:60] not in rows[0].text
+
+
 def test_layers_end():
     nested = SECRET
     for _ in range(12):
