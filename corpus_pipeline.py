@@ -1,7 +1,7 @@
 """The corpus pipeline: documents through its stages, each written as Parquet and read again.
 
 1. toxicity: documents that the classifier chain calls toxic go;
-2. quality rules: documents that fail the base rules or are depleted go, frequent lines leave the others;
+2. quality rules: documents that fail the base rules or are depleted go, frequent lines (of a host or of the table) leave the others;
 3. SimHash near-dedup: one document of each group stays (3-word shingles, 2 bits);
 4. secret scans: what is found, wrapped secrets included, is masked;
 5. packing: the rest as pieces of 1024-token sequences, ids included.
@@ -35,8 +35,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.where(toxicity.probabilities("text", toxicity_chain(spark, docs, sf_dir))["toxic"] <= TOXIC_ABOVE)
 
 
+# op2's limits (those of its SQL), and two that do not grow with the host or the table.
+LINES = quality.Rules(most=50, corpus=100)
+
+
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = quality.judge(docs, out="__quality").where("__quality.kept")
+    judged = quality.judge(docs, LINES, out="__quality").where("__quality.kept")
     return _with_text(judged, docs.columns, F.coalesce("__quality.text", "text"))
 
 

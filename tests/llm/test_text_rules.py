@@ -15,6 +15,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from conftest import SF001
 from odd_rows import no_docs, odd_docs  # noqa: F401
 from oracle_check import compare, duck
@@ -217,6 +218,22 @@ def test_frequent_lines_go_and_depleted_documents_with_them(spark):
     assert few == {k: v.kept for k, v in out.items()}
 
 
+def test_lines_of_a_large_host_and_of_many_hosts_go(spark):
+    body, brace = "these are the words of document {0} and they number more than ten {0}", "}"
+    common, spread, few = "All rights reserved by the owner", "Powered by the same old engine", "A line that stays where it is"
+    rows = [(i, "\n".join([body.format(i), *[common] * (i < 60), *[brace] * (i < 60), *[few] * (i < 40)]), "big") for i in range(3000)]  # 2 %
+    rows += [(5000 + i, body.format(5000 + i) + "\n" + spread.upper(), f"host{i % 60}") for i in range(120)]
+    rows += [(6000 + i, "a copy on many hosts with more than ten words in its single line\nand another line of it", f"host{i}") for i in range(150)]
+    rows += [(7000, common + "\nonly five words of it", "big"), (7001, common + "\n" + body.format("x"), None), (7002, spread + "\n" + body.format("y"), None), (7003, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r.doc_id: r for r in corpus_pipeline.apply_quality_rules(spark, docs, "").collect()}
+    assert all(common not in out[i].text and brace in out[i].text.split("\n") for i in range(60))
+    assert all(few in out[i].text for i in range(40)) and all(out[i].text == body.format(i) for i in range(60, 3000))
+    assert all(out[5000 + i].text == body.format(5000 + i) for i in range(120)) and spread not in out[7002].text
+    assert all(out[6000 + i].text.endswith("another line of it") for i in range(150))
+    assert 7000 not in out and 7003 not in out and common in out[7001].text
+
+
 def test_filters_stay_above_the_counts(spark):
     plan = quality.judge(spark.read.parquet(f"{SF001}/documents.parquet")).where("quality.kept")._jdf.queryExecution().optimizedPlan().toString()
     for line in plan.split("\n"):

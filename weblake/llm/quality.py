@@ -8,6 +8,11 @@ shuffle, so a line or host with a third of all rows is spread. A line is frequen
 at most (lines per document) / `share` such lines. They are written to the shared folder, and
 joined to the documents by host: broadcast up to `broadcast_lines` hashes, else as Spark plans it.
 
+With `most` or `corpus` set, a line of `wide_words` words or more is also frequent if more than `most` distinct texts of
+its host hold it, or more than `corpus` distinct texts of the whole table, whatever the size of either. There may
+be any number of such lines, so they are joined with the lines of the texts by their hashes, and each text gets its own
+frequent lines. Shorter lines (braces, headings) follow the share alone.
+
 Defined cases: a null text has no words and fails the base rules; a null host is a host of its own;
 repeated rows get equal results, and equal texts count once; an empty table gives no rows; other
 columns pass through, the results lie in one struct column whose name is a parameter.
@@ -37,6 +42,9 @@ class Rules:
     least: int = 10
     min_kept_share: float = 0.2
     broadcast_lines: int = 1_000_000
+    most: int | None = None
+    corpus: int | None = None
+    wide_words: int = 4
 
 
 def words_of(text: Column) -> Column:
@@ -78,32 +86,72 @@ def line_hashes(text: Column) -> Column:
     return F.transform(F.split(flat, "\n"), lambda line: _let(F.btrim(line), lambda t: F.when(t != "", F.xxhash64(t))))
 
 
-def frequent_lines(docs: DataFrame, rules: Rules, text: str, host: str) -> DataFrame:
-    """(host, lines): the hashes of each host's frequent lines, written to the shared folder and read again."""
-    spark = docs.sparkSession
+def _kept(rows: DataFrame, name: str) -> DataFrame:
+    """These rows, written to the shared folder and read again."""
+    folder = f"{checkpoint_dir(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.parquet(folder)
+
+
+def _frequent(docs: DataFrame, rules: Rules, text: str, host: str) -> DataFrame:
+    """(host, line) of the lines that are frequent by the share."""
     held = docs.select(F.col(host).alias("host"), F.xxhash64(F.col(text)).alias("doc"), F.array_compact(F.array_distinct(line_hashes(F.col(text)))).alias("lines"))
     lines = held.select("host", "doc", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.countDistinct("doc").alias("n"))
+    return _above(lines, docs, rules, text, host).where("n > by_share").select("l.host", "line")
+
+
+def _above(lines: DataFrame, docs: DataFrame, rules: Rules, text: str, host: str) -> DataFrame:
+    """The lines (host, line, n) above `least`, with the limit by the share."""
     hosts = docs.select(F.col(host).alias("host"), F.xxhash64(F.col(text)).alias("doc")).groupBy("host").agg(F.countDistinct("doc").alias("docs"))
     limit = F.greatest(F.lit(rules.least), F.floor(F.col("docs") * rules.share))
-    found = (lines.where(F.col("n") > rules.least).alias("l").join(hosts.alias("h"), F.expr("l.host <=> h.host"))
-             .where(F.col("n") > limit).groupBy("l.host").agg(F.collect_list("line").alias("lines")))
-    folder = f"{checkpoint_dir(spark)}/frequent-lines-{uuid.uuid4().hex}"
-    found.write.parquet(folder)
-    return spark.read.parquet(folder)
+    return lines.where(F.col("n") > rules.least).alias("l").join(hosts.alias("h"), F.expr("l.host <=> h.host")).withColumn("by_share", limit)
+
+
+def frequent_lines(docs: DataFrame, rules: Rules, text: str, host: str) -> DataFrame:
+    """(host, lines): the hashes of each host's frequent lines, written to the shared folder and read again."""
+    return _kept(_frequent(docs, rules, text, host).groupBy("host").agg(F.collect_list("line").alias("lines")), "frequent-lines")
+
+
+def frequent_lines_of_texts(docs: DataFrame, rules: Rules, text: str, host: str) -> DataFrame:
+    """(host, doc, lines): for each text of a host that has any, the hashes of its lines that are frequent by any of the limits."""
+    body = F.col(text)
+    flat = F.regexp_replace(F.lower(body), r"[\x20\x09\x0B-\x0D]+", " ")
+    wide = F.transform(F.split(flat, "\n"), lambda line: F.length(F.btrim(line)) - F.length(F.replace(F.btrim(line), F.lit(" "), F.lit(""))) + 1 >= rules.wide_words)
+    pairs = F.array_distinct(F.filter(F.arrays_zip(line_hashes(body).alias("line"), wide.alias("wide")), lambda x: x["line"].isNotNull()))
+    held = docs.select(F.col(host).alias("host"), F.xxhash64(body).alias("doc"), F.explode(pairs).alias("x")).select("host", "doc", "x.line", "x.wide")
+    counts = _kept(held.groupBy("host", "line", "wide").agg(F.countDistinct("doc").alias("n")), "line-counts")
+    of_host = F.col("n") > F.col("by_share")
+    if rules.most is not None:
+        of_host = of_host | (F.col("wide") & (F.col("n") > rules.most))
+    by_host = _kept(_above(counts, docs, rules, text, host).where(of_host).select("l.host", "line"), "frequent-lines")
+    hits = held.alias("t").join(by_host.alias("f"), F.expr("t.line = f.line and t.host <=> f.host"), "left_semi").select("host", "doc", "line")
+    if rules.corpus is not None:
+        # Copies of a text on several hosts count once: the sums over hosts only say which lines to count anew.
+        many = _kept(counts.where("wide").groupBy("line").agg(F.sum("n").alias("n")).where(F.col("n") > rules.corpus).select("line"), "line-candidates")
+        some = held.where("wide").join(many, "line", "left_semi").groupBy("line").agg(F.countDistinct("doc").alias("n"))
+        by_corpus = _kept(some.where(F.col("n") > rules.corpus).select("line"), "frequent-lines")
+        hits = hits.unionByName(held.join(by_corpus, "line", "left_semi").select("host", "doc", "line"))
+    return _kept(hits.groupBy("host", "doc").agg(F.collect_set("line").alias("lines")), "lines-of-texts")
 
 
 def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text", host: str = "source", out: str = "quality") -> DataFrame:
     """The rows and columns of `docs` and a struct `out`: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, n_frequent_lines, n_left (words in the other lines), text (without frequent lines; null if none is
     frequent), kept."""
-    frequent = frequent_lines(docs, rules, text, host)
-    size = frequent.agg(F.sum(F.size("lines") + 1)).first()[0] or 0
-    if size <= rules.broadcast_lines:
-        frequent = F.broadcast(frequent)
     body = F.coalesce(F.col(text), F.lit(""))
     at = f"__{out}_"
     names = docs.columns
-    rows = (docs.join(frequent.select(F.col("host").alias(at + "host"), F.col("lines").alias(at + "bad")), F.col(host).eqNullSafe(F.col(at + "host")), "left")
+    same = F.col(host).eqNullSafe(F.col(at + "host"))
+    if rules.most is None and rules.corpus is None:
+        frequent = frequent_lines(docs, rules, text, host)
+        size = frequent.agg(F.sum(F.size("lines") + 1)).first()[0] or 0
+        if size <= rules.broadcast_lines:
+            frequent = F.broadcast(frequent)
+        frequent = frequent.select(F.col("host").alias(at + "host"), F.col("lines").alias(at + "bad"))
+    else:
+        frequent = frequent_lines_of_texts(docs, rules, text, host).select(F.col("host").alias(at + "host"), F.col("doc").alias(at + "doc"), F.col("lines").alias(at + "bad"))
+        same = (F.xxhash64(F.col(text)) == F.col(at + "doc")) & same
+    rows = (docs.join(frequent, same, "left")
             .select(*[F.col(f"`{c}`") for c in names], F.col(at + "bad"), words_of(body).alias(at + "words"), F.split(body, "\n").alias(at + "lines"),
                     F.translate(body, WHITE, "").alias(at + "dense")))
     bad = F.coalesce(F.arrays_overlap(F.col(at + "bad"), F.col(at + "hashes")), F.lit(False))
