@@ -180,6 +180,14 @@ def test_chain_on_odd_rows(spark, odd_docs, no_docs):
     assert no_docs.select(toxicity.probabilities("text", chain)).collect() == []
 
 
+def test_training_rows_are_one_for_each_id(spark):
+    docs = spark.range(3000).selectExpr("if(id < 2900, 7, id) as doc_id", "concat('word', id % 2) as text")
+    labels = spark.createDataFrame([(7, 1), (7, 0), (2950, 0), (5, 1)], "doc_id long, toxic int")
+    rows = toxicity.training_rows(docs, labels, ["toxic"], 12_000, "doc_id", "text").collect()
+    assert sorted(r.toxic for r in rows) == [0, 1]
+    assert all(r.words.startswith("word") for r in rows)
+
+
 # nearest neighbours
 
 def brute_nearest(rows, queries, k):

@@ -6,7 +6,7 @@ it. In training those log-odds are out-of-fold: they come from models that have
 that a later model learns how far to trust an earlier one on new texts.
 
 The chain is fitted in one task on a bounded sample: about `SAMPLE` labelled documents (never more than twice as many),
-taken evenly by the hash of their ids.
+taken evenly by the hash of their ids, one text (that of the least hash) for each id.
 Copies and near copies among them (equal bands of min-hashes over their less common words) count as one
 example with their mean label, so a large group of copies neither picks words nor sets weights. All
 documents are scored, each from its whole text.
@@ -189,8 +189,8 @@ def fit_chain(sample: pd.DataFrame, categories: list[str]) -> list[Link]:
     return chain
 
 
-def train(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text") -> list[Link]:
-    """Fit the chain on about `sample` ids of `labels` (doc_id and one 0/1 column per category)."""
+def training_rows(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int, doc_id: str, text: str) -> DataFrame:
+    """One row (words, measures, h, labels) for each of about `sample` labelled ids, however many rows hold it."""
     known = (labels.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("id")).agg(*[F.max(c).cast("double").alias(c) for c in categories])
              .withColumn("h", F.xxhash64("id")))
     every = -(-known.count() // sample)  # evenly by hash: about `sample` ids, never more than twice as many
@@ -201,8 +201,14 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int
         return pa.array([{"words": " ".join(sorted(words_of(t.as_py()))), "measures": measures(t.as_py())} for t in texts],
                         pa.struct([("words", pa.string()), ("measures", pa.list_(pa.float64()))]))
 
-    rows = (docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(known), "id")
-            .select(read("text").alias("r"), "h", *categories).select("r.words", "r.measures", "h", *categories))
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(known), "id")
+    rows = rows.groupBy("id", "h", *categories).agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return rows.select(read("text").alias("r"), "h", *categories).select("r.words", "r.measures", "h", *categories)
+
+
+def train(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text") -> list[Link]:
+    """Fit the chain on about `sample` ids of `labels` (doc_id and one 0/1 column per category)."""
+    rows = training_rows(docs, labels, categories, sample, doc_id, text)
 
     def fitted(group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"chain": [pickle.dumps(fit_chain(group, categories))]})
