@@ -138,6 +138,14 @@ def test_the_model_is_normalised_and_learns():
     assert mean > np.log(model.noise)[w[-5000:]].mean() + 0.5  # far better than word counts alone
 
 
+def test_training_without_a_start_sample(spark):
+    docs = spark.range(3200, numPartitions=2).selectExpr("cast(null as long) as doc_id", "'a b a b a b' as text")
+    assert docs.where((F.pmod(F.xxhash64("doc_id"), F.lit(3200 // (2 * lblm.START_DOCS))) == 0)).count() == 0
+    new = lambda: lblm.LogBilinear(np.array([9600., 9600., 3200., .5]))
+    before, model = new(), lblm.fit(docs, new(), {b"a": 0, b"b": 1, b"": 2}, simhash.Stage(spark, "lblm-test"))
+    assert not np.allclose(before.q, model.q) and np.isfinite(model.q).all()
+
+
 def test_positions_do_not_cross_texts():
     a, b, w = lblm.positions(np.array([1, 2, -1, 7, 3]), np.array([3, 4, 5]), 5)
     assert w.tolist() == [1, 2, 4, 4, 3] and a.tolist() == [5, 1, 2, 5, 5] and b.tolist() == [5, 5, 1, 5, 5]

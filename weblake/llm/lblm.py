@@ -8,7 +8,7 @@ all words, those never seen counting as one.
 
 Training runs where the documents are: every partition makes one pass over all of its training
 tokens from a common start (fitted on at most `START_DOCS` documents, taken by the hash of their ids), and the partitions'
-parameters are averaged by their tokens, in steps of `FAN_IN`. The normalisers of all pairs of
+parameters are averaged by their tokens, in steps of `FAN_IN`. If that sample has no training document, the start is random. The normalisers of all pairs of
 context words are computed once, in batched matrix products, and sent to the workers with
 the scores: their size depends on `VOCABULARY` alone.
 
@@ -195,9 +195,8 @@ def fit(docs: DataFrame, model: LogBilinear, numbers: dict[bytes, int], stage: S
     every = max(1, docs.count() // (2 * START_DOCS))
     sample = docs.where((F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0) & (F.length("text") > 0)).limit(START_DOCS).coalesce(1)
     first = sample.mapInArrow(trained(model.pack(), 0.1), schema).first()
-    if first is None:
-        return model
-    models = stage(docs.mapInArrow(trained(bytes(first.model), 0.05), schema))
+    start = bytes(first.model) if first else model.pack()  # no training document in the sample: from the initial parameters
+    models = stage(docs.mapInArrow(trained(start, 0.05), schema))
 
     def mean(group: pd.DataFrame) -> pd.DataFrame:
         seen = group["seen"].sum()
