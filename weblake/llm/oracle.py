@@ -47,4 +47,37 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
                      WHEN before = 'user' THEN role = 'assistant' ELSE false END AND (after IS NOT NULL OR role = 'assistant')) AS valid
 FROM e GROUP BY conv_id"""
 
-ORACLE_SQL = {"op2_quality_lines": OP2, "op10_chat_format": OP10}
+_CRC_TABLE = "list_transform(range(256), lambda b: list_reduce(list_prepend(CAST(b AS BIGINT), range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END))"
+
+OP11 = rf"""
+WITH crc_table AS (SELECT {_CRC_TABLE} AS x),
+own AS (SELECT conv_id AS c, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS own
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+taken AS (SELECT c, own, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s: CAST(ord(s) AS BIGINT))),
+                 lambda r, b: xor(r // 256, crc_table.x[CAST(xor(r % 256, b) AS INTEGER) + 1])), 4294967295) % 4 AS h
+          FROM own, crc_table),
+built AS (SELECT t.c, list_concat(coalesce(b.own[1:t.h], []), t.own[t.h + 1:]) AS path FROM taken t LEFT JOIN own b ON b.c = t.c - t.c % 20),
+prefixes AS (SELECT c, path, unnest(range(0, len(path) + 1)) AS depth FROM built),
+node AS (SELECT path[1:depth] AS prefix, depth, min(c) AS conv_id, count(*) AS n_convs,
+                sha256(coalesce(string_agg(CASE WHEN len(path) = depth THEN CAST(c AS VARCHAR) END, ',' ORDER BY c), '')) AS ends_sha256
+         FROM prefixes GROUP BY path[1:depth], depth),
+kids AS (SELECT prefix[1:depth - 1] AS above, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL),
+own_values AS (SELECT node.*, coalesce(n_children, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE
+                 (n_convs - 1) * len(regexp_extract_all(prefix[depth].text, '[^\x20\x09-\x0D]+')) END AS saved FROM node LEFT JOIN kids ON prefix = above),
+lifted AS (SELECT prefix, n_children, saved, unnest(range(0, depth + 1)) AS up FROM own_values),
+subtree AS (SELECT prefix[1:up] AS top, count_if(n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM lifted GROUP BY ALL)
+SELECT o.conv_id, o.depth, p.conv_id AS parent_conv_id, o.n_convs, o.n_children, CAST(n_leaves AS BIGINT) AS n_leaves, saved_tokens, o.ends_sha256
+FROM own_values o JOIN subtree ON o.prefix = top LEFT JOIN node p ON o.depth > 0 AND p.prefix = o.prefix[1:o.depth - 1]"""
+
+OP12 = """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+u AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS len FROM v
+      WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_dot_product(a.e, b.e) / (a.len * b.len) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM link GROUP BY a)
+SELECT v.vec_id, coalesce(n_links, 0) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN least ON v.vec_id = least.a LEFT JOIN n ON v.vec_id = n.a"""
+
+ORACLE_SQL = {"op11_prefix_trie": OP11, "op12_pstable_hashing": OP12, "op2_quality_lines": OP2, "op10_chat_format": OP10}

@@ -1,14 +1,15 @@
-"""The registered queries of this folder: op1 ... op10 and the pipeline, each over its whole table."""
+"""The registered queries of this folder: op1 ... op13 and the pipeline, each over its whole table."""
 
 from __future__ import annotations
 
 import uuid
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weblake.llm import chat, hnsw, idstore, lblm, packing, pieces, quality, secretscan, simhash, toxicity
+from weblake.llm import chat, hnsw, idstore, lblm, packing, pieces, prefixtrie, pstable, quality, secretscan, simhash, toxicity, wordruns
 from weblake.llm.oracle import ORACLE_SQL as ORACLE_SQL
 from weblake.session import checkpoint_dir
 
@@ -98,6 +99,49 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars", "valid")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stage = simhash.Stage(spark, "prefix-trie")
+    convs = prefixtrie.encode(table(spark, sf_dir, "conversations"), stage)
+    taken = F.crc32(F.col("conv_id").cast("string")) % 4
+    return prefixtrie.nodes(prefixtrie.grafted(convs, stage, every=20, most=3, taken=taken), stage)
+
+
+def op12_pstable_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pstable.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.93)
+
+
+def repeating(text: Column | str, seed: Column) -> Column:
+    """A tenth of the texts (whose seed is a multiple of ten) repeat their words from some place on, as the contract says."""
+    @F.arrow_udf("string")
+    def of(texts: pa.Array, seeds: pa.Array) -> pa.Array:
+        out = []
+        for t, h in zip(texts.to_pylist(), seeds.to_pylist()):
+            words = t.split() if t and h is not None and h % 10 == 0 else []
+            if words:
+                g, n = h // 10, len(words)
+                a = g % n
+                p = 1 + (n - a) // (3 + g % 8)
+                t = b" ".join([*words[:a], *(words[a + i % p] for i in range(n - a))])
+            out.append(t)
+        return pa.array(out, pa.binary()).cast(pa.string())
+
+    return of(F.col(text).cast("binary") if isinstance(text, str) else text.cast("binary"), seed)
+
+
+def op13_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    text = repeating("text", F.crc32(F.col("doc_id").cast("string")))
+    found = docs.select("doc_id", wordruns.periodic_runs(text).alias("r")).select("doc_id", "r.*")
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("shorter"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    found = found.withColumn("longest", longest).withColumn("length", -F.col("longest.shorter"))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "longest.start", "length", "longest.period",
+                        F.floor(1000 * F.col("length") / F.col("longest.period")).alias("exponent_milli"),
+                        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_harmonic_packing, op2_quality_lines, op3_toxicity_chain, op4_simhash_trees, op5_id_shards, op6_hnsw_shards, op7_secret_layers, op8_log_bilinear, op9_piece_transducer, op10_chat_format,
+    op11_prefix_trie, op12_pstable_hashing, op13_word_runs,
 )}
