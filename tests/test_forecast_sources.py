@@ -156,6 +156,61 @@ def test_stitched_files_across_splits(spark, tmpdir_path):
     assert got == want
 
 
+def _parts(lines, start, most):
+    """{(rec, part): record} of one file."""
+    out, rec, before = {}, 0, 0
+    for line in lines:
+        if re.match(start, line):
+            rec, before = rec + 1, 0
+        out.setdefault((rec, before // most), []).append(line)
+        before += len(line.encode()) + 1
+    return {k: "\n".join(v) for k, v in out.items()}
+
+
+def _odd_files():
+    rnd = np.random.default_rng(9)
+    def tail(n):
+        return [f"  é {k} " + "x" * int(rnd.integers(0, 30)) for k in range(n)]
+    return {"none": tail(300), "late": tail(70) + ["2025/10/28 10:00:00 a"] + tail(90), "many": [x for i in range(40) for x in (f"2025/10/28 10:00:{i:02d} b", *tail(int(rnd.choice([0, 1, 2, 30]))))],
+            "long": ["2025/10/28 10:00:00 c", "y" * 5000, *tail(3), "2025/10/28 10:00:01 d"]}
+
+
+def test_records_in_parts_over_many_splits(spark, tmpdir_path):
+    """A file without a start, records over many splits, a line longer than a part: each part is exact and bounded."""
+    files = _odd_files()
+    for name, lines in files.items():
+        with open(os.path.join(tmpdir_path, name), "w") as f:
+            f.write("\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        got = text.read_stitched(spark, tmpdir_path, max_bytes=256).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = {(n, *k): v for n, lines in files.items() for k, v in _parts(lines, text.ERROR_RECORD_START, 256).items()}
+    assert {(os.path.basename(r.file), r.rec, r.part): r.message for r in got} == want and len(got) == len(want)
+    assert max(len(r.message.encode()) for r in got if "y" * 100 not in r.message) < 256 + 60
+
+
+def test_a_stream_cut_inside_records_equals_the_files(spark, tmpdir_path):
+    files, src, out = _odd_files(), os.path.join(tmpdir_path, "in"), os.path.join(tmpdir_path, "out")
+    rows = [(n, i, line) for n, lines in files.items() for i, line in enumerate(lines)] + [(n, 10_000, None) for n in files]
+    schema = "file string, place long, line string"
+    for cut in range(0, 10_001, 37):  # each micro-batch has a stretch of every file
+        part = [r for r in rows if cut <= r[1] < cut + 37]
+        if part and cut < 400 or cut + 37 > 10_000:
+            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").json(src)
+    def run():
+        lines = spark.readStream.schema(schema).option("maxFilesPerTrigger", 3).json(src)
+        (text.stitch_stream(lines, max_bytes=256).writeStream.format("json").option("path", out).option("checkpointLocation", os.path.join(tmpdir_path, "ckpt"))
+         .trigger(availableNow=True).start().awaitTermination())
+    run()
+    run()  # a restart adds nothing
+    got = spark.read.schema("file string, rec long, part long, record string").json(out).collect()
+    want = {(n, *k): v for n, lines in files.items() for k, v in _parts(lines, text.ERROR_RECORD_START, 256).items()}
+    assert {(r.file, r.rec, r.part): r.record for r in got} == want and len(got) == len(want)
+
+
 def test_train_save_load_predict(spark, tmpdir_path):
     sdf, _ = _series(spark)
     fc.train(sdf, tmpdir_path)
