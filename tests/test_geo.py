@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from conftest import SF01
 from weblake.functions.ip import ipv4_to_long, ipv6_key
 from weblake.operators import geo
-from weblake.sources.weblog import read_table
+from weblake import fixtures
+from weblake.fixtures import read_table
 
 
 def test_ipv4_to_long(spark):
@@ -46,8 +47,8 @@ def test_bucket_row_count_exact(spark):
 
 def test_nation_ranges_and_codes(spark):
     nation = read_table(spark, SF01, "nation")
-    assert geo.geo_ranges_from_nation(nation).count() == 20
-    codes = {r.country: r.iso_alpha3 for r in geo.country_codes_from_nation(nation).collect()}
+    assert fixtures.geo_ranges_from_nation(nation).count() == 20
+    codes = {r.country: r.iso_alpha3 for r in fixtures.country_codes_from_nation(nation).collect()}
     assert codes["NATION_1"] == "N01" and "NATION_6" not in codes
 
 
@@ -90,3 +91,55 @@ def test_both_families_by_broadcast_and_by_shuffle(spark):
         index = geo.geo_index(v4, max_broadcast_rows=rows, ranges_v6=v6)
         assert {r.ip: r.country for r in geo.enrich_country(df, index).collect()} == want
         assert {r.ip: r.country for r in geo.lookup_countries(df, index).collect()} == want
+
+
+def _specific(blocks, address):
+    """Country of the smallest block that holds the address; of equal sizes the later start, then the least name, one without a name last."""
+    held = [(b - a, -a, c is None, c or "", c) for a, b, c in blocks if a <= address <= b]
+    return (min(held)[-1] if held else None) or "Unknown"
+
+
+def test_nested_equal_and_adjacent_blocks_give_one_row(spark):
+    import ipaddress
+    import random
+    made = random.Random(11)
+    blocks = [(1 << 24, (3 << 24) - 1, "OUTER"), (1 << 24, (2 << 24) - 1, "INNER"), (1 << 24, (2 << 24) - 1, "EQUAL"), (2 << 24, (2 << 24) + 255, None), (2 << 24, (2 << 24) + 15, "DEEP"),
+              ((2 << 24) + 256, (2 << 24) + 511, "NEXT"), (0, (1 << 32) - 1, "WORLD"), (9, 3, "BACKWARDS"), (None, 8, "HALF")]
+    for _ in range(300):
+        size = 1 << made.randint(0, 26)
+        start = made.randrange(0, 1 << 32, size) if made.random() < 0.8 else made.randrange(1 << 32)
+        blocks.append((start, min(start + size, 1 << 32) - 1, made.choice(["A", "B", "C", None])))
+    whole = [b for b in blocks if b[0] is not None]
+    edges = {e for a, b, _ in whole for e in (a, b, a - 1, b + 1) if 0 <= e < 1 << 32}
+    ips = {str(ipaddress.IPv4Address(e)): _specific(whole, e) for e in edges}
+    six = 0x20010DB8 << 96
+    v6 = spark.createDataFrame([(str(ipaddress.IPv6Address(six + (a << 80))) if a is not None else None, str(ipaddress.IPv6Address(six + ((b + 1) << 80) - 1)), c) for a, b, c in
+                                ((a and a >> 16, b >> 16, c) for a, b, c in blocks)], "start_ip string, end_ip string, country string")
+    v6_blocks = [(six + (a >> 16 << 80), six + ((b >> 16) + 1 << 80) - 1, c) for a, b, c in whole]
+    for a, b, _ in v6_blocks:
+        ips |= {str(ipaddress.IPv6Address(e)): _specific(v6_blocks, e) for e in (a, b, a - 1, b + 1)}
+    v4 = spark.createDataFrame(blocks, "start_ip long, end_ip long, country string")
+    df = spark.createDataFrame([(a,) for a in ips], "ip string")
+    for rows in (10_000_000, 0):
+        index = geo.geo_index(v4, max_broadcast_rows=rows, ranges_v6=v6)
+        assert index.broadcast == (rows > 0)
+        for found in (geo.lookup_countries(df, index).collect(), geo.enrich_country(df, index).collect()):
+            assert len(found) == len(ips) and {r.ip: r.country for r in found} == ips
+
+
+def test_flat_ranges_are_disjoint_and_disjoint_ones_stay(spark):
+    nation = read_table(spark, SF01, "nation")
+    assert geo.overlapping(fixtures.nested_ranges_from_nation(nation)) and not geo.overlapping(fixtures.geo_ranges_from_nation(nation))
+    assert not geo.overlapping(geo.flatten_ranges(fixtures.nested_ranges_from_nation(nation)))
+    assert not geo.overlapping(geo.keyed_v6(fixtures.geo_ranges_v6_from_nation(nation)))
+
+
+def test_a_lake_of_nested_blocks_keeps_one_row_per_line(spark, tmpdir_path):
+    from weblake.operators.detect import PER_BATCH
+    from weblake.plans.ingest import process_batch
+    from weblake.sources import lake
+    nested = fixtures.nested_ranges_from_nation(read_table(spark, SF01, "nation"))
+    process_batch(fixtures.read_weblog(spark, "/root/testdata/sf0.001"), 0, tmpdir_path, nested, PER_BATCH)
+    star = lake.read_star(spark, tmpdir_path)
+    assert star.joined().count() == star.fact.count() > 0
+    assert star.dim("dim_ip").count() == star.dim("dim_ip").select("ip_id").distinct().count()

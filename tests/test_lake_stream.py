@@ -12,7 +12,8 @@ from weblake.operators.star import DIMS
 from weblake.plans import reports as R
 from weblake.plans.filters import Filters
 from weblake.plans.ingest import process_batch
-from weblake.sources import envelope, lake
+from weblake.schemas import QUARANTINE_SCHEMA
+from weblake.sources import envelope, lake, versions
 from weblake.streaming import job
 
 
@@ -27,9 +28,9 @@ def test_batch_written_twice_counts_once(spark, tmpdir_path):
         process_batch(lines, 7, tmpdir_path, ranges, PER_BATCH)
     st = lake.read_star(spark, tmpdir_path)
     assert st.fact.count() == 987
-    assert spark.read.parquet(os.path.join(tmpdir_path, "quarantine")).count() == 13
+    assert lake.read_table(spark, tmpdir_path, "quarantine", QUARANTINE_SCHEMA).count() == 13
     for name, d in DIMS.items():
-        raw = spark.read.parquet(os.path.join(tmpdir_path, name))
+        raw = lake.read_table(spark, tmpdir_path, name, d.schema)
         assert raw.count() == raw.select(d.id_col).distinct().count(), name
 
 
@@ -147,32 +148,111 @@ def test_dims_of_several_writers_are_unique_and_newest(spark, tmpdir_path):
         assert st.dim(name).count() == st.dim(name).select(d.id_col).distinct().count(), name
     assert st.dim("dim_ip").filter("country != 'Unknown' and country not like '%_NEW'").count() == 0
     assert st.joined().count() == st.fact.count() == 2 * 987
-    target = os.path.join(tmpdir_path, "compact")
-    lake.compact_dims(spark, root, target)
+    before = {name: st.dim(name).collect() for name in DIMS}
+    lake.compact(spark, root, fanout=2)
+    now = versions.latest(spark, root)
     for name, d in DIMS.items():
-        raw = spark.read.parquet(os.path.join(target, name))
-        assert raw.count() == st.dim(name).count()
-        assert lake.read_dim(spark, target, name).exceptAll(st.dim(name)).count() == 0
+        assert len(now.of(name)) == 1 and lake.read_table(spark, root, name, d.schema).count() == len(before[name])
+        assert sorted(lake.read_dim(spark, root, name).collect()) == sorted(before[name])
 
 
 def test_writing_a_dim_does_not_read_it(spark, tmpdir_path, monkeypatch):
     process_batch(Q.lines(spark, SF001), 0, tmpdir_path, Q.ranges(spark, SF001), PER_BATCH)
-    monkeypatch.setattr(lake, "read_table", None)
+    monkeypatch.setattr(lake, "read_segments", None)
     process_batch(Q.lines(spark, SF001), 1, tmpdir_path, Q.ranges(spark, SF001), PER_BATCH)
 
 
-def test_compacted_months_keep_their_rows_in_few_files(spark, tmpdir_path):
-    root, target = os.path.join(tmpdir_path, "lake"), os.path.join(tmpdir_path, "compact")
-    for k in range(4):
-        part = Q.lines(spark, SF001).filter(F.col("event_id") % 4 == k)
-        process_batch(part, k, root, Q.ranges(spark, SF001), PER_BATCH)
-    lake.compact_fact(spark, root, target, "999912")
-    cols = [f.name for f in lake.FACT_SCHEMA.fields if f.name != "batch_id"]
-    a, b = (lake.read_table(spark, r, "fact", lake.FACT_SCHEMA).select(*cols) for r in (root, target))
-    assert a.count() == 987 and a.exceptAll(b).count() == 0 == b.exceptAll(a).count()
-    months = a.select("event_month").distinct().count()
-    files = [f for d, _, fs in os.walk(os.path.join(target, "fact")) for f in fs if f.endswith(".parquet")]
-    assert len(files) <= 2 * months < sum(f.endswith(".parquet") for d, _, fs in os.walk(os.path.join(root, "fact")) for f in fs)
+FACT = [f.name for f in lake.FACT_SCHEMA.fields]
+
+
+def _rows(spark, root, version=None):
+    fact = lake.read_star(spark, root, version=version).joined().select("timestamp", "log_type", "ip", "page", "status", "error_message", "batch_id")
+    return sorted(map(repr, fact.collect()))
+
+
+def test_many_batches_compact_into_few_segments_and_replays_stay_replays(spark, tmpdir_path):
+    """200 batches of the fact and a dim, merged in between; a batch that is merged and one that is not are published again."""
+    lines = Q.events(spark, SF001).withColumn("is_anomaly", F.lit(0)).withColumn("anomaly_type", F.lit(""))
+    star = Q.star_mod.Star.build(lines, Q.ranges(spark, SF001))
+    fact, dim = star.fact.cache(), star.dim("dim_ip").cache()
+
+    own = fact.withColumn("batch_id", F.pmod(F.xxhash64(*fact.columns), F.lit(200)))
+    # what 200 writers leave, by one job: a folder for each batch and month
+    own.withColumn("at", F.col("batch_id")).coalesce(1).write.partitionBy("at", "event_month").parquet(os.path.join(tmpdir_path, "fact"))
+
+    def batch(k, again=False):
+        if again:
+            new = lake.write_fact(own.filter(F.col("batch_id") == k), tmpdir_path, k)
+        else:
+            folder = os.path.join(tmpdir_path, f"fact/at={k}")
+            new = [versions.Segment("fact", f"fact/at={k}/{m}", m[-6:], ((k, k),)) for m in (os.listdir(folder) if os.path.exists(folder) else [])]
+        if k % 50 == 0:
+            new += lake.write_dim(dim.coalesce(1), "dim_ip", tmpdir_path, k)
+        lake.publish_batch(spark, tmpdir_path, k, new)
+
+    for k in range(200):
+        batch(k)
+        if k % 100 == 99:
+            lake.compact(spark, tmpdir_path, up_to_batch=k - 10)
+    def rows():
+        return lake.read_table(spark, tmpdir_path, "fact", lake.FACT_SCHEMA).select(*FACT[:-1])
+    assert rows().exceptAll(fact).count() == 0 == fact.exceptAll(rows()).count()
+    now = versions.latest(spark, tmpdir_path)
+    merged, loose = (next(s for s in now.of("fact") if bool(s.level) == m) for m in (True, False))
+    months = fact.select("event_month").distinct().count()
+    assert len(now.of("fact")) < 40 * months
+    for k in (merged.last, loose.last):
+        batch(k, again=True)
+    assert rows().exceptAll(fact).count() == 0 == fact.exceptAll(rows()).count()
+    lake.compact(spark, tmpdir_path, whole=True)
+    now = versions.latest(spark, tmpdir_path)
+    assert rows().count() == fact.count() and len(now.of("fact")) == months and len(now.of("dim_ip")) == 1
+    held = {r.batch_id for r in own.select("batch_id").distinct().collect()}
+    assert all({k for k in range(200) if s.holds(k)} == held for s in now.of("fact"))
+    assert versions.vacuum(spark, tmpdir_path, keep=1, older_than=-1) > 200 and versions.numbers(spark, tmpdir_path) == [now.number]
+    files = [f for d, _, fs in os.walk(os.path.join(tmpdir_path, "fact")) for f in fs if f.endswith(".parquet")]
+    assert rows().count() == fact.count() and len(files) == months
+    fact.unpersist(), dim.unpersist()
+
+
+def test_a_reader_keeps_its_version_through_batches_and_compaction(spark, tmpdir_path):
+    for k in range(2):
+        process_batch(Q.lines(spark, SF001).filter(F.col("event_id") % 3 == k), k, tmpdir_path, Q.ranges(spark, SF001), PER_BATCH)
+    pinned = versions.latest(spark, tmpdir_path)
+    old = _rows(spark, tmpdir_path, pinned)
+    reader = lake.read_star(spark, tmpdir_path, version=pinned).fact
+    process_batch(Q.lines(spark, SF001).filter(F.col("event_id") % 3 == 2), 2, tmpdir_path, Q.ranges(spark, SF001), PER_BATCH)
+    new = _rows(spark, tmpdir_path)
+    lake.compact(spark, tmpdir_path, fanout=2)
+    assert reader.count() == len(old) < len(new) and _rows(spark, tmpdir_path, pinned) == old
+    assert _rows(spark, tmpdir_path) == new and versions.at(spark, tmpdir_path, pinned.number) == pinned
+
+
+def test_two_writers_and_a_dead_one(spark, tmpdir_path, monkeypatch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from weblake.sources import fs
+
+    def put(k):
+        versions.publish(spark, tmpdir_path, versions.batch_change(k, [versions.Segment("t", f"t/at={k}", None, ((k, k),))]))
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(put, range(24)))
+    now = versions.latest(spark, tmpdir_path)
+    assert now.number == 24 and {s.last for s in now.segments} == set(range(24))
+    assert fs.create(spark, versions._path(tmpdir_path, 25), "{}")  # died before the mark
+    monkeypatch.setattr(versions, "GRACE", 0.0)
+    put(99)
+    assert versions.latest(spark, tmpdir_path).number == 26 and versions.at(spark, tmpdir_path, 25) is None
+    old = list(versions.latest(spark, tmpdir_path).segments[:2])
+    put(old[0].last)
+    replaced = [versions.Segment("t", "t/at=other", None, ((0, 0),))]
+    versions.publish(spark, tmpdir_path, versions.batch_change(old[0].last, replaced))
+    try:
+        versions.publish(spark, tmpdir_path, versions.merge_change(old, []))
+        raise AssertionError("a merge of a replaced segment was published")
+    except versions.Conflict:
+        pass
 
 
 def test_reports_on_an_empty_lake_are_empty(spark, tmpdir_path):
@@ -197,6 +277,49 @@ def test_cut_windows_give_the_verdicts_of_the_whole(spark, tmpdir_path):
     assert R.anomaly_by_type(st).exceptAll(whole.filter("is_anomaly = 1").groupBy("anomaly_type").agg(F.count("*").alias("cnt"))).count() == 0
 
 
+def test_late_cut_and_compacted_windows_give_the_verdicts_of_the_whole(spark, tmpdir_path):
+    """Batches out of order, each row's window cut into five, verdicts and counts merged in between, one batch replayed."""
+    whole = detect.flag(Q.events(spark, SF001), DAILY_TEST).select("timestamp", "ip", "page", "is_anomaly", "anomaly_type")
+    for k in (3, 0, 4, 1, 1, 2):
+        process_batch(Q.lines(spark, SF001).filter(F.col("event_id") % 5 == k), k, tmpdir_path, Q.ranges(spark, SF001), DAILY_TEST, whole=False)
+        if k in (4, 2):
+            lake.compact(spark, tmpdir_path, fanout=2)
+    assert process_batch(Q.lines(spark, SF001).filter(F.col("event_id") % 5 == 2), 2, tmpdir_path, Q.ranges(spark, SF001), DAILY_TEST, whole=False).skipped
+    st = lake.read_star(spark, tmpdir_path, DAILY_TEST)
+    got = st.joined(["dim_ip", "dim_request", "dim_anomaly_type"]).select("timestamp", "ip", "page", "is_anomaly", F.coalesce("anomaly_type", F.lit("")).alias("anomaly_type"))
+    assert got.exceptAll(whole).count() == 0 == whole.exceptAll(got).count()
+
+
+def test_a_time_filter_prunes_facts_and_verdicts(spark, tmpdir_path):
+    process_batch(Q.lines(spark, SF001), 0, tmpdir_path, Q.ranges(spark, SF001), DAILY_TEST, whole=False)
+    st = lake.read_star(spark, tmpdir_path, DAILY_TEST)
+    plan = _plan(R.anomaly_timeline(st, Filters(start="2024-01-02 00:00:00", end="2024-01-03 00:00:00")))
+    scans = [line for line in plan.splitlines() if "FileScan" in line and ("/fact/" in line or "/verdicts/" in line)]
+    assert scans and "page_counts" not in plan
+    assert all("isnotnull(event_month" in line.replace("PartitionFilters: [", "").replace("#", " ") or "event_month" in line.split("PartitionFilters: [")[1].split("]")[0] for line in scans)
+
+
+def test_a_window_over_a_month_edge_is_found_in_both_months(spark, tmpdir_path):
+    cfg = detect.DetectConfig(mode="windowed", window="10 days", login_threshold=9, scan_threshold=9, rate_threshold=3)
+    days = [("access", f'7.7.7.7 - - [{d} +0000] "GET /a HTTP/1.1" 200 1 "r" "UA"') for d in ("30/Jan/2024:10:00:00", "31/Jan/2024:10:00:00", "01/Feb/2024:01:00:00", "01/Feb/2024:02:00:00", "09/Feb/2024:02:00:00")]
+    for k, (t, m) in enumerate(days):
+        process_batch(spark.createDataFrame([(m, t)], "message string, log_type string"), k, tmpdir_path, Q.ranges(spark, SF001), cfg, whole=False)
+    fact = lake.read_star(spark, tmpdir_path, cfg).fact
+    assert sorted((r.event_month, r.is_anomaly) for r in fact.collect()) == [("202401", 1), ("202401", 1), ("202402", 0), ("202402", 1), ("202402", 1)]
+
+
+def test_a_backfill_reads_its_input_once(spark, tmpdir_path, monkeypatch):
+    seen = []
+    own = lake.staged
+    monkeypatch.setattr(lake, "staged", lambda df, *a: seen.append(_plan(df)) or own(df, *a))
+    written = []
+    add = lake.add
+    monkeypatch.setattr(lake, "add", lambda df, *a, **k: written.append(_plan(df)) or add(df, *a, **k))
+    process_batch(Q.lines(spark, SF001), 0, tmpdir_path, Q.ranges(spark, SF001), DAILY_TEST)
+    assert len(seen) == 1 and seen[0].count("FileScan") == 1 and "regexp_replace" in seen[0]
+    assert len(written) == 7 and not any("events.parquet" in p or "regexp_replace" in p for p in written)
+
+
 def test_actuals_read_a_bounded_part_of_the_fact(spark, tmpdir_path):
     process_batch(Q.lines(spark, SF001), 0, tmpdir_path, Q.ranges(spark, SF001), DAILY_TEST)
     st = lake.read_star(spark, tmpdir_path)

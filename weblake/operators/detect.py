@@ -162,6 +162,29 @@ def with_verdicts(rows: DataFrame, counts: DataFrame, cfg: DetectConfig, hot: st
     return joined.drop("window_start") if cfg.mode == "windowed" else joined
 
 
+# A higher rank wins; counts only grow, and with them the rank of a key.
+BEHAVIOUR_RANKS = {LOGIN_ATTACK: 3, SCANNING_ACTIVITY: 2, REQUEST_RATE_ANOMALY: 1}
+
+
+def ranked_verdict(kind: str) -> Column:
+    """Rank of a behaviour verdict, 0 for none."""
+    rank = F.lit(0)
+    for name, value in BEHAVIOUR_RANKS.items():
+        rank = F.when(F.col(kind) == name, value).otherwise(rank)
+    return rank
+
+
+def with_verdict_rows(fact: DataFrame, verdicts: DataFrame, cfg: DetectConfig) -> DataFrame:
+    """Fact rows plus `behavioral_anomaly_type` from stored verdicts `(event_month, window_start, ip_id, rank)`, one per key. Months
+    are part of the key, so that a filter on them reaches both sides; the rows of a hot address are spread."""
+    kind = F.lit(None).cast("string")
+    for name, value in BEHAVIOUR_RANKS.items():
+        kind = F.when(F.col("rank") == value, F.lit(name)).otherwise(kind)
+    salted = verdicts.select("event_month", "window_start", "ip_id", kind.alias("behavioral_anomaly_type"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    rows = fact.withColumn("window_start", window_start(cfg)).withColumn("_salt", F.pmod(F.xxhash64("timestamp", "request_id", "status"), F.lit(SALTS)).cast("int"))
+    return rows.join(salted, ["event_month", "window_start", "ip_id", "_salt"], "left").drop("_salt", "window_start")
+
+
 def combined(joined: DataFrame) -> DataFrame:
     """Add anomaly_type and is_anomaly from the two verdicts."""
     anomaly = F.coalesce(F.col("signature_anomaly_type"), F.col("behavioral_anomaly_type"))

@@ -13,55 +13,36 @@ plus a residual ``BETWEEN``. Disjoint ranges explode to at most
   bucket, with no hot key since addresses are unique), then join that
   mapping back on ``ip`` with AQE skew handling.
 
+Blocks of a geo database nest: a country's block holds a customer's elsewhere. The most specific block
+holds an address: the smallest, of equal ones the later, of the same block the least country that it is given. An index whose ranges
+overlap (one windowed aggregate says so) is flattened first: :func:`flatten_ranges` sweeps the sorted ends of the
+blocks that touch a first octet, one task per octet, and gives disjoint ranges, written once to the shared checkpoint
+folder. Each address then lies in one range at most, so a lookup never multiplies rows. Ranges without both ends, or that
+end before they start, hold nothing; a block without a country makes its addresses unknown.
+
 No match, blank or malformed addresses give ``Unknown``; ``Error`` (a failing
 database reader in per-row lookups) cannot occur here.
 """
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weblake.functions.ip import ipv4_to_long, ipv6_key, plain_ipv4
 from weblake.functions.patterns import ERROR_COUNTRY, UNKNOWN_COUNTRY
+from weblake.session import checkpoint_dir
 
 DEFAULT_BUCKET_PREFIX = 16
 # ~60 bytes per bucket row: 500k rows is about 30 MB on every executor
 DEFAULT_MAX_BROADCAST_ROWS = 500_000
 
 
-def geo_ranges_from_nation(nation: DataFrame) -> DataFrame:
-    """Synthetic address blocks for tests: nation n owns first octets 8n+1..8n+8;
-    nations with n % 5 = 4 own none (so `Unknown` occurs)."""
-    n = F.col("n_nationkey").cast("bigint")
-    return nation.filter(F.col("n_nationkey") % 5 != 4).select(
-        ((8 * n + 1) * (1 << 24)).alias("start_ip"),
-        ((8 * n + 9) * (1 << 24) - 1).alias("end_ip"),
-        F.col("n_name").alias("country"),
-    )
-
-
-def geo_ranges_v6_from_nation(nation: DataFrame) -> DataFrame:
-    """Synthetic IPv6 blocks for tests: nation n of 0..9 owns 2001:db8:n::/48, but for n % 5 = 4."""
-    n = F.col("n_nationkey").cast("string")
-    return nation.filter((F.col("n_nationkey") < 10) & (F.col("n_nationkey") % 5 != 4)).select(
-        F.concat(F.lit("2001:db8:"), n, F.lit("::")).alias("start_ip"),
-        F.concat(F.lit("2001:db8:"), n, F.lit(":ffff:ffff:ffff:ffff:ffff")).alias("end_ip"),
-        F.col("n_name").alias("country"),
-    )
-
-
-def country_codes_from_nation(nation: DataFrame) -> DataFrame:
-    """Synthetic ISO alpha-3 codes; nations with n % 7 = 6 have none."""
-    return nation.filter(F.col("n_nationkey") % 7 != 6).select(
-        F.col("n_name").alias("country"),
-        F.upper(F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")))
-        .alias("iso_alpha3"),
-    )
-
-
 def _shift(bucket_prefix: int) -> int:
     if not 1 <= bucket_prefix <= 32:
         raise ValueError("bucket_prefix must be in 1..32")
@@ -80,13 +61,80 @@ def bucketed_ranges(ranges: DataFrame, bucket_prefix: int = DEFAULT_BUCKET_PREFI
 V6_DIGITS = 6  # a bucket is a /24: a block of that size or smaller touches one
 
 
-def bucketed_ranges_v6(ranges: DataFrame) -> DataFrame:
-    """`(bucket, start_ip, end_ip, country)` of IPv6 ranges given as text, one row per bucket a range touches."""
-    keyed = ranges.select(ipv6_key("start_ip").alias("start_ip"), ipv6_key("end_ip").alias("end_ip"), "country")
+def keyed_v6(ranges: DataFrame) -> DataFrame:
+    """IPv6 ranges given as text -> ranges of 32 hexadecimal digits, which sort like the addresses."""
+    return ranges.select(ipv6_key("start_ip").alias("start_ip"), ipv6_key("end_ip").alias("end_ip"), "country")
+
+
+def bucketed_ranges_v6(keyed: DataFrame) -> DataFrame:
+    """`(bucket, start_ip, end_ip, country)` of keyed IPv6 ranges, one row per bucket a range touches."""
     first, last = (F.conv(F.substring(c, 1, V6_DIGITS), 16, 10).cast("bigint") for c in ("start_ip", "end_ip"))
     return keyed.select(F.explode(F.sequence(first, last)).alias("bucket"), "start_ip", "end_ip", "country")
 
 
+def _octets(ranges: DataFrame) -> DataFrame:
+    """A row per first octet that a range touches (`octet`)."""
+    v4 = dict(ranges.dtypes)["start_ip"] != "string"
+    first, last = (F.shiftright(c, 24) if v4 else F.conv(F.substring(c, 1, 2), 16, 10).cast("bigint") for c in ("start_ip", "end_ip"))
+    return ranges.withColumn("octet", F.explode(F.sequence(first, last)))
+
+
+def overlapping(ranges: DataFrame) -> bool:
+    """Whether two ranges share an address."""
+    before = Window.partitionBy("octet").orderBy("start_ip", "end_ip").rowsBetween(Window.unboundedPreceding, -1)
+    meets = _octets(ranges).select((F.col("start_ip") <= F.max("end_ip").over(before)).alias("meets"))
+    return bool(meets.agg(F.max("meets")).first()[0])
+
+
+def sweep(blocks: list[tuple[int, int, str]], low: int, high: int) -> Iterator[tuple[int, int, str]]:
+    """Disjoint ranges within low..high, in order: at each address the most specific of the blocks."""
+    blocks = sorted(blocks, key=lambda b: b[0])
+    edges = sorted({low, high + 1, *(e for a, b, _ in blocks for e in (a, b + 1) if low < e <= high)})
+    open_blocks: list[tuple] = []
+    k, held = 0, None
+    for a, b in zip(edges, edges[1:]):
+        while k < len(blocks) and blocks[k][0] <= a:
+            start, end, country = blocks[k]
+            heapq.heappush(open_blocks, (end - start, -start, country is None, country or "", end))
+            k += 1
+        while open_blocks and open_blocks[0][-1] < a:
+            heapq.heappop(open_blocks)
+        country = open_blocks[0][3] if open_blocks and not open_blocks[0][2] else None
+        if held and held[2] == country:
+            held = (held[0], b - 1, country)
+        else:
+            if held and held[2] is not None:
+                yield held
+            held = (a, b - 1, country)
+    if held and held[2] is not None:
+        yield held
+
+
+def flatten_ranges(ranges: DataFrame) -> DataFrame:
+    """Disjoint ranges that say for each address what its most specific block says; IPv4 numbers or IPv6 keys."""
+    kind = dict(ranges.dtypes)["start_ip"]
+    read: Callable = int if kind != "string" else lambda x: int(x, 16)
+    written: Callable = int if kind != "string" else "{:032x}".format
+    bits = 24 if kind != "string" else 120
+
+    def flat(group: pd.DataFrame) -> pd.DataFrame:
+        octet = int(group["octet"].iloc[0])
+        blocks = [(read(a), read(b), c) for a, b, c in zip(group["start_ip"], group["end_ip"], group["country"])]
+        rows = [(written(a), written(b), c) for a, b, c in sweep(blocks, octet << bits, (octet + 1 << bits) - 1)]
+        return pd.DataFrame(rows, columns=["start_ip", "end_ip", "country"])
+
+    return _octets(ranges).groupBy("octet").applyInPandas(flat, f"start_ip {kind}, end_ip {kind}, country string")
+
+
+def disjoint(ranges: DataFrame) -> DataFrame:
+    """The ranges themselves if no two overlap, else flattened and written to the shared checkpoint folder."""
+    ranges = ranges.filter(F.col("start_ip") <= F.col("end_ip")).select("start_ip", "end_ip", "country")
+    if not overlapping(ranges):
+        return ranges
+    checkpoint_dir(ranges.sparkSession)
+    return flatten_ranges(ranges).checkpoint(eager=True)
+
+
 def bucket_row_count(ranges: DataFrame, bucket_prefix: int = DEFAULT_BUCKET_PREFIX) -> int:
     """Exact number of rows :func:`bucketed_ranges` yields (one small aggregate)."""
     s = _shift(bucket_prefix)
@@ -150,7 +198,8 @@ def geo_index(ranges, bucket_prefix: int = DEFAULT_BUCKET_PREFIX,
     """Index of IPv4 ranges (numbers) and, if given, IPv6 ranges (text). Pass it wherever ranges are asked for."""
     if isinstance(ranges, GeoIndex):
         return ranges
-    v6 = None if ranges_v6 is None else bucketed_ranges_v6(ranges_v6)
+    ranges = disjoint(ranges)
+    v6 = None if ranges_v6 is None else bucketed_ranges_v6(disjoint(keyed_v6(ranges_v6)))
     rows = bucket_row_count(ranges, bucket_prefix) + (v6.count() if v6 is not None else 0)
     return GeoIndex(bucketed_ranges(ranges, bucket_prefix), rows, bucket_prefix,
                     rows <= max_broadcast_rows, v6)
@@ -162,7 +211,7 @@ def lookup_countries(
     bucket_prefix: int = DEFAULT_BUCKET_PREFIX,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Distinct `ip` values -> `(ip, country)`. `ranges`: a range table or a GeoIndex."""
+    """Distinct `ip` values -> `(ip, country)`, one row each. `ranges`: a range table or a GeoIndex."""
     idx = geo_index(ranges, bucket_prefix, max_broadcast_rows)
     return idx.join(ips.select("ip").distinct())
 

@@ -61,8 +61,9 @@ def all_events(lines: DataFrame, keep: tuple[str, ...] = (), access_pattern: str
         (kind == "error") & usable, _rewritten(m, error_pattern, error))
     df = lines.select(*keep, kind.alias("log_type"), m.alias("_msg"), F.when(F.spark_partition_id() >= 0, rewritten).alias("_rw"),
                       F.contains(m, F.lit(SEP)).alias("_unsafe"), usable.alias("_fits"))
-    parts = F.split(F.expr("substring(_rw, 2)"), SEP)
-    matched = F.startswith(F.col("_rw"), F.lit(SEP))
+    # one split for all fields, in a projection of its own; NULL where the rewrite did not match
+    df = df.withColumn("_parts", F.when(F.startswith("_rw", F.lit(SEP)), F.split(F.expr("substring(_rw, 2)"), SEP)))
+    parts, matched = F.col("_parts"), F.col("_parts").isNotNull()
 
     def group(of: str, pattern: str, groups: list[int], g: int) -> Column:
         fast = F.when(matched, parts[groups.index(g)]).otherwise(F.lit(""))

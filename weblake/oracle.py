@@ -9,7 +9,7 @@ Doubles are rounded to 6 places; timestamps are naive UTC.
 from __future__ import annotations
 
 from weblake.functions.patterns import ACCESS_PATTERN, ERROR_PATTERN, SIGNATURE_RULES
-from weblake.sources.weblog import ERROR_MESSAGES, PAGES
+from weblake.fixtures import ERROR_MESSAGES, PAGES, STATUSES
 
 
 def _q(s: str) -> str:
@@ -21,7 +21,7 @@ def _list(values) -> str:
     return "[" + ", ".join(_q(v) for v in values) + "]"
 
 
-# raw lines derived from events (same rule as weblake.sources.weblog)
+# raw lines derived from events (same rule as weblake.fixtures)
 WEBLOG = f"""
 ev AS (
   SELECT event_id AS e, ts, user_id AS u, event_type, value,
@@ -39,15 +39,14 @@ wl AS (
          WHEN e % 61 = 0 THEN '/static/../../etc/passwd'
          WHEN e % 67 = 0 THEN '/wp-admin/'
          WHEN event_type = 'signup' THEN '/login'
-         ELSE ({_list(PAGES)})[CAST(e % 14 AS INTEGER) + 1] END AS page,
-    CASE WHEN k < 80 THEN 200 WHEN k < 85 THEN 301 WHEN k < 93 THEN 404
-         WHEN k < 95 THEN 500 ELSE 403 END AS status,
+         ELSE ({_list(PAGES)})[CAST(e % {len(PAGES)} AS INTEGER) + 1] END AS page,
+    CASE {" ".join(f"WHEN k < {below} THEN {status}" for below, status in STATUSES)} END AS status,
     CAST(floor(value * 100) AS INTEGER) AS bytes,
     'http://ref.example/' || CAST(e % 5 AS VARCHAR) AS referrer,
     CASE WHEN e % 71 = 0 THEN 'sqlmap/1.7' WHEN e % 73 = 0 THEN 'Nikto'
          ELSE 'UA-' || CAST(u % 17 AS VARCHAR) END AS agent,
     CASE WHEN k % 2 = 0 THEN 'error' ELSE 'warn' END AS log_level,
-    ({_list(ERROR_MESSAGES)})[CAST(e % 4 AS INTEGER) + 1] AS error_message
+    ({_list(ERROR_MESSAGES)})[CAST(e % {len(ERROR_MESSAGES)} AS INTEGER) + 1] AS error_message
   FROM ev
 ),
 lines AS (
@@ -337,6 +336,12 @@ def queries() -> dict[str, str]:
     q["oversize_filter"] = ("SELECT doc_id, strlen(text) AS n_bytes FROM documents "
                             "WHERE strlen(text) <= 2000")
     q["multiline_stitch_lines"] = _MULTILINE
+    q["multiline_stitch_parts"] = """
+      WITH lines AS (SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS i, unnest(string_split(text, chr(10))) AS line FROM documents),
+      numbered AS (SELECT *, sum(CAST(regexp_matches(line, '^[A-D]') AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS rec FROM lines),
+      sized AS (SELECT *, coalesce(sum(strlen(line) + 1) OVER (PARTITION BY doc_id, rec ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM numbered)
+      SELECT doc_id, CAST(rec AS INTEGER) AS rec, CAST(before // 500 AS BIGINT) AS part, string_agg(line, chr(10) ORDER BY i) AS record
+      FROM sized GROUP BY doc_id, rec, before // 500"""
     q["windowed_flags_from_cuts"] = _star() + " SELECT timestamp, log_type, ip, status, is_anomaly, anomaly_type FROM star"
     q["ingest_conservation"] = _base() + """,
       broken AS (SELECT event_id AS e, CASE WHEN event_id % 103 = 0 THEN NULL WHEN event_id % 109 = 0 THEN 'other' ELSE log_type END AS log_type,
@@ -376,6 +381,20 @@ def queries() -> dict[str, str]:
       SELECT g.event_id, g.address AS ip, CASE WHEN g.event_id % 5 IN (0, 2) THEN g.country WHEN g.event_id % 5 = 1 THEN 'Unknown'
              ELSE coalesce(n.n_name, 'Unknown') END AS country
       FROM g LEFT JOIN nation n ON n.n_nationkey = CAST(g.k AS BIGINT) AND n.n_nationkey < 10 AND n.n_nationkey % 5 <> 4"""
+    q["geo_enrich_nested"] = with_(WEBLOG, GEO, f"""
+      octets AS (SELECT CAST(n_nationkey AS BIGINT) AS n, unnest(range(8 * CAST(n_nationkey AS BIGINT) + 1, 8 * CAST(n_nationkey AS BIGINT) + 9)) AS o FROM nation WHERE n_nationkey % 5 <> 4),
+      four AS (SELECT * FROM geo_ranges
+               UNION ALL SELECT o * 16777216 + 2 * 65536, o * 16777216 + 5 * 65536 - 1, 'NATION_' || CAST(n + 2 AS VARCHAR) FROM octets
+               UNION ALL SELECT o * 16777216 + 3 * 65536, o * 16777216 + 4 * 65536 - 1, 'NATION_' || CAST(n + 3 AS VARCHAR) FROM octets
+               UNION ALL SELECT o * 16777216 + 3 * 65536, o * 16777216 + 4 * 65536 - 1, 'NATION_' || CAST(n + 4 AS VARCHAR) FROM octets),
+      a AS (SELECT e, CASE WHEN e % 3 = 0 THEN '2001:db8:' || CAST(u % 13 AS VARCHAR) || '::' || CAST(e % 9999 AS VARCHAR) ELSE ip END AS ip,
+                   CASE WHEN e % 3 > 0 THEN {ip_num_sql('ip')} END AS ip_num, u % 13 AS block, CAST('0x' || CAST(e % 9999 AS VARCHAR) AS BIGINT) AS host FROM wl JOIN (SELECT e, u FROM ev) USING (e))""") + """
+      SELECT a.e AS event_id, any_value(a.ip) AS ip, CASE
+        WHEN a.e % 3 > 0 THEN coalesce(arg_min(four.country, (end_ip - start_ip, -start_ip, four.country)), 'Unknown')
+        WHEN any_value(block) < 10 AND any_value(host) < 5000 THEN 'LOW'
+        ELSE coalesce(any_value(n_name), 'WIDE') END AS country
+      FROM a LEFT JOIN four ON ip_num BETWEEN start_ip AND end_ip LEFT JOIN nation ON n_nationkey = block AND block < 10 AND block % 5 <> 4
+      GROUP BY a.e"""
     q["country_iso"] = _base(GEO, f"g AS ({geo_join('unified')})") + (
         f" SELECT DISTINCT g.country, c.iso_alpha3 FROM g JOIN country_codes c USING (country) "
         f"WHERE {KNOWN_COUNTRY.replace('country', 'g.country')}")
@@ -455,7 +474,7 @@ grid AS (
   SELECT p.page, s.status, coalesce(h."count", 0) AS "count"
   FROM (SELECT DISTINCT page FROM heat) p CROSS JOIN (SELECT DISTINCT status FROM heat) s
   LEFT JOIN heat h ON h.page = p.page AND h.status = s.status)"""
-    cells = ", ".join(f'max("count") FILTER (status = {s}) AS "{s}"' for s in (403, 404, 500))  # the statuses of the derived lines
+    cells = ", ".join(f'max("count") FILTER (status = {s}) AS "{s}"' for s in sorted(s for _, s in STATUSES if s >= 400))  # the statuses of the derived lines
     q["error_heatmap_pivot"] = _star(heat, grid) + f" SELECT page, {cells} FROM grid GROUP BY page"
     q["anomaly_timeline"] = _star() + """
       SELECT timestamp, ip, anomaly_type FROM star WHERE is_anomaly = 1 AND anomaly_type <> ''

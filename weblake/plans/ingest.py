@@ -1,17 +1,17 @@
-"""One batch of raw lines -> quarantine + star schema in the lake.
+"""One batch of raw lines -> quarantine + star schema in the lake, published as one version.
 
 The same function serves a batch backfill and each micro-batch of the
 stream (``foreachBatch``). Parsed lines plus quarantined lines are the input:
-one parse decides both.
+one parse decides both, and the input is read and parsed once.
 
 * A backfill (``whole=True``) sees all rows of every window, so behaviour
-  verdicts are part of the flags. The flagged rows are written once to a
-  staging table beside the star, and the dims and the fact derive from it;
+  verdicts are part of the flags. The parsed rows, unparsed lines among them, are written once to a
+  staging table beside the star; quarantine, page counts, flags, dims and the fact derive from it, and
   nothing is held on executors.
-* A micro-batch (``whole=False``) persists its parsed rows. With windowed
-  rules it flags signatures only and adds its page counts to the lake:
-  the rows of a window may come in several batches, and
-  ``lake.read_star(..., cfg)`` gives the verdicts from all counts so far.
+* A micro-batch (``whole=False``) persists its parsed rows, signature flags included, in one frame. With windowed
+  rules it adds its page counts to the lake, and the verdicts that all counts so far give for its keys:
+  the rows of a window may come in several batches (one writer at a time; a second one's counts are met by a retry), and
+  ``lake.read_star(..., cfg)`` joins the stored verdicts.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from weblake.operators.detect import DetectConfig, flag_signatures, page_counts
 from weblake.operators.detect import flag as flag_events
 from weblake.operators.parse import all_events, unparsed
-from weblake.operators.star import Star
-from weblake.sources import lake
+from weblake.operators.star import DIMS, Star, build_dim, build_fact
+from weblake.sources import lake, versions
 
 
 @dataclass
@@ -45,32 +45,58 @@ def process_batch(batch: DataFrame, batch_id: int, root: str, ranges: DataFrame,
     (unparsed rows have ``ip = ''``). `whole`: the batch is the whole input, no window goes on in another."""
     if batch.isEmpty():
         return BatchResult(batch_id, skipped=True)
+    spark = batch.sparkSession
     if whole:
-        return _backfill(batch, batch_id, root, ranges, cfg, max_bytes, **geo)
-    events = _events(batch, max_bytes).persist(StorageLevel.MEMORY_AND_DISK)
+        lake.publish_batch(spark, root, batch_id, _backfill(batch, batch_id, root, ranges, cfg, max_bytes, **geo))
+        return BatchResult(batch_id)
+    if cfg.mode == "windowed" and lake.holds_merged(spark, root, batch_id):
+        return BatchResult(batch_id, skipped=True)  # its counts are part of merged ones
+    events = _events(batch, max_bytes)
+    events = (flag_signatures(events) if cfg.mode == "windowed" else events).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        segments = []
         good = events.filter(F.col("ip") != "")
         if "message" in events.columns:
-            lake.write_quarantine(unparsed(events), root, batch_id)
+            segments += lake.write_quarantine(unparsed(events), root, batch_id)  # fills the cache
             good = good.drop("message")
         if cfg.mode == "windowed":
-            lake.write_page_counts(page_counts(good, cfg), root, batch_id)
-            flagged = flag_signatures(good)
+            counts = lake.write_page_counts(page_counts(good, cfg), root, batch_id)
+            star = Star.build(good, ranges, **geo)
         else:
-            flagged = flag_events(good, cfg)
-        flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
-        # fill the cache in one job; the dim writes below run concurrently and
-        # would otherwise each compute the flags before the cache exists
-        flagged.count()
-        try:
-            lake.write_star(Star.build(flagged, ranges, **geo), root, batch_id)
-        finally:
-            flagged.unpersist()
+            counts, star = [], _star(good, flag_events(good, cfg), ranges, **geo)
+        segments += lake.write_star(star, root, batch_id) + counts
+        _publish(spark, root, batch_id, segments, counts, cfg)
     finally:
         events.unpersist()
     return BatchResult(batch_id)
 
 
+def _publish(spark, root: str, batch_id: int, segments: list, counts: list, cfg: DetectConfig) -> None:
+    """Publish a micro-batch with its verdicts; they are made again if other counts came meanwhile."""
+    if not counts:
+        lake.publish_batch(spark, root, batch_id, segments)
+        return
+    while True:
+        seen = versions.latest(spark, root)
+        verdicts = lake.write_verdicts(counts, root, batch_id, cfg, seen, spark)
+
+        def same_counts(now):
+            if {r for s in now.of("page_counts") for r in s.batches} != {r for s in seen.of("page_counts") for r in s.batches}:
+                raise versions.Conflict("other counts came")
+
+        try:
+            lake.publish_batch(spark, root, batch_id, segments + verdicts, same_counts)
+            return
+        except versions.Conflict:
+            continue
+
+
+def _star(good: DataFrame, flagged: DataFrame, ranges: DataFrame, **geo) -> Star:
+    """The star of flagged rows; dims that flags play no part in come from the rows before them."""
+    star = Star.build(good.withColumn("is_anomaly", F.lit(0)).withColumn("anomaly_type", F.lit("")), ranges, **geo)
+    return Star(build_fact(flagged), star.dims | {"dim_anomaly_type": build_dim(flagged, DIMS["dim_anomaly_type"])})
+
+
 def _events(batch: DataFrame, max_bytes: int | None) -> DataFrame:
     """Unified events; the raw line is only kept where it is needed, in unparsed rows."""
     if is_parsed_batch(batch):
@@ -83,14 +109,11 @@ def _events(batch: DataFrame, max_bytes: int | None) -> DataFrame:
 
 
 def _backfill(batch: DataFrame, batch_id: int, root: str, ranges: DataFrame, cfg: DetectConfig,
-              max_bytes: int | None, **geo) -> BatchResult:
-    events = _events(batch, max_bytes)
-    if "message" in events.columns:
-        lake.write_quarantine(unparsed(events), root, batch_id)
-        events = events.drop("message")
-    flagged = lake.staged(flag_events(events.filter(F.col("ip") != ""), cfg), root, batch_id)
-    lake.write_star(Star.build(flagged, ranges, **geo), root, batch_id)
-    return BatchResult(batch_id)
+              max_bytes: int | None, **geo) -> list:
+    events = lake.staged(_events(batch, max_bytes), root, batch_id)
+    bad = lake.write_quarantine(unparsed(events), root, batch_id) if "message" in events.columns else []
+    good = events.filter(F.col("ip") != "").drop("message")
+    return bad + lake.write_star(_star(good, flag_events(good, cfg), ranges, **geo), root, batch_id)
 
 
 def _fingerprint(spark, inputs: list[str], extra: str) -> str:
@@ -111,11 +134,11 @@ def _code_digest() -> str:
     import hashlib
     import inspect
 
+    from weblake import fixtures
     from weblake.functions import ip, patterns
     from weblake.operators import detect, geo, parse, star
-    from weblake.sources import weblog
 
-    return hashlib.sha256("".join(inspect.getsource(m) for m in (ip, patterns, detect, geo, parse, star, weblog, lake)).encode()).hexdigest()
+    return hashlib.sha256("".join(inspect.getsource(m) for m in (ip, patterns, detect, geo, parse, star, fixtures, lake, versions)).encode()).hexdigest()
 
 
 def ensure_lake(spark, lines, inputs: list[str], ranges, cfg: DetectConfig,

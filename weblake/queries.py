@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType, TimestampType
 
+from weblake import fixtures
+from weblake.fixtures import read_table, read_weblog, weblog_fields
 from weblake.operators import detect, geo, parse, star as star_mod
 from weblake.operators.detect import DAILY_TEST, PER_BATCH
 from weblake.plans import forecast as fc
@@ -24,7 +26,6 @@ from weblake.plans.ingest import ensure_lake, process_batch
 from weblake.schemas import QUARANTINE_SCHEMA
 from weblake.session import checkpoint_dir, prepare
 from weblake.sources import envelope, lake, text
-from weblake.sources.weblog import read_table, read_weblog, weblog_fields
 
 # the star the reports read is flagged with daily windows (see DAILY_TEST)
 STAR_CONFIG = DAILY_TEST
@@ -33,6 +34,7 @@ LIST_FILTER = Filters(start="2024-01-05 00:00:00", end="2024-01-25 23:59:59",
                       statuses=(200, 404), countries=("NATION_1", "NATION_2", "NATION_3"),
                       methods=("GET",))
 OVERSIZE_TEST_BYTES = 2_000
+PART_TEST_BYTES = 500
 
 
 def present(df: DataFrame) -> DataFrame:
@@ -57,11 +59,11 @@ def events(spark, d):
 
 
 def ranges(spark, d):
-    return geo.geo_ranges_from_nation(read_table(spark, d, "nation"))
+    return fixtures.geo_ranges_from_nation(read_table(spark, d, "nation"))
 
 
 def codes(spark, d):
-    return geo.country_codes_from_nation(read_table(spark, d, "nation"))
+    return fixtures.country_codes_from_nation(read_table(spark, d, "nation"))
 
 
 def star_in_memory(spark, d) -> star_mod.Star:
@@ -151,11 +153,21 @@ def _multiline(s, p):
     return text.stitch(docs, "text", "[A-Z]", keep=("doc_id",))
 
 
-def _stitch_lines(s, p):
-    """The line-wise stitching of log files: each document a file, cut into splits of 16 lines."""
+def _split_lines(s, p):
+    """Each document a file, cut into splits of 16 lines."""
     docs = read_table(s, p, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("seq", "line"))
-    split = docs.select(F.col("doc_id").alias("file"), (F.col("seq") - F.col("seq") % 16).alias("blk"), "seq", "line")
-    return text.stitch_lines(split, "[A-Z]").select(F.col("file").alias("doc_id"), F.col("rec").cast("int").alias("rec"), "record")
+    return docs.select(F.col("doc_id").alias("file"), (F.col("seq") - F.col("seq") % 16).alias("blk"), "seq", "line")
+
+
+def _stitch_parts(s, p):
+    """Records in parts of bounded size; a record goes on over several splits where they have no start line."""
+    found = text.stitch_lines(_split_lines(s, p), "[A-D]", max_bytes=PART_TEST_BYTES)
+    return found.select(F.col("file").alias("doc_id"), F.col("rec").cast("int").alias("rec"), "part", "record")
+
+
+def _stitch_lines(s, p):
+    """The line-wise stitching of log files."""
+    return text.stitch_lines(_split_lines(s, p), "[A-Z]").select(F.col("file").alias("doc_id"), F.col("rec").cast("int").alias("rec"), "record")
 
 
 def _oversize(s, p):
@@ -190,10 +202,19 @@ def _geo_v6(s, p):
     fields = weblog_fields(read_table(s, p, "events")).select("event_id", "ip", F.split("ip", r"\.")[1].alias("k"))
     own = F.concat(F.lit("2001:db8:"), "k", F.lit("::"), (e % 9999).cast("string"))
     text6 = F.when(e % 5 == 0, F.concat(F.lit("::ffff:"), ip)).when(e % 5 == 1, F.lit("zz::1")).when(e % 5 == 2, ip).otherwise(own)
-    index = geo.geo_index(ranges(s, p), ranges_v6=geo.geo_ranges_v6_from_nation(read_table(s, p, "nation")))
+    index = geo.geo_index(ranges(s, p), ranges_v6=fixtures.geo_ranges_v6_from_nation(read_table(s, p, "nation")))
     return geo.enrich_country(fields.select("event_id", text6.alias("ip")), index)
 
 
+def _geo_nested(s, p):
+    """Addresses of both families in blocks that overlap: the most specific block says the country."""
+    nation = read_table(s, p, "nation")
+    fields = weblog_fields(read_table(s, p, "events")).select("event_id", "ip")
+    own = read_table(s, p, "events").select("event_id", F.concat(F.lit("2001:db8:"), (F.col("user_id") % 13).cast("string"), F.lit("::"), (F.col("event_id") % 9999).cast("string")).alias("own"))
+    text = fields.join(own, "event_id").select("event_id", F.when(F.col("event_id") % 3 == 0, F.col("own")).otherwise(F.col("ip")).alias("ip"))
+    return geo.enrich_country(text, geo.geo_index(fixtures.nested_ranges_from_nation(nation), ranges_v6=fixtures.nested_ranges_v6_from_nation(nation)))
+
+
 def _country_iso(s, p):
     enriched = geo.enrich_country(events(s, p), ranges(s, p))
     known = enriched.filter(geo.known_country()).select("country").distinct()
@@ -284,6 +305,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "month_partition_counts": _month_counts,
     "replacing_dedupe": _keep_last,
     "multiline_stitch_lines": _stitch_lines,
+    "multiline_stitch_parts": _stitch_parts,
     "quarantine": lambda s, p: lake.read_table(s, star_root(s, p), "quarantine", QUARANTINE_SCHEMA).select("log_type", "message"),
     "ingest_conservation": _conservation,
     "dim_ip_refresh": _dim_refresh,
@@ -302,6 +324,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # geo
     "geo_enrich": lambda s, p: geo.enrich_country(events(s, p), ranges(s, p)),
     "geo_enrich_v6": _geo_v6,
+    "geo_enrich_nested": _geo_nested,
     "country_iso": _country_iso,
     # star
     "dim_ip": _natural("dim_ip"),

@@ -41,7 +41,11 @@ QUARANTINE_SCHEMA = StructType([
 
 PAGE_COUNTS_SCHEMA = StructType([
     StructField("window_start", T), StructField("ip", S), StructField("page", S), StructField("n", L),
-    StructField("lp", L), StructField("ip_id", L), StructField("batch_id", L),
+    StructField("lp", L), StructField("ip_id", L), StructField("batch_id", L), StructField("event_month", S),
+])
+
+VERDICTS_SCHEMA = StructType([
+    StructField("window_start", T), StructField("ip_id", L), StructField("rank", I), StructField("batch_id", L), StructField("event_month", S),
 ])
 
 DIM_SCHEMAS = {name: d.schema for name, d in DIMS.items()}
@@ -49,5 +53,5 @@ DIM_SCHEMAS = {name: d.schema for name, d in DIMS.items()}
 ALL = {
     "envelope": ENVELOPE_SCHEMA, "event": EVENT_SCHEMA, "fact": FACT_SCHEMA,
     "predictions": PREDICTIONS_SCHEMA, "geo_ranges": GEO_RANGES_SCHEMA,
-    "country_codes": COUNTRY_CODES_SCHEMA, "quarantine": QUARANTINE_SCHEMA, "page_counts": PAGE_COUNTS_SCHEMA, **DIM_SCHEMAS,
+    "country_codes": COUNTRY_CODES_SCHEMA, "quarantine": QUARANTINE_SCHEMA, "page_counts": PAGE_COUNTS_SCHEMA, "verdicts": VERDICTS_SCHEMA, **DIM_SCHEMAS,
 }

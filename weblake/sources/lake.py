@@ -1,42 +1,47 @@
-"""Parquet lake for the star schema: replay-safe writes, keep-last reads.
+"""Parquet lake for the star schema: versions, replay-safe writes, keep-last reads.
 
 Layout under one root folder::
 
-    fact/event_month=YYYYMM/batch_id=N/*.parquet   (ranges of timestamp, sorted)
-    dim_ip/batch_id=N/ dim_request/ dim_user_agent/ dim_error_details/ dim_anomaly_type/
-    page_counts/batch_id=N/   (rows per window, address and page of a stream's batches)
-    quarantine/batch_id=N/
-    staging/batch_id=N/
-    predictions/
-
-* Fact: dynamic partition overwrite of the batch's partitions, so writing a
-  batch twice (a restart after a partial write) leaves one copy.
-* Dims: each batch writes the keys it saw to a partition of its own, without
-  reading what is stored. A read keeps the last batch's row of each id, so
-  newer attributes win and a join never multiplies fact rows, however many
-  writers there were; a dim of one batch (a backfill, or after
-  :func:`compact_dims`) is unique as written.
+    fact/at=<batch>-<token>/event_month=YYYYMM/*.parquet   (ranges of timestamp, sorted)
+    dim_ip/at=.../*.parquet     dim_request/ dim_user_agent/ dim_error_details/ dim_anomaly_type/
+    page_counts/at=.../event_month=YYYYMM/   (rows per window, address and page of a stream's batches)
+    verdicts/at=.../event_month=YYYYMM/      (behaviour verdicts per window and address, best last)
+    quarantine/at=.../          predictions/at=.../
+    _versions/<number>.json     staging/batch_id=N/
+
+* Writing a batch adds folders and publishes one version that names them in all tables
+  (:mod:`weblake.sources.versions`). A batch written twice (a restart after a partial write) leaves one copy.
+* Dims: each batch writes the keys it saw, without reading what is stored. A read keeps the last batch's row of each id, so
+  newer attributes win and a join never multiplies fact rows, however many writers there were; a dim of one segment (a
+  backfill, or after :func:`compact`) is unique as written.
+* Verdicts: a batch adds what all counts so far say about the windows and addresses that it touches. Counts only grow, and with
+  them the rank of a verdict, so the highest rank of a key is the right one, in whatever order rows come. A row stands in every
+  month that its window touches, so a fact row finds it in its own month, and a filter on months prunes both tables.
 * Month partitions let a time filter prune whole months; within a month rows are dealt to
-  files by ranges of time, so row-group min/max on ``timestamp`` are tight. :func:`compact_fact`
-  rewrites closed months, so that their files follow their size and not the number of batches.
+  files by ranges of time, so row-group min/max on ``timestamp`` are tight.
+* :func:`compact` merges segments of like size, so that files follow the rows and not the number of batches. Readers go on
+  with the version they have.
 * Missing tables read as empty ones.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from weblake.functions.patterns import LOGIN_ATTACK, REQUEST_RATE_ANOMALY, SCANNING_ACTIVITY
-from weblake.operators.detect import DetectConfig, with_verdicts
-from weblake.operators.star import DIMS, FACT_SCHEMA, Star, keep_last
-from weblake.schemas import PAGE_COUNTS_SCHEMA, PREDICTIONS_SCHEMA
-from weblake.sources import fs
+from weblake.operators.detect import BEHAVIOUR_RANKS, DetectConfig, behaviour_verdict, profile_of, ranked_verdict, window_seconds, with_verdict_rows
+from weblake.operators.star import DIMS, FACT_SCHEMA, Star, event_month, keep_last
+from weblake.schemas import DIM_SCHEMAS, PAGE_COUNTS_SCHEMA, PREDICTIONS_SCHEMA, QUARANTINE_SCHEMA, VERDICTS_SCHEMA
+from weblake.sources import fs, versions
+from weblake.sources.versions import Segment, Version
 
-BEHAVIOUR_TYPES = (LOGIN_ATTACK, SCANNING_ACTIVITY, REQUEST_RATE_ANOMALY)
+SCHEMAS = {"fact": FACT_SCHEMA, "page_counts": PAGE_COUNTS_SCHEMA, "verdicts": VERDICTS_SCHEMA, "quarantine": QUARANTINE_SCHEMA,
+           "predictions": PREDICTIONS_SCHEMA, **DIM_SCHEMAS}
+MONTH = "event_month"
 
 
 def _p(root: str, name: str) -> str:
@@ -47,27 +52,58 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(spark, path)
 
 
-def write_fact(fact: DataFrame, root: str, batch_id: int) -> None:
-    (fact.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-     .repartitionByRange("event_month", "timestamp", "ip_id")
-     .sortWithinPartitions("event_month", "timestamp", "ip_id")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("event_month", "batch_id").parquet(_p(root, "fact")))
+def add(df: DataFrame, table: str, root: str, batches: tuple[tuple[int, int], ...], level: int = 0, **options) -> list[Segment]:
+    """Write the rows to a folder of their own; the segments, not published yet."""
+    spark, folder = df.sparkSession, f"at={batches[-1][1]}-{uuid.uuid4().hex[:12]}"
+    writer, path = df.write.options(**options), f"{_p(root, table)}/{folder}"
+    if MONTH not in df.columns:
+        writer.parquet(path)
+        return [Segment(table, f"{table}/{folder}", None, batches, level)]
+    writer.partitionBy(MONTH).parquet(path)
+    months = sorted(n for n in fs.names(spark, path) if n.startswith(MONTH + "="))
+    return [Segment(table, f"{table}/{folder}/{m}", m.split("=", 1)[1], batches, level) for m in months]
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """One batch's partition of a table, overwritten if it is written again."""
-    (df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(path))
+def _of_batch(df: DataFrame, batch_id: int) -> DataFrame:
+    return df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
 
 
-def write_dim(dim: DataFrame, name: str, root: str, batch_id: int) -> None:
-    _write_batch(dim.select(*DIMS[name].columns), _p(root, name), batch_id)
+def _in_time_order(fact: DataFrame, parts: int | None = None) -> DataFrame:
+    keys = (MONTH, "timestamp", "ip_id")
+    dealt = fact.repartitionByRange(parts, *keys) if parts else fact.repartitionByRange(*keys)
+    return dealt.sortWithinPartitions(*keys)
 
 
-def write_page_counts(counts: DataFrame, root: str, batch_id: int) -> None:
-    _write_batch(counts.withColumn("ip_id", F.xxhash64("ip")), _p(root, "page_counts"), batch_id)
+def write_fact(fact: DataFrame, root: str, batch_id: int) -> list[Segment]:
+    return add(_in_time_order(_of_batch(fact, batch_id)), "fact", root, ((batch_id, batch_id),))
+
+
+def write_dim(dim: DataFrame, name: str, root: str, batch_id: int) -> list[Segment]:
+    return add(_of_batch(dim.select(*DIMS[name].columns), batch_id), name, root, ((batch_id, batch_id),))
+
+
+def write_page_counts(counts: DataFrame, root: str, batch_id: int) -> list[Segment]:
+    keyed = counts.withColumn("ip_id", F.xxhash64("ip")).withColumn(MONTH, event_month("window_start"))
+    return add(_of_batch(keyed, batch_id).repartition(MONTH, "window_start").sortWithinPartitions(MONTH, "window_start"), "page_counts", root, ((batch_id, batch_id),))
+
+
+def write_verdicts(own: list[Segment], root: str, batch_id: int, cfg: DetectConfig, now: Version, spark: SparkSession) -> list[Segment]:
+    """What the counts of version `now` and those of the batch (`own`, not published yet) say about the keys of the batch."""
+    mine = read_segments(spark, root, own, "page_counts")
+    spans = {r[0]: r[1:] for r in mine.groupBy(MONTH).agg(F.min("window_start"), F.max("window_start")).collect()}  # a row per month
+    before = [s for s in now.of("page_counts") if s.month in spans and not (s.level == 0 and s.holds(batch_id))]
+    counts = mine
+    if before:
+        low, high = min(a for a, _ in spans.values()), max(b for _, b in spans.values())
+        keys = mine.select("window_start", "ip_id").distinct()
+        stored = read_segments(spark, root, before, "page_counts").filter(F.col("window_start").between(F.lit(low), F.lit(high)))
+        counts = counts.unionByName(stored.join(keys, ["window_start", "ip_id"], "left_semi"))
+    per_page = counts.groupBy("window_start", "ip_id", "page").agg(F.sum("n").alias("n"), F.sum("lp").alias("lp"))
+    judged = behaviour_verdict(profile_of(per_page.withColumnRenamed("ip_id", "ip"), cfg), cfg).withColumnRenamed("ip", "ip_id")
+    rows = judged.select("window_start", "ip_id", ranked_verdict("behavioral_anomaly_type").alias("rank")).filter("rank > 0")
+    last = F.timestamp_seconds(F.unix_seconds("window_start") + window_seconds(cfg.window) - 1)
+    months = F.transform(F.sequence(F.trunc("window_start", "month"), F.trunc(last, "month"), F.expr("INTERVAL 1 MONTH")), lambda d: F.date_format(d, "yyyyMM"))
+    return add(_of_batch(rows.withColumn(MONTH, F.explode(months)), batch_id), "verdicts", root, ((batch_id, batch_id),))
 
 
 def staged(df: DataFrame, root: str, batch_id: int) -> DataFrame:
@@ -77,84 +113,121 @@ def staged(df: DataFrame, root: str, batch_id: int) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_star(star: Star, root: str, batch_id: int, parallel: bool = True) -> None:
-    """Dims first, then the fact: a reader never sees fact ids without dims.
+def write_star(star: Star, root: str, batch_id: int, parallel: bool = True) -> list[Segment]:
+    """Dims and fact. The dimension writes are independent jobs over the same input, so they are submitted together
+    from threads and share the cluster."""
+    jobs = [lambda d=dim, n=name: write_dim(d, n, root, batch_id) for name, dim in star.dims.items()]
+    jobs.append(lambda: write_fact(star.fact, root, batch_id))
+    if not parallel:
+        return [s for job in jobs for s in job()]
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [s for f in [pool.submit(job) for job in jobs] for s in f.result()]
 
-    The five dimension writes are independent jobs over the same persisted
-    input, so they are submitted together from threads and share the cluster.
-    """
-    items = list(star.dims.items())
-    if parallel and len(items) > 1:
-        from concurrent.futures import ThreadPoolExecutor
 
-        with ThreadPoolExecutor(max_workers=len(items)) as pool:
-            for f in [pool.submit(write_dim, dim, name, root, batch_id) for name, dim in items]:
-                f.result()
-    else:
-        for name, dim in items:
-            write_dim(dim, name, root, batch_id)
-    write_fact(star.fact, root, batch_id)
+def write_quarantine(bad: DataFrame, root: str, batch_id: int) -> list[Segment]:
+    return add(_of_batch(bad, batch_id), "quarantine", root, ((batch_id, batch_id),))
 
 
-def write_quarantine(bad: DataFrame, root: str, batch_id: int) -> None:
-    _write_batch(bad, _p(root, "quarantine"), batch_id)
+def publish_batch(spark: SparkSession, root: str, batch_id: int, segments: list[Segment], check=None) -> Version:
+    return versions.publish(spark, root, versions.batch_change(batch_id, segments, check))
+
+
+def holds_merged(spark: SparkSession, root: str, batch_id: int) -> bool:
+    """Whether a batch was published and is part of a merged segment: a replay of it has nothing to add there."""
+    return any(s.level and s.holds(batch_id) for s in versions.latest(spark, root).segments)
 
 
 def write_predictions(pred: DataFrame, root: str) -> None:
-    """Replace the stored forecast (truncate + insert)."""
-    pred.write.mode("overwrite").parquet(_p(root, "predictions"))
+    """Replace the stored forecast (truncate + insert); readers see the old one or the new one."""
+    new = add(pred, "predictions", root, ((0, 0),))
+    versions.publish(pred.sparkSession, root, lambda now: [s for s in now.segments if s.table != "predictions"] + new)
+
 
+def read_segments(spark: SparkSession, root: str, segments: list[Segment], table: str, schema: StructType | None = None) -> DataFrame:
+    schema = schema or SCHEMAS[table]
+    if not segments:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", _p(root, table)).parquet(*[_p(root, s.path) for s in segments]).select(*schema.names)
 
-def read_table(spark: SparkSession, root: str, name: str, schema: StructType) -> DataFrame:
-    """A table of the lake with its declared schema; empty where nothing was written yet."""
-    path = _p(root, name)
-    return spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
 
+def read_table(spark: SparkSession, root: str, name: str, schema: StructType, version: Version | None = None) -> DataFrame:
+    """A table of the lake with its declared schema, of a version or the newest; empty where nothing was written yet."""
+    return read_segments(spark, root, (version or versions.latest(spark, root)).of(name), name, schema)
 
-def read_dim(spark: SparkSession, root: str, name: str) -> DataFrame:
+
+def read_dim(spark: SparkSession, root: str, name: str, version: Version | None = None) -> DataFrame:
     """One row per id, that of the last batch."""
-    d = DIMS[name]
-    raw = read_table(spark, root, name, d.schema)
-    if fs.children(spark, _p(root, name), "batch_id=") <= 1:
+    d, version = DIMS[name], version or versions.latest(spark, root)
+    raw = read_table(spark, root, name, d.schema, version)
+    if len(version.of(name)) <= 1:
         return raw.select(*d.columns)
     return keep_last(raw, d.id_col, "batch_id", [*d.columns, "batch_id"]).select(*d.columns)
 
 
-def read_star(spark: SparkSession, root: str, cfg: DetectConfig | None = None) -> Star:
-    """Fact and dims of a lake folder. With `cfg` (a stream's, windowed), rows without a signature anomaly get
-    the behaviour verdict that all batches' page counts give for their window and address."""
-    fact = read_table(spark, root, "fact", FACT_SCHEMA)
-    dims = {name: read_dim(spark, root, name) for name in DIMS}
+def read_star(spark: SparkSession, root: str, cfg: DetectConfig | None = None, version: Version | None = None) -> Star:
+    """Fact and dims of one version of a lake. With `cfg` (a stream's, windowed), rows without a signature anomaly get
+    the stored behaviour verdict of their window and address."""
+    version = version or versions.latest(spark, root)
+    fact = read_table(spark, root, "fact", FACT_SCHEMA, version)
+    dims = {name: read_dim(spark, root, name, version) for name in DIMS}
     if cfg is not None and cfg.mode == "windowed":
-        counts = read_table(spark, root, "page_counts", PAGE_COUNTS_SCHEMA)
-        counts = counts.groupBy("window_start", "ip_id", "page").agg(F.sum("n").alias("n"), F.sum("lp").alias("lp"))
+        stored = read_table(spark, root, "verdicts", VERDICTS_SCHEMA, version)
+        best = stored.groupBy(MONTH, "window_start", "ip_id").agg(F.max("rank").alias("rank"))
         kind = F.when(F.col("is_anomaly") == 0, F.col("behavioral_anomaly_type"))
-        fact = with_verdicts(fact, counts, cfg, hot="ip_id").select(
+        fact = with_verdict_rows(fact, best, cfg).select(
             *[F.coalesce("anomaly_type_id", F.xxhash64(kind)).alias(c) if c == "anomaly_type_id" else
               F.when(kind.isNotNull(), 1).otherwise(F.col(c)).alias(c) if c == "is_anomaly" else c for c in fact.columns])
         fact = fact.withColumn("anomaly_type_id", F.when(F.col("is_anomaly") == 1, F.col("anomaly_type_id")))
-        types = spark.createDataFrame([(t,) for t in BEHAVIOUR_TYPES], "anomaly_type string").select(F.xxhash64("anomaly_type").alias("anomaly_type_id"), "anomaly_type")
+        types = spark.createDataFrame([(t,) for t in BEHAVIOUR_RANKS], "anomaly_type string").select(F.xxhash64("anomaly_type").alias("anomaly_type_id"), "anomaly_type")
         dims["dim_anomaly_type"] = dims["dim_anomaly_type"].unionByName(types).distinct()
     return Star(fact, dims)
 
 
-def compact_dims(spark: SparkSession, root: str, target: str) -> None:
-    """Rewrite every dim with one row per id (the last batch's) as one batch, to `target`."""
-    for name, d in DIMS.items():
-        raw = read_table(spark, root, name, d.schema)
-        last = raw.agg(F.max("batch_id")).first()[0]
-        if last is not None:
-            _write_batch(read_dim(spark, root, name), _p(target, name), last)
-
-
-def compact_fact(spark: SparkSession, root: str, target: str, before_month: str, rows_per_file: int = 5_000_000) -> None:
-    """Rewrite the months before `before_month` (YYYYMM; no batch may still write to them) to `target`: rows in
-    order of time, files by size. The rows become batch -1, so a replay of a batch into open months stays a replay."""
-    fact = read_table(spark, root, "fact", FACT_SCHEMA).filter(F.col("event_month") < before_month)
-    (fact.withColumn("batch_id", F.lit(-1).cast("bigint")).repartitionByRange("event_month", "timestamp", "ip_id")
-     .sortWithinPartitions("event_month", "timestamp", "ip_id")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file)
-     .partitionBy("event_month", "batch_id").parquet(_p(target, "fact")))
+def _merged(table: str, rows: DataFrame) -> DataFrame:
+    """The rows that stand for those of several segments of a table."""
+    if table in DIMS:
+        d = DIMS[table]
+        return keep_last(rows, d.id_col, "batch_id", [*d.columns, "batch_id"]).join(rows.groupBy(d.id_col).agg(F.max("batch_id").alias("batch_id")), d.id_col)
+    if table == "page_counts":
+        return rows.groupBy("window_start", "ip", "page", "ip_id", MONTH).agg(F.sum("n").alias("n"), F.sum("lp").alias("lp"), F.max("batch_id").alias("batch_id")).repartition(MONTH, "window_start").sortWithinPartitions(MONTH, "window_start")
+    if table == "verdicts":
+        return rows.groupBy("window_start", "ip_id", MONTH).agg(F.max("rank").alias("rank"), F.max("batch_id").alias("batch_id"))
+    return rows
+
+
+def compact(spark: SparkSession, root: str, up_to_batch: int | None = None, fanout: int = 8, rows_per_file: int = 5_000_000, whole: bool = False) -> int:
+    """Merge, per table and month, segments of one level into one of the next while there are `fanout` of them; the number of
+    merged segments. `whole`: all segments of a table and month become one, whatever their levels. Segments of batches after `up_to_batch` are left alone. Each merge is published as a version of its own;
+    one whose segments a writer replaced meanwhile is dropped and its rows stay where they are.
+
+    Rows of dims, page counts and verdicts become one per key; the fact is put in order of time again, its files sized by
+    `rows_per_file`. The other tables' files are sized by Spark's shuffle."""
+    done = 0
+    while True:
+        groups: dict[tuple, list[Segment]] = {}
+        for s in versions.latest(spark, root).segments:
+            if s.table != "predictions" and (up_to_batch is None or s.last <= up_to_batch):
+                groups.setdefault((s.table, s.month, None if whole else s.level), []).append(s)
+        ripe = {k: g for k, g in groups.items() if len(g) >= (2 if whole else fanout)}
+        if not ripe:
+            return done
+        merged = 0
+        for (table, _, _), old in ripe.items():
+            rows = read_segments(spark, root, old, table)
+            if table == "fact":
+                rows = _in_time_order(rows, max(1, -(-rows.count() // rows_per_file)))
+            batches = versions.union([r for s in old for r in s.batches])
+            new = add(_merged(table, rows), table, root, batches, max(s.level for s in old) + 1, **({"maxRecordsPerFile": rows_per_file} if table == "fact" else {}))
+            try:
+                versions.publish(spark, root, versions.merge_change(old, new))
+                merged += len(old)
+            except versions.Conflict:
+                continue
+        done += merged
+        if not merged:
+            return done
 
 
 def read_predictions(spark: SparkSession, root: str) -> DataFrame:
