@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 
 from conftest import SF001
 from odd_rows import no_docs, odd_docs  # noqa: F401
-from weblake.llm import idstore, packing
+from weblake.llm import idstore, packing, tokens
 from weblake.llm.queries import BYTE_BPE, QUERIES
 from weblake.llm.tokens import TokenIds
 from weblake.session import checkpoint_dir
@@ -16,19 +16,29 @@ from weblake.session import checkpoint_dir
 @pytest.fixture(scope="module")
 def library():
     t = Tokenizer.from_file(BYTE_BPE)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
 def test_ids_equal_the_library(spark, library):
     own = TokenIds(BYTE_BPE)
     texts = [r.text for r in spark.read.parquet(f"{SF001}/documents.parquet").limit(60).collect()]
-    texts += ["", " ", "a  b", " a", "a ", "a \n b", "日本 語、x", "a\x1c b", "don't 12ab ½ ²x", "\n\n a", "a b c", "x <|endoftext|> y", "😀 ok"]
+    texts += ["", " ", "a  b", " a", "a ", "a \n b", "日本 語、x", "a\x1c b", "don't 12ab ½ ²x", "\n\n a", "a b c", "x <|endoftext|> y", "x<|endoftext|>", "<|endoftext|", "😀 ok", "'tis it's 'a", "--a 12.5% (b)"]
     rng = random.Random(3)
     texts += ["".join(rng.choice("ab1 .\n\té日'") for _ in range(30)) for _ in range(500)]
     assert [np.frombuffer(own.ids(t), "<u4").tolist() for t in texts] == [library(t) for t in texts]
 
 
+def test_words_come_back_from_the_older_generation(library, monkeypatch):
+    monkeypatch.setattr(tokens, "GENERATION", 5_000)
+    own, rng = TokenIds(BYTE_BPE), random.Random(1)
+    texts = ["x " + " ".join(f"w{rng.randint(0, 60)}.{rng.randint(0, 9)}" for _ in range(50)) for _ in range(30)]
+    for _ in range(2):
+        assert [np.frombuffer(own.ids(t), "<u4").tolist() for t in texts] == [library(t) for t in texts]
+        assert own.words.older and sum(len(k) + len(v) + tokens.ENTRY for k, v in own.words.items()) <= 5_000
+        own.rest(keep=False)
+        assert not own.words and not own.words.older and not own.words.inner
+
+
 @pytest.mark.parametrize("capacity,tail", [(1024, 32), (64, 8), (100, 7), (1, 1)])
 def test_cuts(capacity, tail):
     for n in range(1, 3 * capacity + 5):

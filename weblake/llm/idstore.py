@@ -122,7 +122,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
                 ids_, texts = b.column(0), b.column(1)
                 for i in range(b.num_rows):
                     shard.add(ids_[i].as_py(), encode(texts[i].as_py()) + end)
-        TokenIds.of(tokenizer).clear()
+        TokenIds.of(tokenizer).rest(keep=True)
         yield pa.RecordBatch.from_pydict({"part": [part], "name": [name], "docs": [len(shard.index)], "ids": [shard.ids]})
 
     order = (F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))

@@ -88,9 +88,9 @@ class HarmonicBins:
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 0, tail: int = 32,
-         doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+         doc_id: str = "doc_id", text: str = "text", keep: bool = True) -> DataFrame:
     """One row per piece (SCHEMA): where it lies in its document and in its sequence, and its ids
-    as little-endian uint32. Sequence ids are unique, not gapless."""
+    as little-endian uint32. Sequence ids are unique, not gapless. `keep`: whether Python workers keep their dictionaries for later tasks."""
     end = end_id.to_bytes(4, "little")
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
                         ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()),
@@ -116,7 +116,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 0,
                     yield batch(bins.closed)
                     bins.closed = []
         bins.finish()
-        TokenIds.of(tokenizer).clear()
+        TokenIds.of(tokenizer).rest(keep)
         yield batch(bins.closed)
 
     return (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))

@@ -2,8 +2,10 @@
 
 Byte-level BPE never merges across a pre-token, and a cut before a single space between two
 non-space characters is always a pre-token boundary. Each text is therefore cut at such spaces
-and every distinct piece is encoded once per Python worker; a bounded dictionary keeps the ids.
-A text in which a space touches any other white space is encoded in one call instead.
+and every distinct piece is encoded once per Python worker. The ids are kept from task to task, in two generations of
+at most `GENERATION` bytes: when the younger is full it becomes the older, whose words come back when they are met again.
+A text in which a space touches any other white space, or that holds one of the tokenizer's special strings, is encoded in
+one call instead.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import regex
 from tokenizers import Tokenizer
 
 GPT2_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed value
-MAX_ENTRIES = 250_000
+GENERATION, ENTRY = 96 << 20, 190  # bytes; of an entry besides its key and ids
 
 # Characters whose Unicode class every regex engine agrees on, so that GPT2_SPLIT gives the
 # library's own pre-tokens.
@@ -36,37 +38,55 @@ def _byte_letters() -> str:
     return "".join(chr(b) if b in kept else chr(next(rest)) for b in range(256))
 
 
-class _PreTokens(dict):
-    def __init__(self, model):
-        self.model, self.letters = model, _byte_letters()
+class _Kept(dict):
+    """Ids by string: the younger generation; a miss looks into the older one before it computes."""
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MAX_ENTRIES:
+    def __init__(self, compute):
+        self.compute, self.older, self.size = compute, {}, 0
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.older.get(key)
+        if ids is None:
+            ids = self.compute(key)
+        self.size += len(key) + len(ids) + ENTRY
+        if self.size > GENERATION:
+            self.older, self.size = dict(self), 0
             self.clear()
-        word = codecs.charmap_decode(piece.encode(), "strict", self.letters)[0]
-        self[piece] = ids = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+        self[key] = ids
         return ids
 
+    def forget(self) -> None:
+        self.clear()
+        self.older, self.size = {}, 0
 
-class _Words(dict):
+
+class _Words(_Kept):
     """Ids of a space and the key."""
 
     def __init__(self, tokenizer: Tokenizer):
-        self.tokenizer = tokenizer
+        super().__init__(self.word)
+        self.tokenizer, self.model, self.letters = tokenizer, tokenizer.model, _byte_letters()
         self.split = regex.compile(GPT2_SPLIT).findall
-        self.pre = _PreTokens(tokenizer.model)
+        self.inner = _Kept(self.piece)
+
+    def piece(self, piece: str) -> bytes:
+        """Ids of one pre-token."""
+        word = codecs.charmap_decode(piece.encode(), "strict", self.letters)[0]
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
-    def __missing__(self, word: str) -> bytes:
+    def word(self, word: str) -> bytes:
         if _PLAIN(word):
-            ids = b"".join(map(self.pre.__getitem__, self.split(" " + word)))
-        elif word and _EDGE(word[0]) and _EDGE(word[-1]):
-            ids = _whole(self.tokenizer, " " + word)
-        else:
-            raise _Unsafe
-        if len(self) >= MAX_ENTRIES:
-            self.clear()
-        self[word] = ids
-        return ids
+            first, *rest = self.split(" " + word)
+            if not rest:
+                return self.piece(first)
+            return (self[first[1:]] if len(first) > 1 else self.inner[first]) + b"".join(map(self.inner.__getitem__, rest))
+        if word and _EDGE(word[0]) and _EDGE(word[-1]):
+            return _whole(self.tokenizer, " " + word)
+        raise _Unsafe
+
+    def forget(self) -> None:
+        super().forget()
+        self.inner.forget()
 
 
 def _whole(tokenizer: Tokenizer, text: str) -> bytes:
@@ -74,13 +94,13 @@ def _whole(tokenizer: Tokenizer, text: str) -> bytes:
 
 
 class TokenIds:
-    """`ids(text)`: the text's token ids as little-endian uint32 bytes; control strings in a text are plain text."""
+    """`ids(text)`: the text's token ids as little-endian uint32 bytes, as the library's `encode(text, add_special_tokens=False)` gives them."""
 
     _loaded: dict[str, "TokenIds"] = {}
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words = _Words(self.tokenizer)
 
     @classmethod
@@ -90,15 +110,17 @@ class TokenIds:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def clear(self) -> None:
-        """Let the dictionaries go, at the end of a task: the worker lives on."""
-        self.words.clear()
-        self.words.pre.clear()
+    def rest(self, keep: bool) -> None:
+        """At the end of a task: unused memory goes, and the ids, too, if they are not to be kept; the worker lives on."""
+        if not keep:
+            self.words.forget()
         pa.default_memory_pool().release_unused()
 
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if any(s in text for s in self.special):
+            return _whole(self.tokenizer, text)
         first, *rest = text.split(" ")
         if rest and (not first or _EDGE(first[-1])):
             try:
