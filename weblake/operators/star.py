@@ -162,6 +162,9 @@ class Star:
 
     fact: DataFrame
     dims: dict[str, DataFrame] = field(default_factory=dict)
+    rollup: DataFrame | None = None  # see weblake.plans.rollups; None where a lake has none for all of its fact
+    sketches: DataFrame | None = None
+    months: tuple[str, ...] = ()  # months with rows, if known
 
     @classmethod
     def build(cls, flagged: DataFrame, ranges: DataFrame, **geo) -> Star:

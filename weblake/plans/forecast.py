@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weblake.operators.star import Star
+from weblake.plans.filters import NO_FILTERS
+from weblake.plans.rollups import minutes
 from weblake.session import checkpoint_dir
 
 Z80 = 1.2815515655446004  # standard normal quantile 0.9 (80 % two-sided band)
@@ -34,7 +36,11 @@ WEEKLY_HARMONICS = 3
 
 
 def hourly_series(star_or_fact, access_only: bool = True) -> DataFrame:
-    """`(ds, y)`: rows per hour; hours without rows are absent (not zero)."""
+    """`(ds, y)`: rows per hour; hours without rows are absent (not zero). From the rollup, if the star has one."""
+    rows = minutes(star_or_fact, NO_FILTERS) if isinstance(star_or_fact, Star) else None
+    if rows is not None:
+        rows = rows.filter(F.col("log_type") == "access") if access_only else rows
+        return rows.groupBy(F.date_trunc("hour", "minute").alias("ds")).agg(F.sum("n").alias("y")).orderBy("ds")
     fact = star_or_fact.fact if isinstance(star_or_fact, Star) else star_or_fact
     if access_only:
         fact = fact.filter(F.col("log_type") == "access")

@@ -16,7 +16,7 @@ one parse decides both, and the input is read and parsed once.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -26,6 +26,7 @@ from weblake.operators.detect import DetectConfig, flag_signatures, page_counts
 from weblake.operators.detect import flag as flag_events
 from weblake.operators.parse import all_events, unparsed
 from weblake.operators.star import DIMS, Star, build_dim, build_fact
+from weblake.plans import rollups
 from weblake.sources import lake, versions
 
 
@@ -61,7 +62,7 @@ def process_batch(batch: DataFrame, batch_id: int, root: str, ranges: DataFrame,
             good = good.drop("message")
         if cfg.mode == "windowed":
             counts = lake.write_page_counts(page_counts(good, cfg), root, batch_id)
-            star = Star.build(good, ranges, **geo)
+            star = _rolled(Star.build(good, ranges, **geo), good)
         else:
             counts, star = [], _star(good, flag_events(good, cfg), ranges, **geo)
         segments += lake.write_star(star, root, batch_id) + counts
@@ -94,7 +95,11 @@ def _publish(spark, root: str, batch_id: int, segments: list, counts: list, cfg:
 def _star(good: DataFrame, flagged: DataFrame, ranges: DataFrame, **geo) -> Star:
     """The star of flagged rows; dims that flags play no part in come from the rows before them."""
     star = Star.build(good.withColumn("is_anomaly", F.lit(0)).withColumn("anomaly_type", F.lit("")), ranges, **geo)
-    return Star(build_fact(flagged), star.dims | {"dim_anomaly_type": build_dim(flagged, DIMS["dim_anomaly_type"])})
+    return _rolled(Star(build_fact(flagged), star.dims | {"dim_anomaly_type": build_dim(flagged, DIMS["dim_anomaly_type"])}), good)
+
+
+def _rolled(star: Star, events: DataFrame) -> Star:
+    return replace(star, rollup=rollups.rollup_of(events), sketches=rollups.sketches_of(events))
 
 
 def _events(batch: DataFrame, max_bytes: int | None) -> DataFrame:
@@ -138,7 +143,7 @@ def _code_digest() -> str:
     from weblake.functions import ip, patterns
     from weblake.operators import detect, geo, parse, star
 
-    return hashlib.sha256("".join(inspect.getsource(m) for m in (ip, patterns, detect, geo, parse, star, fixtures, lake, versions)).encode()).hexdigest()
+    return hashlib.sha256("".join(inspect.getsource(m) for m in (ip, patterns, detect, geo, parse, star, fixtures, lake, versions, rollups)).encode()).hexdigest()
 
 
 def ensure_lake(spark, lines, inputs: list[str], ranges, cfg: DetectConfig,

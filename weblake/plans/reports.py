@@ -7,7 +7,9 @@ the only large input, and a partial aggregate on an id combines map-side, so
 neither the fact rows nor a hot key (one address with a third of the
 traffic) cross the network: only one row per id and map task does. Country
 and method filters add their id to that grouping and apply after the join.
-"Latest n rows" reports first find the n-th newest timestamp on the fact
+Counts per minute, hour and status come from the rollup that the ingest keeps, where the filters allow it
+(:mod:`weblake.plans.rollups`), and so do unique addresses by sketch.
+"Latest n rows" reports walk the months newest first until n rows are found, so older ones are not read, then find the n-th newest timestamp on the fact
 (a top-n over one column), keep the rows at or after it (ties included), and
 join dimensions to those rows only. Top-k lists sort by the key as the last
 column, so ties resolve the same way every run.
@@ -15,6 +17,8 @@ column, so ties resolve the same way every run.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +27,7 @@ from weblake.operators.star import DIMS, Star
 from weblake.plans.filters import NO_FILTERS, Filters, apply
 from weblake.plans.forecast import hourly_series
 from weblake.plans.forecast import materialise as materialised
+from weblake.plans.rollups import minutes, unique_addresses, when
 
 
 def _access() -> Column:
@@ -70,22 +75,49 @@ def _top(df: DataFrame, metric: str, key: str, n: int) -> DataFrame:
     return df.orderBy(F.col(metric).desc_nulls_last(), F.col(key).asc_nulls_first()).limit(n)
 
 
-def _latest(fact: DataFrame, n: int) -> DataFrame:
-    """Rows whose timestamp is among the n newest (ties at the edge kept)."""
+def _latest(star: Star, flt: Filters, fact: DataFrame, n: int) -> DataFrame:
+    """Rows whose timestamp is among the n newest (ties at the edge kept). Where the star knows its months, they are counted
+    newest first, twice as many each time, until n rows are found; only those are read."""
+    months = _months(star, flt)
+    at, step, found = 0, 1, 0
+    while at + step < len(months) and found < n:
+        low = months[at + step - 1]
+        found += fact.filter(F.col("event_month").between(low, months[at])).limit(n).count()
+        at, step = at + step, 2 * step
+    if found >= n:
+        fact = fact.filter(F.col("event_month") >= low)
     edge = fact.select("timestamp").orderBy(F.col("timestamp").desc()).limit(n).agg(
         F.min("timestamp")
     )
     return fact.filter(F.col("timestamp") >= edge.scalar())
 
 
+def _months(star: Star, flt: Filters) -> list[str]:
+    """The star's months that the filters leave, newest first; none if they aren't known."""
+    try:
+        start, end = when(flt.start), when(flt.end)
+    except ValueError:
+        return []
+    low, high = start.strftime("%Y%m") if start else "", end.strftime("%Y%m") if end else "~"
+    return sorted((m for m in star.months if low <= m <= high), reverse=True)
+
+
 # ---------------------------------------------------------------- R1 - R4
 def kpi_summary(star: Star, flt: Filters = NO_FILTERS, approx: bool = False) -> DataFrame:
     """Access rows: total, unique_ips, avg_bytes, server/client error %; zeros where there are no rows.
 
     Exact: grouped by address id first, so unique_ips is the number of groups (no
     distinct aggregate) and the global step sees one row per address. ``approx=True``
-    counts addresses by a HyperLogLog sketch, in one pass."""
-    if approx:
+    counts addresses by a HyperLogLog sketch: from the stored ones, if the filters name times only (the other figures come
+    from the rollup, then), else in one pass."""
+    ips = unique_addresses(star, flt) if approx else None
+    rows = minutes(star, flt) if ips is not None else None
+    if rows is not None:
+        rows = rows.filter(_access()).groupBy("status").agg(*[F.sum(c).alias(c) for c in ("n", "bytes_sum", "bytes_count")])
+        n, b, c = (F.sum(x) for x in ("n", "bytes_sum", "bytes_count"))
+        c5, c4 = (F.coalesce(F.sum(F.when(x, F.col("n"))), F.lit(0)) for x in (_status_between(500), _status_between(400, 500)))
+        ips = F.coalesce(F.first(ips.scalar()), F.lit(0))
+    elif approx:
         rows = apply(star.attach(_fact(star, flt, _access()), flt.dims_needed()), flt.dim_predicates())
         n, b, c, c5, c4 = (F.count(F.lit(1)), F.sum("bytes"), F.count("bytes"), F.count_if(_status_between(500)),
                            F.count_if(_status_between(400, 500)))
@@ -122,7 +154,11 @@ def _kpi_pre(star: Star, flt: Filters) -> DataFrame:
 
 
 def time_bounds(star: Star) -> DataFrame:
-    return star.fact.agg(F.min("timestamp").alias("min_ts"), F.max("timestamp").alias("max_ts"))
+    """Of the fact's first and last month, if the star knows its months."""
+    fact = star.fact
+    if len(star.months) > 2:
+        fact = fact.filter(F.col("event_month").isin(star.months[0], star.months[-1]))
+    return fact.agg(F.min("timestamp").alias("min_ts"), F.max("timestamp").alias("max_ts"))
 
 
 def distinct_statuses(star: Star) -> DataFrame:
@@ -148,14 +184,22 @@ def requests_by_class_per_minute(star: Star, flt: Filters = NO_FILTERS) -> DataF
         "client_errors_4xx": _status_between(400, 500),
         "server_errors_5xx": _status_between(500),
     }
+    rows = minutes(star, flt)
+    if rows is not None:
+        sums = [F.sum(F.when(v, F.col("n")).otherwise(0)).alias(k) for k, v in classes.items()]
+        return rows.filter(_access()).groupBy("minute").agg(*sums).orderBy("minute")
     pre = _rollup(star, flt, _fact(star, flt, _access()), [_minute()], [],
                   {k: F.count_if(v) for k, v in classes.items()})
     return pre.groupBy("minute").agg(*[F.sum(k).alias(k) for k in classes]).orderBy("minute")
 
 
 def avg_bytes_per_minute(star: Star, flt: Filters = NO_FILTERS) -> DataFrame:
-    pre = _rollup(star, flt, _fact(star, flt, _access()), [_minute()], [],
-                  {"bsum": F.sum("bytes"), "bcnt": F.count("bytes")})
+    rows = minutes(star, flt)
+    if rows is not None:
+        pre = rows.filter(_access()).select("minute", F.col("bytes_sum").alias("bsum"), F.col("bytes_count").alias("bcnt"))
+    else:
+        pre = _rollup(star, flt, _fact(star, flt, _access()), [_minute()], [],
+                      {"bsum": F.sum("bytes"), "bcnt": F.count("bytes")})
     return pre.groupBy("minute").agg(
         F.try_divide(F.sum("bsum").cast("double"), F.sum("bcnt").cast("double")).alias("avg_bytes")
     ).orderBy("minute")
@@ -196,7 +240,11 @@ def top_ips_by_traffic(star: Star, flt: Filters = NO_FILTERS, n: int = 10) -> Da
 
 
 def status_distribution(star: Star, flt: Filters = NO_FILTERS) -> DataFrame:
-    pre = _rollup(star, flt, _fact(star, flt, _access()), ["status"], [], {"cnt": F.count(F.lit(1))})
+    rows = minutes(star, flt)
+    if rows is not None:
+        pre = rows.filter(_access()).select("status", F.col("n").alias("cnt"))
+    else:
+        pre = _rollup(star, flt, _fact(star, flt, _access()), ["status"], [], {"cnt": F.count(F.lit(1))})
     return pre.groupBy("status").agg(F.sum("cnt").alias("cnt")).orderBy(F.col("status").asc_nulls_first())
 
 
@@ -240,7 +288,7 @@ def _nonblank_type() -> Column:
 
 
 def anomaly_timeline(star: Star, flt: Filters = NO_FILTERS, n: int = 500) -> DataFrame:
-    rows = star.attach(_latest(_anomalies(star, flt), n), ["dim_ip", "dim_anomaly_type"])
+    rows = star.attach(_latest(star, flt, _anomalies(star, flt), n), ["dim_ip", "dim_anomaly_type"])
     return (rows.filter(_nonblank_type()).select("timestamp", "ip", "anomaly_type")
             .orderBy(F.col("timestamp").desc(), "ip", "anomaly_type").limit(n))
 
@@ -277,10 +325,14 @@ def top_error_messages(star: Star, flt: Filters = NO_FILTERS, n: int = 10) -> Da
 
 
 def error_levels_per_minute(star: Star, flt: Filters = NO_FILTERS) -> DataFrame:
-    pre = star.attach(
-        _errors(star, flt).groupBy(_minute(), "error_details_id").agg(F.count(F.lit(1)).alias("n")),
-        ["dim_error_details"],
-    )
+    rows = minutes(star, flt.time_only())
+    if rows is not None:
+        pre = rows.filter(_error())
+    else:
+        pre = star.attach(
+            _errors(star, flt).groupBy(_minute(), "error_details_id").agg(F.count(F.lit(1)).alias("n")),
+            ["dim_error_details"],
+        )
     lvl = F.col("log_level")
     return pre.groupBy("minute").agg(
         F.coalesce(F.sum(F.when(lvl == "error", F.col("n"))), F.lit(0)).alias("errors"),
@@ -294,7 +346,7 @@ def has_level_activity(levels: DataFrame) -> bool:
 
 
 def recent_errors(star: Star, flt: Filters = NO_FILTERS, n: int = 100) -> DataFrame:
-    rows = star.attach(_latest(_errors(star, flt), n), ["dim_ip", "dim_error_details"])
+    rows = star.attach(_latest(star, flt, _errors(star, flt), n), ["dim_ip", "dim_error_details"])
     return (rows.select("timestamp", "ip", "country", "log_level", "error_message")
             .orderBy(F.col("timestamp").desc(), "ip", "error_message").limit(n))
 
@@ -306,6 +358,12 @@ def hourly_actuals(star: Star, as_of=None, days: int = 3) -> DataFrame:
     if as_of is None:
         return actuals_of(materialised(hourly_series(star)), days)
     since = F.lit(str(as_of)).cast("timestamp") - F.expr(f"INTERVAL {int(days)} DAYS")
+    try:
+        rows = minutes(star, Filters(start=when(str(as_of)) - timedelta(days=int(days))))
+    except ValueError:
+        rows = None
+    if rows is not None:
+        return rows.filter(_access()).groupBy(F.date_trunc("hour", "minute").alias("hour")).agg(F.sum("n").alias("actual_requests")).orderBy("hour")
     rows = star.fact.filter(_access() & (F.col("timestamp") >= since))
     if "event_month" in star.fact.columns:
         rows = rows.filter(F.col("event_month") >= F.date_format(since, "yyyyMM"))

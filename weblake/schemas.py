@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BinaryType,
+    BooleanType,
     DoubleType,
     IntegerType,
     LongType,
@@ -48,10 +50,18 @@ VERDICTS_SCHEMA = StructType([
     StructField("window_start", T), StructField("ip_id", L), StructField("rank", I), StructField("batch_id", L), StructField("event_month", S),
 ])
 
+ROLLUP_SCHEMA = StructType([
+    StructField("minute", T), StructField("tail", BooleanType()), StructField("log_type", S), StructField("status", I), StructField("method", S),
+    StructField("log_level", S), StructField("n", L), StructField("bytes_sum", L), StructField("bytes_count", L), StructField("batch_id", L), StructField("event_month", S),
+])
+
+SKETCHES_SCHEMA = StructType([StructField("hour", T), StructField("ips", BinaryType()), StructField("batch_id", L), StructField("event_month", S)])
+
 DIM_SCHEMAS = {name: d.schema for name, d in DIMS.items()}
 
 ALL = {
     "envelope": ENVELOPE_SCHEMA, "event": EVENT_SCHEMA, "fact": FACT_SCHEMA,
     "predictions": PREDICTIONS_SCHEMA, "geo_ranges": GEO_RANGES_SCHEMA,
-    "country_codes": COUNTRY_CODES_SCHEMA, "quarantine": QUARANTINE_SCHEMA, "page_counts": PAGE_COUNTS_SCHEMA, "verdicts": VERDICTS_SCHEMA, **DIM_SCHEMAS,
+    "country_codes": COUNTRY_CODES_SCHEMA, "quarantine": QUARANTINE_SCHEMA, "page_counts": PAGE_COUNTS_SCHEMA, "verdicts": VERDICTS_SCHEMA,
+    "rollup": ROLLUP_SCHEMA, "sketches": SKETCHES_SCHEMA, **DIM_SCHEMAS,
 }

@@ -5,7 +5,8 @@ Layout under one root folder::
     fact/at=<batch>-<token>/event_month=YYYYMM/*.parquet   (ranges of timestamp, sorted)
     dim_ip/at=.../*.parquet     dim_request/ dim_user_agent/ dim_error_details/ dim_anomaly_type/
     page_counts/at=.../event_month=YYYYMM/   (rows per window, address and page of a stream's batches)
-    verdicts/at=.../event_month=YYYYMM/      (behaviour verdicts per window and address, best last)
+    verdicts/at=.../event_month=YYYYMM/      (behaviour verdicts per window and address, ranked)
+    rollup/at=.../event_month=YYYYMM/   sketches/at=.../event_month=YYYYMM/     (see weblake.plans.rollups)
     quarantine/at=.../          predictions/at=.../
     _versions/<number>.json     staging/batch_id=N/
 
@@ -35,13 +36,14 @@ from pyspark.sql.types import StructType
 
 from weblake.operators.detect import BEHAVIOUR_RANKS, DetectConfig, behaviour_verdict, profile_of, ranked_verdict, window_seconds, with_verdict_rows
 from weblake.operators.star import DIMS, FACT_SCHEMA, Star, event_month, keep_last
-from weblake.schemas import DIM_SCHEMAS, PAGE_COUNTS_SCHEMA, PREDICTIONS_SCHEMA, QUARANTINE_SCHEMA, VERDICTS_SCHEMA
+from weblake.plans import rollups
+from weblake.schemas import DIM_SCHEMAS, PAGE_COUNTS_SCHEMA, PREDICTIONS_SCHEMA, QUARANTINE_SCHEMA, ROLLUP_SCHEMA, SKETCHES_SCHEMA, VERDICTS_SCHEMA
 from weblake.sources import fs, versions
 from weblake.sources.versions import Segment, Version
 
 SCHEMAS = {"fact": FACT_SCHEMA, "page_counts": PAGE_COUNTS_SCHEMA, "verdicts": VERDICTS_SCHEMA, "quarantine": QUARANTINE_SCHEMA,
-           "predictions": PREDICTIONS_SCHEMA, **DIM_SCHEMAS}
-MONTH = "event_month"
+           "rollup": ROLLUP_SCHEMA, "sketches": SKETCHES_SCHEMA, "predictions": PREDICTIONS_SCHEMA, **DIM_SCHEMAS}
+MONTH, NO_MONTH = "event_month", "__HIVE_DEFAULT_PARTITION__"
 
 
 def _p(root: str, name: str) -> str:
@@ -114,10 +116,13 @@ def staged(df: DataFrame, root: str, batch_id: int) -> DataFrame:
 
 
 def write_star(star: Star, root: str, batch_id: int, parallel: bool = True) -> list[Segment]:
-    """Dims and fact. The dimension writes are independent jobs over the same input, so they are submitted together
+    """Dims, fact, and rollups where there are any. The dimension writes are independent jobs over the same input, so they are submitted together
     from threads and share the cluster."""
     jobs = [lambda d=dim, n=name: write_dim(d, n, root, batch_id) for name, dim in star.dims.items()]
     jobs.append(lambda: write_fact(star.fact, root, batch_id))
+    for table, rows in (("rollup", star.rollup), ("sketches", star.sketches)):
+        if rows is not None:
+            jobs.append(lambda t=table, r=rows: add(_of_batch(r, batch_id).repartition(MONTH), t, root, ((batch_id, batch_id),)))
     if not parallel:
         return [s for job in jobs for s in job()]
     from concurrent.futures import ThreadPoolExecutor
@@ -182,7 +187,21 @@ def read_star(spark: SparkSession, root: str, cfg: DetectConfig | None = None, v
         fact = fact.withColumn("anomaly_type_id", F.when(F.col("is_anomaly") == 1, F.col("anomaly_type_id")))
         types = spark.createDataFrame([(t,) for t in BEHAVIOUR_RANKS], "anomaly_type string").select(F.xxhash64("anomaly_type").alias("anomaly_type_id"), "anomaly_type")
         dims["dim_anomaly_type"] = dims["dim_anomaly_type"].unionByName(types).distinct()
-    return Star(fact, dims)
+    def batches(table: str) -> set:
+        return {(s.month, versions.union(list(s.batches))) for s in _by_month(version.of(table))}
+
+    held = batches("rollup") == batches("fact")  # else there were batches without rollups
+    rolled = [read_table(spark, root, t, SCHEMAS[t], version) if held else None for t in ("rollup", "sketches")]
+    months = sorted({s.month for s in version.of("fact")} - {NO_MONTH})
+    return Star(fact, dims, *rolled, months=tuple(months))
+
+
+def _by_month(segments: list[Segment]) -> list[Segment]:
+    """One segment per month that stands for the batches of all."""
+    found: dict[str | None, list] = {}
+    for s in segments:
+        found.setdefault(s.month, []).extend(s.batches)
+    return [Segment(segments[0].table, "", m, versions.union(r)) for m, r in found.items()]
 
 
 def _merged(table: str, rows: DataFrame) -> DataFrame:
@@ -192,6 +211,10 @@ def _merged(table: str, rows: DataFrame) -> DataFrame:
         return keep_last(rows, d.id_col, "batch_id", [*d.columns, "batch_id"]).join(rows.groupBy(d.id_col).agg(F.max("batch_id").alias("batch_id")), d.id_col)
     if table == "page_counts":
         return rows.groupBy("window_start", "ip", "page", "ip_id", MONTH).agg(F.sum("n").alias("n"), F.sum("lp").alias("lp"), F.max("batch_id").alias("batch_id")).repartition(MONTH, "window_start").sortWithinPartitions(MONTH, "window_start")
+    if table == "rollup":
+        return rollups.merged_rollup(rows).repartition(MONTH)
+    if table == "sketches":
+        return rollups.merged_sketches(rows).repartition(MONTH)
     if table == "verdicts":
         return rows.groupBy("window_start", "ip_id", MONTH).agg(F.max("rank").alias("rank"), F.max("batch_id").alias("batch_id"))
     return rows
