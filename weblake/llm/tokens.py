@@ -24,6 +24,7 @@ GENERATION, ENTRY = 96 << 20, 190  # bytes; of an entry besides its key and ids
 # Characters whose Unicode class every regex engine agrees on, so that GPT2_SPLIT gives the
 # library's own pre-tokens.
 _PLAIN = re.compile(r"[!-~À-ɏ](?:[!-~\nÀ-ɏ]*[!-~À-ɏ])?").fullmatch
+_STOPS = frozenset(".,;:!?")
 _EDGE = re.compile(r"[!-~\w]").match
 
 
@@ -71,11 +72,19 @@ class _Words(_Kept):
 
     def piece(self, piece: str) -> bytes:
         """Ids of one pre-token."""
-        word = codecs.charmap_decode(piece.encode(), "strict", self.letters)[0]
+        if piece.isascii() and piece[0] == " " and piece[1:].isprintable():  # printable ASCII stands for itself
+            word = "\u0120" + piece[1:]
+        else:
+            word = codecs.charmap_decode(piece.encode(), "strict", self.letters)[0]
         return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def word(self, word: str) -> bytes:
-        if _PLAIN(word):
+        plain = _PLAIN(word)
+        if plain and word.isalpha():  # one pre-token
+            return self.piece(" " + word)
+        if plain and word[-1] in _STOPS and word[:-1].isalpha():
+            return self[word[:-1]] + self.inner[word[-1]]
+        if plain:
             first, *rest = self.split(" " + word)
             if not rest:
                 return self.piece(first)
