@@ -242,6 +242,8 @@ def test_pipeline_stages(spark):
     added = [(1001, words.format("one") + " password = 'abcDEF1234567890'", "en", "new", 1), (1002, words.format("two"), "en", "new", 1), (1003, words.format("two"), "en", "new", 1),
              (1004, None, None, None, None), (None, words.format("three"), "en", None, 1), (1005, "", "en", "new", 0)]
     docs = base.unionByName(spark.createDataFrame(added, base.schema)).withColumn("quality", F.lit("clash"))
+    clashes = ["__text", "__fence", "__simhash_key", "__quality", "__Kept_id"]
+    docs = docs.withColumns({c: F.lit("clash") for c in clashes})
     columns, seen = docs.columns, {}
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
         before = docs
@@ -249,6 +251,7 @@ def test_pipeline_stages(spark):
         seen[name] = {r.doc_id: r for r in docs.collect()}
         if k < 4:
             assert docs.columns == columns and docs.count() <= before.count()
+            assert docs.where(" OR ".join(f"{c} IS DISTINCT FROM 'clash'" for c in clashes)).count() == 0
         assert stage(spark, before.limit(0), SF001).collect() == []
     assert {1001, 1002, 1003} <= seen["toxicity"].keys() and {1001, 1002, 1003} <= seen["quality_rules"].keys()
     assert not {1004, 1005} & seen["quality_rules"].keys()

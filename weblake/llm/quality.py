@@ -26,6 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weblake.llm.names import free_prefix
 from weblake.session import checkpoint_dir
 
 WHITE = " \t\n\x0b\f\r"
@@ -58,7 +59,8 @@ def _let(value: Column, then) -> Column:
 
 def _fence(rows: DataFrame) -> DataFrame:
     """No later filter moves below this point: there it would repeat the formulas that it looks at, lambdas and all."""
-    return rows.withColumn("__fence", F.spark_partition_id()).where("__fence >= 0").drop("__fence")
+    name = free_prefix(rows, "__fence")
+    return rows.withColumn(name, F.spark_partition_id()).where(F.col(name) >= 0).drop(name)
 
 
 def repeated_words(words: Column, n: int) -> Column:
@@ -139,7 +141,7 @@ def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text", host: str
     base_failed, n_frequent_lines, n_left (words in the other lines), text (without frequent lines; null if none is
     frequent), kept."""
     body = F.coalesce(F.col(text), F.lit(""))
-    at = f"__{out}_"
+    at = free_prefix(docs, f"__{out}_")
     names = docs.columns
     same = F.col(host).eqNullSafe(F.col(at + "host"))
     if rules.most is None and rules.corpus is None:

@@ -35,6 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weblake.llm.names import free_prefix
 from weblake.session import checkpoint_dir
 
 SAMPLE, SHARD_ROWS, LEAF, MAX_LEVELS = 2048, 4000, 256, 8
@@ -228,7 +229,8 @@ def keep_first(docs: DataFrame, words: int = 3, bits: int = 2, doc_id: str = "do
     group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string")))
     kept = found.withColumn("group", group).groupBy("group").agg(F.min(place).alias("k")).select("k.doc_id", "k.key")
     mark = F.struct(F.col(doc_id).alias("doc_id"), hashed.alias("key"))
-    rows = docs.withColumn("__simhash_key", mark)
-    kept = kept.select(F.col("doc_id").alias("__kept_id"), F.col("key").alias("__kept_key"))
-    rows = rows.join(kept, F.col("__simhash_key.doc_id").eqNullSafe(F.col("__kept_id")) & (F.col("__simhash_key.key") == F.col("__kept_key")), "left_semi")
-    return rows.dropDuplicates(["__simhash_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = free_prefix(docs, "__simhash_")
+    rows = docs.withColumn(own, mark)
+    kept = kept.select(F.col("doc_id").alias(own + "id"), F.col("key").alias(own + "key"))
+    rows = rows.join(kept, F.col(own + ".doc_id").eqNullSafe(F.col(own + "id")) & (F.col(own + ".key") == F.col(own + "key")), "left_semi")
+    return rows.dropDuplicates([own]).select(*[F.col(f"`{c}`") for c in docs.columns])
