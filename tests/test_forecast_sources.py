@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from weblake.plans import forecast as fc
@@ -241,3 +242,45 @@ def test_stitched_plan_is_split_bounded(spark, tmpdir_path):
     assert "file_block_start" in plan
     assert re.search(r"windowspecdefinition\(file#\d+, blk#\d+L?, seq", plan)
     assert "wholetext" not in plan.lower()
+
+
+def _many(spark, hours=24 * 21):
+    rnd, rows = np.random.default_rng(2), []
+    for k in range(5):
+        for h in range(hours):
+            if k < 4 and rnd.random() < 0.9 or h < (1 if k == 4 else 0):
+                y = 40 + 5 * k + 0.02 * k * h + 8 * np.sin(2 * np.pi * h / 24) + (0.3 * max(0, h - 200) if k == 3 else 0) + rnd.normal()
+                rows.append((f"k{k}", dt.datetime(2024, 1, 1) + dt.timedelta(hours=h), float(y)))
+    return spark.createDataFrame(rows, "key string, ds timestamp_ntz, y double").withColumn("ds", F.col("ds").cast("timestamp"))
+
+
+@pytest.mark.parametrize("hinges", [0, 4])
+def test_many_fits_equal_least_squares_per_key(spark, hinges):
+    series = _many(spark)
+    fits = {r.key: r for r in fc.fit_many(series, "key", hinges, ridge=0.0).collect()}
+    assert set(fits) == {"k0", "k1", "k2", "k3"}  # one hour is no series
+    design = series.join(fc.fit_many(series, "key", hinges).select("key", "t0", "span"), "key").select("key", "ds", "y", F.array(*fc._features(hinges)).alias("x")).collect()
+    for key, fit in fits.items():
+        x, y = np.array([r.x for r in design if r.key == key]), np.array([r.y for r in design if r.key == key])
+        want = np.linalg.lstsq(x, y, rcond=None)[0]
+        assert np.allclose(fit.coef, want, rtol=1e-6, atol=1e-6) and fit.n == len(y)
+        assert abs(fit.sigma - np.std(y - x @ want, ddof=1)) < 1e-6
+
+
+def test_bends_follow_a_change_point_and_future_hours_are_those_after_all_series(spark):
+    series = _many(spark)
+    straight, bent = (fc.forecast_many(series, "key", hinges=h, ridge=1e-3).filter("key = 'k3'").orderBy("timestamp").collect() for h in (0, 12))
+    last = series.agg(F.max("ds")).first()[0]
+    truth = np.array([55 + 0.06 * h + 8 * np.sin(2 * np.pi * h / 24) + 0.3 * (h - 200) for h in range(24 * 21, 24 * 22)])
+    assert [r.timestamp for r in bent] == [last + dt.timedelta(hours=h) for h in range(1, 25)]
+    error = [np.abs(np.array([r.predicted_requests for r in rows]) - truth).mean() for rows in (straight, bent)]
+    assert error[1] < 3 < error[0] and all(r.predicted_lower < r.predicted_requests < r.predicted_upper for r in bent)
+    assert fc.forecast_many(series, "key", as_of=last + dt.timedelta(hours=20)).groupBy("key").count().filter("count != 4").count() == 0
+
+
+def test_one_aggregation_fits_all_keys_and_short_ones_have_the_smallest_solution(spark):
+    series = spark.createDataFrame([("a", dt.datetime(2024, 1, 1, h), float(3 + h)) for h in range(3)], "key string, ds timestamp_ntz, y double").withColumn("ds", F.col("ds").cast("timestamp"))
+    fit = fc.fit_many(series, "key").first()
+    x = np.array([r.x for r in series.withColumns({"t0": F.lit(fit.t0), "span": F.lit(fit.span)}).orderBy("ds").select(F.array(*fc._features(0)).alias("x")).collect()])
+    assert np.allclose(x @ fit.coef, [3, 4, 5], atol=1e-4) and np.linalg.norm(fit.coef) < 1.01 * np.linalg.norm(np.linalg.pinv(x) @ [3, 4, 5])
+    assert fc.forecast_many(series.limit(0), "key").count() == 0

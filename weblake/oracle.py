@@ -8,10 +8,15 @@ Doubles are rounded to 6 places; timestamps are naive UTC.
 
 from __future__ import annotations
 
+import math
+
 from weblake.functions.patterns import ACCESS_PATTERN, ERROR_PATTERN, SIGNATURE_RULES
 from weblake.fixtures import ERROR_MESSAGES, PAGES, STATUSES
 
 
+Z80 = 1.2815515655446004  # standard normal quantile 0.9
+
+
 def _q(s: str) -> str:
     """SQL string literal."""
     return "'" + s.replace("'", "''") + "'"
@@ -276,8 +281,8 @@ fut2 AS (
 ),
 pred AS (
   SELECT ds AS timestamp, yhat AS predicted_requests,
-         yhat - {1.2815515655446004!r} * (SELECT stddev_samp(r3) FROM r3) AS predicted_lower,
-         yhat + {1.2815515655446004!r} * (SELECT stddev_samp(r3) FROM r3) AS predicted_upper
+         yhat - {Z80!r} * (SELECT stddev_samp(r3) FROM r3) AS predicted_lower,
+         yhat + {Z80!r} * (SELECT stddev_samp(r3) FROM r3) AS predicted_upper
   FROM fut2 WHERE ds > (SELECT max(ds) FROM series)
 )"""
 
@@ -327,6 +332,31 @@ def _integrity() -> str:
     return _star() + " " + " UNION ALL ".join(parts)
 
 
+def _fourier(keyed: str) -> str:
+    """`pred`: the Fourier regression of each key's series `(key, ds, y)`, its normal equations solved by Gauss-Jordan elimination."""
+    waves = [f"{f}({v} * {2 * math.pi * k / n!r})" for v, n, most in (("hod", 24.0, 4), ("how", 168.0, 3)) for k in range(1, most + 1) for f in ("sin", "cos")]
+    p = 2 + len(waves)
+    features = "[1.0, (epoch(ds) - epoch(t0)) / 3600.0 / greatest(span, 1.0), " + ", ".join(waves) + "]"
+    parts = "CAST(hour(ds) AS DOUBLE) AS hod, CAST(dayofweek(ds) * 24 + hour(ds) AS DOUBLE) AS how"
+    return _star(_SERIES, f"""
+keyed AS ({keyed}),
+spans AS (SELECT key, min(ds) AS t0, (epoch(max(ds)) - epoch(min(ds))) / 3600.0 AS span, count(*) AS n FROM keyed GROUP BY key HAVING count(*) >= 2),
+design AS (SELECT key, CAST(y AS DOUBLE) AS y, {features} AS f FROM (SELECT *, {parts} FROM keyed JOIN spans USING (key))),
+sums AS (SELECT key, i, j, sum(f[i] * CASE WHEN j > {p} THEN y ELSE f[j] END) AS v FROM design, range(1, {p + 1}) a(i), range(1, {p + 2}) b(j) GROUP BY key, i, j),
+matrix AS (SELECT key, list(line ORDER BY i) AS m FROM (SELECT key, i, list(v ORDER BY j) AS line FROM sums GROUP BY key, i) GROUP BY key),
+solving AS (
+  SELECT key, 1 AS k, m FROM matrix
+  UNION ALL
+  SELECT key, k + 1, list_transform(range(1, {p + 1}), lambda i: CASE WHEN i = k THEN list_transform(m[k], lambda x: x / m[k][k])
+    ELSE list_transform(range(1, {p + 2}), lambda j: m[i][j] - m[i][k] * m[k][j] / m[k][k]) END) FROM solving WHERE k <= {p}
+),
+coef AS (SELECT key, list_transform(m, lambda line: line[{p + 1}]) AS b FROM solving WHERE k = {p + 1}),
+spread AS (SELECT key, stddev_samp(y - list_dot_product(f, b)) AS sigma FROM design JOIN coef USING (key) GROUP BY key),
+future AS (SELECT *, {parts} FROM (SELECT *, last + to_hours(CAST(h AS INTEGER)) AS ds FROM spans, (SELECT max(ds) AS last FROM keyed), range(1, 25) r(h))),
+yhat AS (SELECT key, ds, list_dot_product({features}, b) AS yhat, sigma FROM future JOIN coef USING (key) JOIN spread USING (key)),
+pred AS (SELECT key, ds AS timestamp, yhat AS predicted_requests, yhat - {Z80} * sigma AS predicted_lower, yhat + {Z80} * sigma AS predicted_upper FROM yhat)""").replace("WITH", "WITH RECURSIVE", 1)
+
+
 def queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["envelope_decode"] = ("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k "
@@ -504,6 +534,9 @@ grid AS (
     features = ["constant", "t"] + [f"d_{f}{k}" for k in range(1, 5) for f in ("sin", "cos")] + [f"w_{f}{k}" for k in range(1, 4) for f in ("sin", "cos")]
     q["fourier_normal_equations"] = _star(_SERIES) + (
         f" SELECT feature, (SELECT count(*) FROM series) AS n_rows, true AS orthogonal FROM (SELECT unnest({_list(features)}) AS feature)")
+    q["forecast_fourier"] = _fourier("SELECT '' AS key, ds, y FROM series") + f" SELECT {_PRED_COLS} FROM pred"
+    q["forecast_by_country"] = _fourier("SELECT country AS key, date_trunc('hour', timestamp) AS ds, count(*) AS y FROM star WHERE log_type = 'access' GROUP BY ALL") + (
+        f" SELECT key AS country, {_PRED_COLS} FROM pred")
     q["forecast_additive"] = _star(_FORECAST) + f" SELECT {_PRED_COLS} FROM pred"
     q["forecast_read"] = _star(_FORECAST) + (
         f" SELECT {_PRED_COLS.replace('timestamp,', 'timestamp AS hour,', 1)} FROM pred")

@@ -14,6 +14,8 @@ Two fits with the same components (trend + daily + weekly seasonality):
   harmonics) with ``pyspark.ml`` ``LinearRegression`` (normal equations);
   :func:`normal_equations` checks a fit.
 
+:func:`forecast_many` fits the Fourier regression for every key (page, country, ...) in one aggregation.
+
 A forecast needs two points at least; from fewer there are no rows.
 """
 
@@ -21,10 +23,12 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weblake.operators.star import Star
+from weblake.operators.star import DIMS, Star
 from weblake.plans.filters import NO_FILTERS
 from weblake.plans.rollups import minutes
 from weblake.session import checkpoint_dir
@@ -174,6 +178,66 @@ def normal_equations(series: DataFrame, tolerance: float = 1e-6) -> DataFrame:
         F.col("f.feature").alias("feature"), "n_rows", (F.abs(F.col("f.s.dot")) <= tolerance * (1 + F.col("f.s.size"))).alias("orthogonal"))
 
 
+# ------------------------------------------------------------ many series
+def hourly_series_by(star: Star, dim: str, column: str) -> DataFrame:
+    """`(column, ds, y)`: access rows per hour and value of a dimension's column; rows without one are left out."""
+    d = DIMS[dim]
+    rows = star.fact.filter((F.col("log_type") == "access") & F.col("timestamp").isNotNull())
+    counts = rows.groupBy(d.id_col, F.date_trunc("hour", "timestamp").alias("ds")).agg(F.count(F.lit(1)).alias("n"))
+    return star.attach(counts, [dim]).filter(F.col(column).isNotNull()).groupBy(column, "ds").agg(F.sum("n").alias("y"))
+
+
+def _features(hinges: int) -> list[Column]:
+    """Columns of the design for `ds`, given a key's first hour `t0` and `span` in hours: constant, trend over the span, harmonics, and
+    the trend's bends, spread over the first four fifths of the span."""
+    t = _hours_since(F.col("ds"), F.col("t0")) / F.greatest(F.col("span"), F.lit(1.0))
+    bends = [F.greatest(t - 0.8 * (j + 1) / (hinges + 1), F.lit(0.0)) for j in range(hinges)]
+    return [F.lit(1.0), t, *_fourier_exprs(F.col("ds")), *bends]
+
+
+def fit_many(series: DataFrame, key: str, hinges: int = 0, ridge: float = 1.0) -> DataFrame:
+    """The Fourier regression of every key's series at once: `(key, t0, span, n, coef, sigma)`, keys of two hours and more.
+
+    One aggregation sums each key's normal equations (features times features, features times y), combined map-side, so a key costs one row
+    of fixed size however long its history; they are solved in batches of keys. `hinges` lets the trend bend at that many
+    places, with the squares of the bends weighted by `ridge`. Where the hours don't determine all coefficients, the
+    smallest solution is taken."""
+    size = 2 + 2 * (DAILY_HARMONICS + WEEKLY_HARMONICS) + hinges
+    spans = series.groupBy(key).agg(F.min("ds").alias("t0"), F.max("ds").alias("last"))
+    spans = spans.select(F.col(key).alias("_key"), "t0", _hours_since(F.col("last"), F.col("t0")).alias("span"))
+    rows = series.join(spans, F.col(key) == F.col("_key")).select(key, "t0", "span", F.col("y").cast("double").alias("y"), *[c.alias(f"x{i}") for i, c in enumerate(_features(hinges))])
+    x = [F.col(f"x{i}") for i in range(size)]
+    sums = rows.groupBy(key, "t0", "span").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("y") * F.col("y")).alias("yy"), F.array(*[F.sum(c * F.col("y")) for c in x]).alias("xy"),
+        F.array(*[F.sum(x[i] * x[j]) for i in range(size) for j in range(i, size)]).alias("xx"))
+    upper = np.triu_indices(size)
+    bends = np.arange(size - hinges, size)
+
+    @F.arrow_udf("coef array<double>, sigma double")
+    def solved(xx: pa.Array, xy: pa.Array, yy: pa.Array, n: pa.Array) -> pa.Array:
+        a = np.zeros((len(xx), size, size))
+        a[:, upper[0], upper[1]] = a[:, upper[1], upper[0]] = np.asarray(xx.flatten()).reshape(-1, len(upper[0]))
+        plain, b = a.copy(), np.asarray(xy.flatten()).reshape(-1, size)
+        a[:, bends, bends] += ridge
+        coef = np.einsum("kij,kj->ki", np.linalg.pinv(a, rcond=1e-12, hermitian=True), b)
+        left = np.asarray(yy) - 2 * (coef * b).sum(axis=1) + np.einsum("ki,kij,kj->k", coef, plain, coef)
+        sigma = np.sqrt(np.maximum(left, 0) / (np.asarray(n) - 1))
+        lists = pa.ListArray.from_arrays(np.arange(0, coef.size + 1, size, dtype=np.int32), coef.ravel())
+        return pa.StructArray.from_arrays([lists, pa.array(sigma)], ["coef", "sigma"])
+
+    return sums.filter("n >= 2").select(key, "t0", "span", "n", solved("xx", "xy", "yy", "n").alias("f")).select(key, "t0", "span", "n", "f.coef", "f.sigma")
+
+
+def forecast_many(series: DataFrame, key: str, horizon: int = HORIZON, as_of=None, z: float = Z80, hinges: int = 0, ridge: float = 1.0) -> DataFrame:
+    """`(key, timestamp, predicted_requests, predicted_lower, predicted_upper)` for the hours after the last one of all series."""
+    last, hour = series.agg(F.max("ds")).scalar(), F.expr("INTERVAL 1 HOUR")
+    hours = F.sequence(last + hour, last + F.expr(f"INTERVAL {int(horizon)} HOURS"), hour)
+    at = fit_many(series, key, hinges, ridge).withColumn("ds", F.explode(hours)).withColumn("x", F.array(*_features(hinges)))
+    yhat = F.aggregate(F.zip_with("x", "coef", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    pred = at.select(key, F.col("ds").alias("timestamp"), yhat.alias("predicted_requests"), (yhat - F.lit(z) * F.col("sigma")).alias("predicted_lower"), (yhat + F.lit(z) * F.col("sigma")).alias("predicted_upper"))
+    return _as_of_filter(pred, series, as_of)
+
+
 # ------------------------------------------------------------ F4 - F6, D18
 def forecast_peak(pred: DataFrame) -> DataFrame:
     """The future hour with the highest upper bound (earliest on ties)."""

@@ -367,6 +367,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_series_filled": lambda s, p: fc.fill_gaps(series(s, p)),
     "forecast_additive": prediction,
     "forecast_fourier": lambda s, p: fc.forecast_fourier(series(s, p)),
+    "forecast_by_country": lambda s, p: fc.forecast_many(fc.materialise(fc.hourly_series_by(star(s, p), "dim_ip", "country")), "country"),
     "forecast_read": _forecast_read,
     "fourier_normal_equations": lambda s, p: fc.normal_equations(series(s, p)),
     "forecast_peak": lambda s, p: fc.forecast_peak(prediction(s, p)),
