@@ -19,15 +19,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weblake.llm import packing, quality, secretscan, simhash, toxicity
+from weblake.llm.names import free_prefix
 from weblake.llm.queries import BYTE_BPE, TOXIC_ABOVE, toxicity_chain
 from weblake.session import checkpoint_dir
 
 
 def _with_text(docs: DataFrame, names: list[str], text: Column) -> DataFrame:
     """The columns `names` of `docs` with a new text; `n_chars` follows where the text changed."""
-    docs = docs.withColumn("__text", text)
-    changed = ~F.col("__text").eqNullSafe(F.col("text"))
-    new = {"text": F.col("__text"), "n_chars": F.when(changed, F.length("__text")).otherwise(F.col("n_chars")) if "n_chars" in names else None}
+    own = free_prefix(docs, "__text")
+    docs = docs.withColumn(own, text)
+    changed = ~F.col(own).eqNullSafe(F.col("text"))
+    new = {"text": F.col(own), "n_chars": F.when(changed, F.length(own)).otherwise(F.col("n_chars")) if "n_chars" in names else None}
     return docs.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col(f"`{c}`") for c in names])
 
 
@@ -40,8 +42,9 @@ LINES = quality.Rules(most=50, corpus=100)
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = quality.judge(docs, LINES, out="__quality").where("__quality.kept")
-    return _with_text(judged, docs.columns, F.coalesce("__quality.text", "text"))
+    own = free_prefix(docs, "__quality")
+    judged = quality.judge(docs, LINES, out=own).where(F.col(own + ".kept"))
+    return _with_text(judged, docs.columns, F.coalesce(own + ".text", "text"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +56,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, BYTE_BPE)
+    return packing.pack(docs, BYTE_BPE, keep=False)  # the stages before need the memory
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
