@@ -317,7 +317,7 @@ def test_a_backfill_reads_its_input_once(spark, tmpdir_path, monkeypatch):
     monkeypatch.setattr(lake, "add", lambda df, *a, **k: written.append(_plan(df)) or add(df, *a, **k))
     process_batch(Q.lines(spark, SF001), 0, tmpdir_path, Q.ranges(spark, SF001), DAILY_TEST)
     assert len(seen) == 1 and seen[0].count("FileScan") == 1 and "regexp_replace" in seen[0]
-    assert len(written) == 7 and not any("events.parquet" in p or "regexp_replace" in p for p in written)
+    assert len(written) == 9 and not any("events.parquet" in p or "regexp_replace" in p for p in written)
 
 
 def test_actuals_read_a_bounded_part_of_the_fact(spark, tmpdir_path):
