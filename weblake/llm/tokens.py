@@ -19,7 +19,7 @@ import regex
 from tokenizers import Tokenizer
 
 GPT2_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed value
-GENERATION, ENTRY = 96 << 20, 190  # bytes; of an entry besides its key and ids
+GENERATION, ENTRY = 144 << 20, 190  # bytes; of an entry besides its key and ids
 
 # Characters whose Unicode class every regex engine agrees on, so that GPT2_SPLIT gives the
 # library's own pre-tokens.
