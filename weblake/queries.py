@@ -255,6 +255,11 @@ def _forecast_read(s, p):
     return R.forecast_read(lake.read_predictions(s, root))
 
 
+def _flagging(s, p):
+    """Flags of whole input: the lines are parsed once, as in a backfill; counts and rows derive from the staged events."""
+    return detect.flag(lake.staged(events(s, p), _fresh(s, "flagging"), 0), PER_BATCH)
+
+
 def _flags_from_cuts(s, p):
     """Three batches cut across every window, read with the verdicts of all their counts."""
     root, geo_rows = _fresh(s, "cuts"), geo.geo_index(ranges(s, p))
@@ -319,7 +324,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "behavioral_verdict": lambda s, p: detect.behaviour_verdict(
         detect.behaviour_profile(events(s, p), PER_BATCH), PER_BATCH),
     "behavioral_windowed": _windowed,
-    "anomaly_flagging": lambda s, p: detect.flag(events(s, p), PER_BATCH),
+    "anomaly_flagging": _flagging,
     "windowed_flags_from_cuts": _flags_from_cuts,
     # geo
     "geo_enrich": lambda s, p: geo.enrich_country(events(s, p), ranges(s, p)),
