@@ -299,6 +299,14 @@ def test_a_time_filter_prunes_facts_and_verdicts(spark, tmpdir_path):
     assert all("isnotnull(event_month" in line.replace("PartitionFilters: [", "").replace("#", " ") or "event_month" in line.split("PartitionFilters: [")[1].split("]")[0] for line in scans)
 
 
+def test_stored_verdicts_are_joined_as_they_are(spark, tmpdir_path):
+    """No copies of a verdict per part of its rows: a broadcast would hold them all in every task."""
+    process_batch(Q.lines(spark, SF001), 0, tmpdir_path, Q.ranges(spark, SF001), DAILY_TEST, whole=False)
+    fact = lake.read_star(spark, tmpdir_path, DAILY_TEST).fact
+    plan = fact._jdf.queryExecution().optimizedPlan().toString()
+    assert "/verdicts/" in _plan(fact) and "explode" not in plan and fact.count() == 987
+
+
 def test_a_window_over_a_month_edge_is_found_in_both_months(spark, tmpdir_path):
     cfg = detect.DetectConfig(mode="windowed", window="10 days", login_threshold=9, scan_threshold=9, rate_threshold=3)
     days = [("access", f'7.7.7.7 - - [{d} +0000] "GET /a HTTP/1.1" 200 1 "r" "UA"') for d in ("30/Jan/2024:10:00:00", "31/Jan/2024:10:00:00", "01/Feb/2024:01:00:00", "01/Feb/2024:02:00:00", "09/Feb/2024:02:00:00")]
