@@ -113,3 +113,21 @@ def test_a_hot_address_is_spread_by_the_plan(spark):
     salted = detect.flag(_events(spark, rows))
     assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
     assert salted.filter("ip = 'hot' and is_anomaly = 1").count() == 300 and salted.filter("is_anomaly = 1").count() == 300
+
+
+def test_only_the_verdicts_of_hot_keys_are_repeated(spark, monkeypatch):
+    """More than HOT_ROWS rows, error lines and rows without a time included; each row is given back once, as with no hot key."""
+    cfg = DetectConfig(mode="windowed", window="1 hour", rate_threshold=3)
+    rows = (_burst("hot", 60, lambda i: f"/p{i % 4}") + [(T0, "error", "hot", None, None, None)] * 60 + [(None, "access", "hot", "GET", "/", "u")] * 20
+            + [r for k in range(50) for r in _burst(f"ip{k}", 5, lambda i: "/")])
+    plain = detect.flag(_events(spark, rows), cfg).collect()
+    monkeypatch.setattr(detect, "HOT_ROWS", 100)
+    spread = detect.flag(_events(spark, rows), cfg)
+    assert sorted(map(str, spread.collect())) == sorted(map(str, plain)) and len(plain) == len(rows)
+    assert spread.filter("ip = 'hot' and is_anomaly = 1").count() == 120
+    made = []
+    explode = F.explode
+    monkeypatch.setattr(detect.F, "explode", lambda c: made.append(c) or explode(c))
+    detect.flag(_events(spark, rows), cfg)
+    parts = spark.createDataFrame([(True,), (None,)], "_hot boolean").select(F.size(made[0]).alias("n")).collect()
+    assert [r.n for r in parts] == [detect.SALTS, 1]

@@ -328,6 +328,20 @@ def test_a_backfill_reads_its_input_once(spark, tmpdir_path, monkeypatch):
     assert len(written) == 9 and not any("events.parquet" in p or "regexp_replace" in p for p in written)
 
 
+def test_a_backfill_joins_its_verdicts_once(spark, tmpdir_path, monkeypatch):
+    """For the fact only, and to ids: the anomaly types are read from the written fact."""
+    written = {}
+    add = lake.add
+    monkeypatch.setattr(lake, "add", lambda df, table, *a, **k: written.update({table: df._jdf.queryExecution().optimizedPlan().toString()}) or add(df, table, *a, **k))
+    process_batch(Q.lines(spark, SF001), 0, tmpdir_path, Q.ranges(spark, SF001), DAILY_TEST)
+    assert [t for t, p in written.items() if "_salt" in p] == ["fact"]
+    joins = [line for line in written["fact"].splitlines() if "Project" in line and "_salt" in line and "request_id" in line]
+    assert joins and not any("agent#" in line or "referrer#" in line for line in joins)
+    st, flagged = lake.read_star(spark, tmpdir_path), detect.flag(Q.events(spark, SF001), DAILY_TEST)
+    assert {r[0] for r in st.dim("dim_anomaly_type").select("anomaly_type").collect()} == {r[0] for r in flagged.filter("is_anomaly = 1").select("anomaly_type").distinct().collect()}
+    assert st.dim("dim_anomaly_type").filter("anomaly_type_id != xxhash64(anomaly_type)").count() == 0
+
+
 def test_actuals_read_a_bounded_part_of_the_fact(spark, tmpdir_path):
     process_batch(Q.lines(spark, SF001), 0, tmpdir_path, Q.ranges(spark, SF001), DAILY_TEST)
     st = lake.read_star(spark, tmpdir_path)
