@@ -342,6 +342,17 @@ def test_a_backfill_joins_its_verdicts_once(spark, tmpdir_path, monkeypatch):
     assert st.dim("dim_anomaly_type").filter("anomaly_type_id != xxhash64(anomaly_type)").count() == 0
 
 
+def test_anomaly_types_need_no_python_worker(spark, tmpdir_path):
+    process_batch(Q.lines(spark, SF001), 0, tmpdir_path, Q.ranges(spark, SF001), DAILY_TEST)
+    from weblake.operators.star import anomaly_types
+
+    fact = lake.read_star(spark, tmpdir_path).fact
+    found = anomaly_types(fact)
+    assert "ExistingRDD" not in _plan(found) and "Range" in _plan(found)
+    assert {r.anomaly_type_id for r in found.collect()} == {r[0] for r in fact.select("anomaly_type_id").distinct().collect()} - {None}
+    assert anomaly_types(fact.filter("is_anomaly = 0")).collect() == []
+
+
 def test_actuals_read_a_bounded_part_of_the_fact(spark, tmpdir_path):
     process_batch(Q.lines(spark, SF001), 0, tmpdir_path, Q.ranges(spark, SF001), DAILY_TEST)
     st = lake.read_star(spark, tmpdir_path)
