@@ -125,3 +125,15 @@ def test_op1_and_op5_agree_with_brute_force(spark, library):
     for r in QUERIES["op5_id_shards"](spark, SF001).orderBy("doc_id").collect():
         assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(docs[r.doc_id]), zlib.crc32(docs[r.doc_id].tobytes()))
         start += r.n_tokens
+
+
+def test_line_ends_and_first_words_take_the_library_ids(monkeypatch):
+    """Words with newlines, ASCII and not; a first word of ASCII letters needs no call of the library."""
+    path = BYTE_BPE
+    library, own = Tokenizer.from_file(path), TokenIds(path)
+    texts = ["Hello a the.\nWhrehe, x's\n's élan.\nÉtat b", "É 1\n2\nthree !!!\n??? a\n\nb c", "x a\n\n\nb", "don't we'll\nI'm 12ab\n34é×÷\nz", "a it\nÀ×b q", "word NDHAED!! 5,000.00\n$$$ x",
+             "abc \x7fq a\x00b\nc d", "x a\r\nb c", "x a\tb\nc", "x \na b", "x a\n b"]
+    for t in texts * 2:
+        assert own.ids(t) == np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
+    monkeypatch.setattr(tokens, "_whole", None)
+    assert own.ids("Unmet words") == np.array(library.encode("Unmet words", add_special_tokens=False).ids, "<u4").tobytes()

@@ -19,6 +19,7 @@ import regex
 from tokenizers import Tokenizer
 
 GPT2_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed value
+ASCII_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"  # the same, of ASCII texts
 GENERATION, ENTRY = 144 << 20, 190  # bytes; of an entry besides its key and ids
 
 # Characters whose Unicode class every regex engine agrees on, so that GPT2_SPLIT gives the
@@ -66,26 +67,33 @@ class _Words(_Kept):
 
     def __init__(self, tokenizer: Tokenizer):
         super().__init__(self.word)
-        self.tokenizer, self.model, self.letters = tokenizer, tokenizer.model, _byte_letters()
-        self.split = regex.compile(GPT2_SPLIT).findall
+        self.tokenizer, self.letters = tokenizer, _byte_letters()
+        self.tokens = tokenizer.model.tokenize
+        self.split, self.split_ascii = regex.compile(GPT2_SPLIT).findall, re.compile(ASCII_SPLIT, re.ASCII).findall
         self.inner = _Kept(self.piece)
 
+    def pieces(self, text: str) -> list[str]:
+        """Pre-tokens of a plain text."""
+        return (self.split_ascii if text.isascii() else self.split)(text)
+
     def piece(self, piece: str) -> bytes:
         """Ids of one pre-token."""
-        if piece.isascii() and piece[0] == " " and piece[1:].isprintable():  # printable ASCII stands for itself
-            word = "\u0120" + piece[1:]
+        if piece.isascii() and piece.isprintable():  # printable ASCII but the space stands for itself
+            word = piece.replace(" ", "\u0120")
         else:
             word = codecs.charmap_decode(piece.encode(), "strict", self.letters)[0]
-        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+        return array("I", [t.id for t in self.tokens(word)]).tobytes()
 
     def word(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():  # most words: one pre-token
+            return array("I", [t.id for t in self.tokens("\u0120" + word)]).tobytes()
         plain = _PLAIN(word)
         if plain and word.isalpha():  # one pre-token
             return self.piece(" " + word)
         if plain and word[-1] in _STOPS and word[:-1].isalpha():
             return self[word[:-1]] + self.inner[word[-1]]
         if plain:
-            first, *rest = self.split(" " + word)
+            first, *rest = self.pieces(" " + word)
             if not rest:
                 return self.piece(first)
             return (self[first[1:]] if len(first) > 1 else self.inner[first]) + b"".join(map(self.inner.__getitem__, rest))
@@ -136,5 +144,6 @@ class TokenIds:
                 tail = b"".join(map(self.words.__getitem__, rest))
             except _Unsafe:
                 return _whole(self.tokenizer, text)
-            return (_whole(self.tokenizer, first) if first else b"") + tail
+            head = self.words.inner[first] if first.isascii() and first.isalpha() else _whole(self.tokenizer, first) if first else b""
+            return head + tail
         return _whole(self.tokenizer, text)
